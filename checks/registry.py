@@ -238,15 +238,12 @@ def _feed_loads(retail: Retail, enforce_refs: bool = False) -> Layers:
     landing.append_raw(retail.raw["customers"], layers, "customers")
     landing.append_raw(retail.raw["products"], layers, "products")
     jobs.stage_dimensions(spark, layers)
-    feed = OrderFeed(spark, layers, enforce_refs=enforce_refs)
+    feed = OrderFeed(spark, layers, enforce_refs=enforce_refs, load_ts=LOAD_TS)
     start = "0001-01-01"
     for end in LOAD_ENDS:
         load = retail.raw["orders"].filter((F.col(LOADED_AT) >= start) & (F.col(LOADED_AT) < end))
         landing.append_raw(load, layers, "orders")
-        if end == LOAD_ENDS[0]:
-            feed.seed(LOAD_TS)
-        else:
-            feed.run_once(LOAD_TS)
+        feed.run_once()
         start = end
     return layers
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tillbook.functions import ascending, days_between, descending
 from tillbook.operators import global_ntile, global_rank, moving_average, share_of_total
-from tillbook.plans.marts import category_revenue, daily_revenue, order_count, sales_by_product
+from tillbook.plans.marts import category_revenue, daily_revenue, members, order_count, sales_by_product
 
 RFM_TILES = 3
 
@@ -43,21 +43,11 @@ def _per_customer(fact: DataFrame, orders_unique: bool, *more: Column) -> DataFr
     )
 
 
-def _members(customers: DataFrame, *attributes: str) -> DataFrame:
-    """Customer ids with their attributes, copies counted: a sum counts each copy, a distinct count does not."""
-    return (
-        customers.select("customer_id", *attributes)
-        .repartition("customer_id")
-        .groupBy("customer_id", *attributes)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-    )
-
-
 def _sales_by_customer(fact: DataFrame, customers: DataFrame, orders_unique: bool, *attributes: str) -> DataFrame:
     """Orders and revenue per customer attribute; sales are summed per customer before they meet the dimension."""
     return (
         _per_customer(fact, orders_unique)
-        .join(_members(customers, *attributes), "customer_id")
+        .join(members(customers, "customer_id", *attributes), "customer_id")
         .groupBy(*attributes)
         .agg(
             F.sum("_orders").alias("orders"),
@@ -109,7 +99,7 @@ def rfm_base(
     """Days since the last order, number of orders and revenue of each customer."""
     today = F.current_date() if as_of is None else F.lit(as_of)
     sales = _per_customer(fact, orders_unique, F.max("order_date").alias("_last"))
-    return sales.join(_members(customers, "full_name"), "customer_id").select(
+    return sales.join(members(customers, "customer_id", "full_name"), "customer_id").select(
         "customer_id",
         "full_name",
         days_between(F.col("_last"), today).alias("recency_days"),

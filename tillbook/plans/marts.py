@@ -48,6 +48,12 @@ def daily_revenue(fact: DataFrame, orders_unique: bool = False) -> DataFrame:
     )
 
 
+def members(dimension: DataFrame, key: str, *attributes: str) -> DataFrame:
+    """Keys of a dimension with some attributes, and how many rows say the same: a sum counts each, a distinct
+    count does not. Copies of a key meet in the aggregate and not in the join behind it."""
+    return dimension.groupBy(key, *attributes).agg(F.count(F.lit(1)).alias("_copies"))
+
+
 def sales_by_product(fact: DataFrame, products: DataFrame, *attributes: str) -> DataFrame:
     """Revenue and units per product attribute.
 
@@ -57,10 +63,14 @@ def sales_by_product(fact: DataFrame, products: DataFrame, *attributes: str) ->
     per_product = fact.groupBy("product_id").agg(
         F.sum("line_revenue").alias("_revenue"), F.sum("quantity").alias("_units")
     )
+    copies = F.col("_copies").cast("decimal(20,0)")
     return (
-        per_product.join(products.select("product_id", *attributes), "product_id")
+        per_product.join(members(products, "product_id", *attributes), "product_id")
         .groupBy(*attributes)
-        .agg(F.sum("_revenue").alias("revenue"), F.sum("_units").alias("units_sold"))
+        .agg(
+            F.sum(F.col("_revenue") * copies).alias("revenue"),
+            F.sum(F.col("_units") * copies).alias("units_sold"),
+        )
     )
 
 

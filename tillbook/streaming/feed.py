@@ -7,7 +7,6 @@ a run that dies anywhere can simply be started again.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -15,55 +14,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tillbook.plans import staging
-from tillbook.sources import Layers, MergeTable, stream_raw
+from tillbook.sources import Layers, stream_raw
 
 
 @dataclass(frozen=True)
 class OrderFeed:
-    """``enforce_refs`` also drops orders of unknown customers or products in later runs; the seed always does."""
+    """The first batch is the seed and drops orders of unknown customers or products.
+
+    Later batches keep them unless ``enforce_refs`` is set. ``load_ts`` replaces the clock as load stamp.
+    """
 
     spark: SparkSession
     layers: Layers
     name: str = "orders"
     enforce_refs: bool = False
+    load_ts: datetime | None = None
 
-    @property
-    def target(self) -> MergeTable:
-        return self.layers.staged_orders(self.spark)
-
-    def seed(self, load_ts: datetime | None = None) -> None:
-        """First run: everything landed so far, as one batch, references checked."""
-        if self.target.state()["last_batch"] >= 0:
+    def seed(self) -> None:
+        """First run: everything landed so far, as one batch."""
+        if self.layers.staged_orders(self.spark).state()["last_batch"] >= 0:
             raise RuntimeError("the feed has run before")
-        self._start(True, load_ts, availableNow=True).awaitTermination()
+        self.run_once()
 
-    def run_once(self, load_ts: datetime | None = None) -> None:
+    def run_once(self) -> None:
         """Merge what has landed since the last run, then stop."""
-        self._start(self.enforce_refs, load_ts, availableNow=True).awaitTermination()
+        self._start(availableNow=True).awaitTermination()
 
     def resume(self, interval: str = "5 minutes") -> StreamingQuery:
         """Run on a schedule until ``stop()`` is called on the result."""
-        return self._start(self.enforce_refs, None, processingTime=interval)
+        return self._start(processingTime=interval)
 
-    def _start(self, check_refs: bool, load_ts: datetime | None, **trigger: object) -> StreamingQuery:
+    def _start(self, **trigger: object) -> StreamingQuery:
         return (
             stream_raw(self.spark, self.layers, "orders")
-            .writeStream.foreachBatch(self._merger(check_refs, load_ts))
+            .writeStream.foreachBatch(self._merge)
             .option("checkpointLocation", self.layers.checkpoint(self.name))
             .queryName(self.name)
             .trigger(**trigger)
             .start()
         )
 
-    def _merger(self, check_refs: bool, load_ts: datetime | None) -> Callable[[DataFrame, int], None]:
-        def merge(batch: DataFrame, batch_id: int) -> None:
-            spark = batch.sparkSession
-            orders = staging.clean_orders(batch)
-            if check_refs:
-                customers = self.layers.staged(spark, "customers").read()
-                products = self.layers.staged(spark, "products").read()
-                orders = staging.valid_orders(orders, customers, products)
-            feed = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-            self.layers.staged_orders(spark).merge(staging.stamped(orders, load_ts), feed, batch_id)
-
-        return merge
+    def _merge(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        orders = staging.clean_orders(batch)
+        if self.enforce_refs or batch_id == 0:
+            customers = self.layers.staged(spark, "customers").read()
+            products = self.layers.staged(spark, "products").read()
+            orders = staging.valid_orders(orders, customers, products)
+        feed = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        self.layers.staged_orders(spark).merge(staging.stamped(orders, self.load_ts), feed, batch_id)
