@@ -1,7 +1,8 @@
-"""Wall time of the headline queries on $BENCH_SF_DIR with $BENCH_CPUS cores; prints one JSON line.
+"""Wall times at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
-Each query runs from the raw tables to its last row, written to a sink that drops the rows. One run of the flagship
-query first warms up the JVM and is not counted.
+The given tables are turned into raw retail tables and CSV files first (not timed). Then the whole chain runs twice
+on fresh layers: load, stage, seed, refresh, reports, one incremental batch, ranking. The second pass, with a warm
+JVM, is the one reported. Query results go to a sink that drops the rows.
 """
 
 from __future__ import annotations
@@ -11,32 +12,20 @@ import os
 import sys
 import tempfile
 import time
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
-
-from checks.registry import QUERIES
-from tillbook.session import OPTIONS
-
-HEADLINE = (
-    "clean_customers",
-    "clean_products",
-    "clean_orders",
-    "seed_orders",
-    "fct_sales",
-    "daily_revenue",
-    "category_revenue",
-    "kpis",
-    "top_products",
-    "revenue_by_city",
-    "revenue_moving_avg",
-    "customer_ltv",
-    "repeat_customers",
-    "category_share",
-    "rfm_scores",
-    "upsert_orders",
-    "global_ntile",
-    "global_rank",
-)
+from pyspark.sql import DataFrame, SparkSession
+
+from checks.registry import AS_OF, LOAD_TS, Retail
+from tillbook.functions import ascending, descending
+from tillbook.operators import global_ntile, global_position, global_rank
+from tillbook.plans import analytics, jobs, marts, staging
+from tillbook.schemas import LOADED_AT, text_columns
+from tillbook.session import OPTIONS, scratch_path
+from tillbook.sources import landing
+from tillbook.streaming import OrderFeed
+
+LATE_FROM = "2000-06-01"
 
 
 def session(cpus: str) -> SparkSession:
@@ -56,24 +45,105 @@ def session(cpus: str) -> SparkSession:
     return spark
 
 
+def drain(df: DataFrame) -> None:
+    df.write.format("noop").mode("overwrite").save()
+
+
+class Chain:
+    """One pass over everything; ``seconds`` holds the time of each step."""
+
+    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], order_files: str):
+        self.spark = spark
+        self.raw = raw
+        self.order_files = order_files
+        self.seconds: dict[str, float] = {}
+
+    def timed(self, name: str, step: Callable[[], object]) -> None:
+        start = time.perf_counter()
+        result = step()
+        if isinstance(result, DataFrame):
+            drain(result)
+        self.seconds[name] = round(time.perf_counter() - start, 3)
+
+    def run(self) -> dict[str, float]:
+        spark, layers = self.spark, Retail(self.spark, "").layers("bench")
+        jobs.set_up(spark, layers)
+        for name in ("customers", "products"):
+            landing.append_raw(self.raw[name], layers, name)
+        early, late = (self.raw["orders"].filter(f"{LOADED_AT} {side} '{LATE_FROM}'") for side in ("<", ">="))
+        landing.append_raw(early, layers, "orders")
+
+        csv_layers = Retail(spark, "").layers("bench-csv")
+        self.timed(
+            "load_csv", lambda: landing.load_csv(spark, csv_layers, "orders", self.order_files, landing.LENIENT)
+        )
+        self.timed("load_audit", lambda: landing.audit(spark, layers))
+        self.timed("stage_dimensions", lambda: jobs.stage_dimensions(spark, layers))
+        self.timed("clean_orders", lambda: staging.clean_orders(landing.read_raw(spark, layers, "orders")))
+        self.timed("seed_orders", lambda: jobs.seed_orders(spark, layers, LOAD_TS))
+        self.timed("refresh_marts", lambda: jobs.refresh_marts(spark, layers))
+
+        star = jobs.load_star(spark, layers)
+        fact, customers, products, unique = star.fact, star.customers, star.products, star.orders_unique
+        self.timed("daily_revenue", lambda: marts.daily_revenue(fact, unique))
+        self.timed("category_revenue", lambda: marts.category_revenue_report(fact, products))
+        self.timed("kpis", lambda: analytics.kpis(fact, unique))
+        self.timed("top_products", lambda: analytics.top_products(fact, products))
+        self.timed("revenue_by_city", lambda: analytics.revenue_by_city(fact, customers, unique))
+        self.timed("revenue_moving_avg", lambda: analytics.revenue_moving_average(fact))
+        self.timed("customer_ltv", lambda: analytics.customer_lifetime_value(fact, customers, unique))
+        self.timed("repeat_customers", lambda: analytics.repeat_customers(fact, unique))
+        self.timed("category_share", lambda: analytics.category_share(fact, products))
+        self.timed("rfm_scores", lambda: analytics.rfm_scores(fact, customers, AS_OF, unique))
+
+        fed = Retail(spark, "").layers("bench-feed")
+        for name in ("customers", "products"):
+            landing.append_raw(self.raw[name], fed, name)
+        jobs.stage_dimensions(spark, fed)
+        feed = OrderFeed(spark, fed, load_ts=LOAD_TS)
+        landing.append_raw(early, fed, "orders")
+        self.timed("feed_seed", feed.seed)
+        landing.append_raw(late, fed, "orders")
+        self.timed("feed_batch", feed.run_once)
+        self.timed("read_merged", lambda: fed.staged_orders(spark).read())
+        self.timed("compact", fed.staged_orders(spark).compact)
+
+        staged = fed.staged_orders(spark).read().select("order_id", "quantity")
+        by_quantity = [descending("quantity"), ascending("order_id")]
+        self.timed("global_row_number", lambda: global_position(staged, by_quantity, "n"))
+        self.timed("global_ntile", lambda: global_ntile(staged, 7, by_quantity, "tile"))
+        self.timed("global_rank", lambda: global_rank(staged, "quantity", "place", ties=["order_id"]))
+        return self.seconds
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-    names = sys.argv[1:] or HEADLINE
     spark = session(cpus)
 
-    def run(name: str) -> float:
-        start = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        return round(time.perf_counter() - start, 3)
-
-    run("kpis")
-    seconds = {name: run(name) for name in names}
-    total = round(sum(seconds.values()), 3)
-    sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
-    print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": seconds, "sf": sf}))
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.repartition(int(cpus)).write.parquet(path)
+        return spark.read.parquet(path)
+
+    raw = {name: stored(name, df) for name, df in Retail(spark, sf_dir).raw.items()}
+    order_files = scratch_path(spark, "order-files")
+    raw["orders"].select(*text_columns("orders")).write.csv(order_files, header=True)
+
+    Chain(spark, raw, order_files).run()
+    seconds = Chain(spark, raw, order_files).run()
+    result = {
+        "metric": "retail_chain_total",
+        "value": round(sum(seconds.values()), 3),
+        "unit": "sec",
+        "queries": seconds,
+        "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+        "raw_orders": raw["orders"].count(),
+        "cpus": int(cpus),
+    }
+    print(json.dumps(result))
     spark.stop()
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())
