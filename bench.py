@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.registry import AS_OF, LOAD_TS, Retail
-from tillbook.functions import ascending, descending
+from tillbook.functions import ASC, DESC
 from tillbook.operators import global_ntile, global_position, global_rank
 from tillbook.plans import analytics, jobs, marts, staging
 from tillbook.schemas import LOADED_AT, text_columns
@@ -109,10 +109,10 @@ class Chain:
         self.timed("compact", fed.staged_orders(spark).compact)
 
         staged = fed.staged_orders(spark).read().select("order_id", "quantity")
-        by_quantity = [descending("quantity"), ascending("order_id")]
+        by_quantity = [("quantity", DESC), ("order_id", ASC)]
         self.timed("global_row_number", lambda: global_position(staged, by_quantity, "n"))
         self.timed("global_ntile", lambda: global_ntile(staged, 7, by_quantity, "tile"))
-        self.timed("global_rank", lambda: global_rank(staged, "quantity", "place", ties=["order_id"]))
+        self.timed("global_rank", lambda: global_rank(staged, ("quantity", DESC), "place", ["order_id"]))
         return self.seconds
 
 

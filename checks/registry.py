@@ -383,17 +383,19 @@ def rfm_scores(retail: Retail) -> DataFrame:
 @query
 def global_row_number(retail: Retail) -> DataFrame:
     orders = retail.table("orders").select("o_orderkey", "o_orderdate")
-    return ops.global_position(orders, [fn.descending("o_orderdate"), fn.ascending("o_orderkey")], "row_number")
+    return ops.global_position(orders, [("o_orderdate", fn.DESC), ("o_orderkey", fn.ASC)], "row_number")
 
 
 @query
 def global_ntile(retail: Retail) -> DataFrame:
     orders = retail.table("orders").select("o_orderkey", "o_orderpriority")
-    return ops.global_ntile(orders, 7, [fn.ascending("o_orderpriority"), fn.ascending("o_orderkey")], "tile")
+    return ops.global_ntile(orders, 7, [("o_orderpriority", fn.ASC), ("o_orderkey", fn.ASC)], "tile")
 
 
 @query
 def global_rank(retail: Retail) -> DataFrame:
     """Fifty quantities on all line items, so nearly every row is a tie."""
     lines = retail.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    return ops.global_rank(lines, "l_quantity", "quantity_rank", ties=["l_orderkey", "l_linenumber", "l_partkey"])
+    return ops.global_rank(
+        lines, ("l_quantity", fn.DESC), "quantity_rank", ties=["l_orderkey", "l_linenumber", "l_partkey"]
+    )

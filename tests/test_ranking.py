@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import sample
-from tillbook.functions import ascending, descending
+from tillbook.functions import ASC, DESC, ascending, descending, directed
 from tillbook.operators import global_ntile, global_position, global_rank, moving_average, share_of_total
 
 
@@ -30,18 +30,18 @@ def plan(df):
 
 
 def test_position(scores):
-    order = [descending("value"), ascending("id")]
-    got = global_position(scores, order, "n")
-    expected = scores.withColumn("n", F.row_number().over(Window.orderBy(*order)))
+    got = global_position(scores, [("value", DESC), ("id", ASC)], "n")
+    order = Window.orderBy(descending("value"), ascending("id"))
+    expected = scores.withColumn("n", F.row_number().over(order))
     assert sample.bag(got) == sample.bag(expected)
     assert "SinglePartition" not in plan(got)
 
 
 @pytest.mark.parametrize("tiles", [1, 3, 7, 10_007, 20_000])
 def test_ntile(scores, tiles):
-    order = [ascending("value"), ascending("id")]
-    got = global_ntile(scores, tiles, order, "tile")
-    expected = scores.withColumn("tile", F.ntile(tiles).over(Window.orderBy(*order)))
+    got = global_ntile(scores, tiles, [("value", ASC), ("id", ASC)], "tile")
+    order = Window.orderBy(ascending("value"), ascending("id"))
+    expected = scores.withColumn("tile", F.ntile(tiles).over(order))
     assert sample.bag(got) == sample.bag(expected)
     assert "SinglePartition" not in plan(got)
 
@@ -50,30 +50,29 @@ def test_ntile(scores, tiles):
 def test_ntile_of_few_rows(spark, rows):
     df = spark.range(rows)
     expected = df.withColumn("tile", F.ntile(3).over(Window.orderBy("id")))
-    assert sample.bag(global_ntile(df, 3, [F.col("id")], "tile")) == sample.bag(expected)
+    assert sample.bag(global_ntile(df, 3, [("id", ASC)], "tile")) == sample.bag(expected)
 
 
-@pytest.mark.parametrize("desc", [True, False])
+@pytest.mark.parametrize("direction", [DESC, ASC])
 @pytest.mark.parametrize("block_rows", [10, 1000, 100_000])
-def test_rank(scores, desc, block_rows):
-    direction = descending if desc else ascending
-    got = global_rank(scores, "value", "place", desc=desc, ties=["id"], block_rows=block_rows)
-    expected = scores.withColumn("place", F.rank().over(Window.orderBy(direction("value"))))
+def test_rank(scores, direction, block_rows):
+    got = global_rank(scores, ("value", direction), "place", ties=["id"], block_rows=block_rows)
+    expected = scores.withColumn("place", F.rank().over(Window.orderBy(directed("value", direction))))
     assert sample.bag(got) == sample.bag(expected)
     assert "SinglePartition" not in plan(got)
 
 
 def test_rank_without_ties_columns_and_without_rows(spark, scores):
     expected = scores.withColumn("place", F.rank().over(Window.orderBy(descending("value"))))
-    assert sample.bag(global_rank(scores, "value", "place")) == sample.bag(expected)
-    assert global_rank(scores.filter("id < 0"), "value", "place").collect() == []
+    assert sample.bag(global_rank(scores, ("value", DESC), "place")) == sample.bag(expected)
+    assert global_rank(scores.filter("id < 0"), ("value", DESC), "place").collect() == []
 
 
 def test_sort_splits_a_value_held_by_most_rows(spark):
     df = spark.range(80_000).select("id", F.lit(1).alias("value"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        placed = global_position(df, [descending("value"), ascending("id")], "n")
+        placed = global_position(df, [("value", DESC), ("id", ASC)], "n")
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     sizes = [row["count"] for row in placed.groupBy(F.spark_partition_id()).count().collect()]
@@ -94,3 +93,18 @@ def test_moving_average_counts_rows_and_puts_null_last(spark):
     df = spark.createDataFrame([(5, 4.0), (1, 1.0), (9, None), (None, 7.0), (2, 2.0)], "d int, v double")
     got = moving_average(df, [ascending("d")], "v", 2, "avg").orderBy(ascending("d"))
     assert [row.avg for row in got.collect()] == [1.0, 1.5, 2.33, 3.0, 5.5]
+
+
+@pytest.mark.parametrize("direction", [DESC, ASC])
+def test_wide_decimals_sort_exactly(spark, direction):
+    """Neighbours that share a double, values on both sides of the limit, both signs, NULL."""
+    texts = [str(10**37 + step) for step in range(40)] + [str(-(10**37) - step) for step in range(40)]
+    texts += [str(sign * (10**13 + step)) + cents for sign in (1, -1) for step in range(-9, 9) for cents in (".01", ".02")]
+    texts += ["0", "0.01", "-0.01", "5", None]
+    random.Random(1).shuffle(texts)
+    df = spark.createDataFrame([(index, text) for index, text in enumerate(texts)], "id int, text string")
+    for scale in (0, 2):
+        values = df.select("id", F.col("text").try_cast(f"decimal(38,{scale})").alias("value")).repartition(4)
+        got = global_position(values, [("value", direction), ("id", ASC)], "n")
+        order = Window.orderBy(directed("value", direction), ascending("id"))
+        assert sample.bag(got) == sample.bag(values.withColumn("n", F.row_number().over(order)))

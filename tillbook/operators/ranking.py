@@ -2,7 +2,7 @@
 
 A global sort leaves partition ``i`` wholly in front of partition ``i + 1``. Once that result is checkpointed, a row's
 place is the number of rows in the partitions before it plus its index inside its own partition. Only the partition
-sizes pass through the driver.
+sizes pass through the driver. The functions run that sort when they are called.
 """
 
 from __future__ import annotations
@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillbook.functions import ascending, descending
+from tillbook.functions import ASC, SortKey, directed
 from tillbook.session import checkpointed
 
 _PART, _INDEX, _POSITION, _BLOCK = "_part", "_index", "_position", "_block"
@@ -24,9 +25,29 @@ _INDEX_BITS = (1 << 33) - 1
 # Rows of one value that may meet in one join group of global_rank().
 _BLOCK_ROWS = 100_000
 
-
-def _placed(df: DataFrame, order: Sequence[Column], out: str) -> tuple[DataFrame, int]:
-    rows = checkpointed(df.orderBy(*order)).select(
+# A long holds every decimal of this many digits; a double tells any two decimals of _DOUBLE_DIGITS digits apart.
+_LONG_DIGITS, _DOUBLE_DIGITS = 18, 15
+
+
+def _sorted(df: DataFrame, order: Sequence[SortKey]) -> DataFrame:
+    """Global sort. Decimals too wide for a long compare slowly, so they are sorted by their double first, and by
+    their own value only where two different ones could share a double."""
+    helpers, keys = {}, []
+    for name, direction in order:
+        kind = df.schema[name].dataType
+        if isinstance(kind, T.DecimalType) and kind.precision > _LONG_DIGITS:
+            value, limit = F.col(name), 10.0 ** (_DOUBLE_DIGITS - kind.scale)
+            near, rest = f"_near_{name}", f"_rest_{name}"
+            helpers[near] = value.cast("double")
+            helpers[rest] = F.when(F.abs(helpers[near]) >= limit, value)
+            keys += [directed(near, direction), directed(rest, direction)]
+        else:
+            keys.append(directed(name, direction))
+    return df.withColumns(helpers).orderBy(*keys).select(*df.columns) if helpers else df.orderBy(*keys)
+
+
+def _placed(df: DataFrame, order: Sequence[SortKey], out: str) -> tuple[DataFrame, int]:
+    rows = checkpointed(_sorted(df, order)).select(
         "*",
         F.spark_partition_id().alias(_PART),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_INDEX_BITS)).alias(_INDEX),
@@ -37,13 +58,13 @@ def _placed(df: DataFrame, order: Sequence[Column], out: str) -> tuple[DataFrame
     return rows.withColumn(out, F.get(starts, F.col(_PART)) + F.col(_INDEX)).drop(_PART, _INDEX), ends[-1]
 
 
-def global_position(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
+def global_position(df: DataFrame, order: Sequence[SortKey], out: str) -> DataFrame:
     """Row number from 1 in ``order``. For a repeatable result ``order`` ends in a unique column."""
     placed, _ = _placed(df, order, out)
     return placed.withColumn(out, F.col(out) + 1)
 
 
-def global_ntile(df: DataFrame, tiles: int, order: Sequence[Column], out: str) -> DataFrame:
+def global_ntile(df: DataFrame, tiles: int, order: Sequence[SortKey], out: str) -> DataFrame:
     """Number of the tile, 1 to ``tiles``, when the rows in ``order`` are cut into tiles of equal size.
 
     As in SQL, sizes differ by one at most and the larger tiles come first.
@@ -58,7 +79,7 @@ def global_ntile(df: DataFrame, tiles: int, order: Sequence[Column], out: str) -
 
 
 def global_rank(
-    df: DataFrame, value: str, out: str, desc: bool = True, ties: Sequence[str] = (), block_rows: int = _BLOCK_ROWS
+    df: DataFrame, value: SortKey, out: str, ties: Sequence[str] = (), block_rows: int = _BLOCK_ROWS
 ) -> DataFrame:
     """Rank by ``value``: equal values share a rank, and as many ranks are left out behind them.
 
@@ -66,13 +87,13 @@ def global_rank(
     the block of ``block_rows`` places a row stands in, so even one value on most rows is spread over many tasks.
     ``ties`` are columns that order equal values, so that the sort can split those too.
     """
-    direction = descending if desc else ascending
-    placed, _ = _placed(df, [direction(value), *(ascending(name) for name in ties)], _POSITION)
+    placed, _ = _placed(df, [value, *((name, ASC) for name in ties)], _POSITION)
+    column = F.col(value[0])
     rows = placed.withColumn(_BLOCK, F.expr(f"{_POSITION} div {block_rows}"))
     first_of_value = (
-        rows.groupBy(F.col(value).alias("_value"))
+        rows.groupBy(column.alias("_value"))
         .agg(F.min(_POSITION).alias("_first"), F.min(_BLOCK).alias("_from"), F.max(_BLOCK).alias("_to"))
         .select("_value", (F.col("_first") + 1).alias(out), F.explode(F.sequence("_from", "_to")).alias("_in_block"))
     )
-    same = (F.col(_BLOCK) == F.col("_in_block")) & F.col(value).eqNullSafe(F.col("_value"))
+    same = (F.col(_BLOCK) == F.col("_in_block")) & column.eqNullSafe(F.col("_value"))
     return rows.join(first_of_value, same).select(*df.columns, out)

@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.functions import ascending, days_between, descending
+from tillbook.functions import ASC, DESC, ascending, days_between, descending
 from tillbook.operators import global_ntile, global_rank, moving_average, share_of_total
 from tillbook.plans.marts import category_revenue, daily_revenue, members, order_count, sales_by_product
 
@@ -76,7 +76,7 @@ def customer_lifetime_value(fact: DataFrame, customers: DataFrame, orders_unique
     spending = _sales_by_customer(fact, customers, orders_unique, "full_name", "city").withColumnRenamed(
         "revenue", "lifetime_value"
     )
-    ranked = global_rank(spending, "lifetime_value", "spend_rank", ties=["full_name", "city"])
+    ranked = global_rank(spending, ("lifetime_value", DESC), "spend_rank", ties=["full_name", "city"])
     return ranked.orderBy(descending("lifetime_value"), ascending("full_name"), ascending("city"))
 
 
@@ -112,14 +112,14 @@ def rfm_scores(
     fact: DataFrame, customers: DataFrame, as_of: date | None = None, orders_unique: bool = False
 ) -> DataFrame:
     """Thirds of the customers by recency, frequency and revenue, 1 being the best; ties go by customer id."""
-    ties = [ascending("customer_id"), ascending("full_name")]
+    ties = [("customer_id", ASC), ("full_name", ASC)]
     scored = rfm_base(fact, customers, as_of, orders_unique)
-    for measure, score in (
-        (ascending("recency_days"), "r_score"),
-        (descending("frequency"), "f_score"),
-        (descending("monetary"), "m_score"),
+    for measure, direction, score in (
+        ("recency_days", ASC, "r_score"),
+        ("frequency", DESC, "f_score"),
+        ("monetary", DESC, "m_score"),
     ):
-        scored = global_ntile(scored, RFM_TILES, [measure, *ties], score)
-    return scored.orderBy(descending("monetary"), *ties).select(
+        scored = global_ntile(scored, RFM_TILES, [(measure, direction), *ties], score)
+    return scored.orderBy(descending("monetary"), ascending("customer_id"), ascending("full_name")).select(
         "full_name", "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score"
     )
