@@ -133,3 +133,15 @@ def test_resume_and_suspend(spark, layers, feed):
     landing.insert_rows(spark, layers, "orders", [NEW_ORDER | {"order_id": "1017"}])
     feed.run_once()
     assert len(staged(feed, "order_id")) == 17
+
+
+def test_feed_compacts_after_so_many_batches(spark, layers):
+    sample.land(spark, layers)
+    feed = OrderFeed(spark, layers, compact_after=2)
+    feed.seed()
+    for number in range(1016, 1019):
+        landing.insert_rows(spark, layers, "orders", [NEW_ORDER | {"order_id": str(number)}])
+        feed.run_once()
+    state = layers.staged_orders(spark).state()
+    assert (len(state["folders"]), len(state["batches"]), state["last_batch"]) == (1, 1, 3)
+    assert len(staged(feed, "order_id")) == 18

@@ -80,6 +80,26 @@ def test_second_writer_of_a_version_is_refused(spark, table):
     assert table.read().count() == 4
 
 
+def test_old_versions_are_dropped(spark, merged, tmp_path):
+    for key in range(4):
+        merged.merge(orders(spark, (key, "a")))
+    (tmp_path / "m" / "data" / "under-way").mkdir()
+    merged.compact()
+    merged.merge(orders(spark, (9, "b")))
+    before = content(merged)
+    merged.drop_old_versions(keep=2)
+    assert content(merged) == before
+    state = merged.state()
+    assert {path.name for path in (tmp_path / "m" / "data").iterdir()} == {
+        "under-way", *state["folders"], *state["batches"]
+    }
+    assert len([path for path in (tmp_path / "m" / "commits").iterdir() if path.suffix == ".json"]) == 2
+    merged.drop_old_versions()
+    assert content(merged) == before
+    with pytest.raises(ValueError):
+        merged.drop_old_versions(keep=0)
+
+
 def test_files(spark, tmp_path):
     assert files.list_names(spark, str(tmp_path / "none")) == []
     files.publish_text(spark, str(tmp_path / "a.txt"), "ä")

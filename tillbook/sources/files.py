@@ -44,3 +44,9 @@ def publish_text(spark: SparkSession, file: str, text: str) -> None:
         hadoop.fs.FileContext.getFileContext(path.toUri(), configuration).rename(draft, path, no_overwrite)
     except Py4JJavaError as error:
         raise FileExistsError(f"another writer has published {file}") from error
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file, or a folder with all that is in it; nothing happens if it is gone already."""
+    _, store, target, _ = _hadoop(spark, path)
+    store.delete(target, True)

@@ -3,7 +3,7 @@
 Each write goes to a new folder under ``data/``. A small JSON file under ``commits/`` names the folders that make up
 the table from then on; it appears by an atomic rename that fails if another writer was faster. A reader uses the
 newest commit, so it never sees half a write, and a write that dies before its commit leaves the table as it was.
-Old folders stay until somebody removes them. A store without atomic rename needs one writer at a time.
+Old folders stay until ``drop_old_versions`` is called. A store without atomic rename needs one writer at a time.
 """
 
 from __future__ import annotations
@@ -33,11 +33,8 @@ class VersionedTable:
 
     def state(self) -> dict[str, Any]:
         """The newest commit; version 0 stands for a table never written."""
-        names = files.list_names(self.spark, f"{self.path}/commits")
-        versions = [name for name in names if name.endswith(".json") and not name.startswith(".")]
-        if not versions:
-            return {"version": 0, "folders": [], "schema": None, "facts": {}}
-        return json.loads(files.read_text(self.spark, f"{self.path}/commits/{max(versions)}"))
+        commits = self._commits()
+        return self._parsed(commits[-1]) if commits else {"version": 0, "folders": [], "schema": None, "facts": {}}
 
     def facts(self) -> dict[str, Any]:
         """What the last refresh stated about the content."""
@@ -66,6 +63,33 @@ class VersionedTable:
             raise FileNotFoundError(f"no table at {self.path}")
         return self._load(state["folders"], T.StructType.fromJson(json.loads(state["schema"])))
 
+    def drop_old_versions(self, keep: int = 1) -> None:
+        """Delete all but the newest ``keep`` versions. Who still reads an older one will fail.
+
+        Only folders that an old commit names and no kept commit does are deleted, so a write under way is safe.
+        """
+        if keep < 1:
+            raise ValueError("the newest version stays")
+        commits = self._commits()
+        old, kept = commits[:-keep], commits[-keep:]
+        in_use = {folder for commit in kept for folder in self._folders(self._parsed(commit))}
+        for commit in old:
+            for folder in self._folders(self._parsed(commit)):
+                if folder not in in_use:
+                    files.remove(self.spark, f"{self.path}/data/{folder}")
+            files.remove(self.spark, f"{self.path}/commits/{commit}")
+
+    def _commits(self) -> list[str]:
+        names = files.list_names(self.spark, f"{self.path}/commits")
+        return sorted(name for name in names if name.endswith(".json") and not name.startswith("."))
+
+    def _parsed(self, commit: str) -> dict[str, Any]:
+        return json.loads(files.read_text(self.spark, f"{self.path}/commits/{commit}"))
+
+    @staticmethod
+    def _folders(state: dict[str, Any]) -> list[str]:
+        return [*state["folders"], *state.get("batches", [])]
+
     def _load(self, folders: list[str], schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(*(f"{self.path}/data/{folder}" for folder in folders))
 

@@ -21,7 +21,8 @@ from tillbook.sources import Layers, stream_raw
 class OrderFeed:
     """The first batch is the seed and drops orders of unknown customers or products.
 
-    Later batches keep them unless ``enforce_refs`` is set. ``load_ts`` replaces the clock as load stamp.
+    Later batches keep them unless ``enforce_refs`` is set. ``load_ts`` replaces the clock as load stamp. After
+    ``compact_after`` batches (a day of five-minute runs) the staged table is compacted.
     """
 
     spark: SparkSession
@@ -29,6 +30,7 @@ class OrderFeed:
     name: str = "orders"
     enforce_refs: bool = False
     load_ts: datetime | None = None
+    compact_after: int = 288
 
     def seed(self) -> None:
         """First run: everything landed so far, as one batch."""
@@ -62,4 +64,7 @@ class OrderFeed:
             products = self.layers.staged(spark, "products").read()
             orders = staging.valid_orders(orders, customers, products)
         feed = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        self.layers.staged_orders(spark).merge(staging.stamped(orders, self.load_ts), feed, batch_id)
+        staged = self.layers.staged_orders(spark)
+        staged.merge(staging.stamped(orders, self.load_ts), feed, batch_id)
+        if len(staged.state()["batches"]) >= self.compact_after:
+            staged.compact()
