@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import sample
-from tillbook.operators import latest_per_key
+from tillbook.operators import latest_per_key, merge_rows
 from tillbook.schemas import STG_ORDERS
 from tillbook.sources import MergeTable, VersionedTable, files
 
@@ -160,11 +160,60 @@ def test_any_split_of_the_input_gives_the_one_shot_result(spark, merged):
     assert content(merged) == sorted(((str(key), status) for key, status in expected.items()), key=repr)
 
 
-def test_lookup_reaches_the_files_and_base_is_not_shuffled(spark, merged):
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookup_opens_one_bucket(spark, merged):
     merged.merge(orders(spark, *((key, "a") for key in range(100))))
     merged.merge(orders(spark, (16, "b")))
     found = merged.read().filter(F.col("order_id") == 16)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("EqualTo(order_id,16)") >= 2
-    assert "hashpartitioning" not in plan
+    assert plan(found).count("EqualTo(order_id,16)") >= 2
     assert sample.bag(found.select("order_id", "status")) == [("16", "b")]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+def test_large_batches_move_but_not_the_compacted_rows(spark, merged, no_broadcast):
+    merged.merge(orders(spark, *((key, "a") for key in range(100))))
+    merged.merge(orders(spark, *((key, "b") for key in range(50, 150))))
+    text = plan(merged.read())
+    compacted_side = text[text.index("SortMergeJoin") : text.index("hashpartitioning")]
+    assert "SelectedBucketsCount: 8 out of 8" in compacted_side
+    assert text.count("hashpartitioning") == 1
+    found = merged.read().filter(F.col("order_id") == F.lit(Decimal(16)))
+    assert "SelectedBucketsCount: 1 out of 8" in plan(found)
+    assert merged.read().groupBy("status").count().orderBy("status").collect() == [("a", 50), ("b", 100)]
+
+
+def test_compaction_writes_bucket_by_bucket(spark, merged, tmp_path):
+    merged.merge(orders(spark, *((key, "a") for key in range(1000))))
+    merged.merge(orders(spark, *((key, "b") for key in range(500, 1500))))
+    state = merged.state()
+    batches = merged._newest(state).repartition(merged.buckets, "order_id").hint("merge")
+    text = plan(merge_rows(merged._compacted(state), batches, "order_id").repartition(merged.buckets, "order_id"))
+    assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning") == 2  # both on the batches
+    merged.compact()
+    (folder,) = merged.state()["folders"]
+    files_written = [path for path in (tmp_path / "m" / "data" / folder).iterdir() if path.suffix == ".parquet"]
+    assert len(files_written) == merged.buckets
+    assert merged.read().groupBy("status").count().orderBy("status").collect() == [("a", 500), ("b", 1000)]
+
+
+def test_bucket_count_may_change(spark, merged):
+    merged.merge(orders(spark, *((key, "a") for key in range(100))))
+    wider = MergeTable(spark, merged.path, buckets=5)
+    wider.merge(orders(spark, (7, "b"), (200, "b")))
+    before = content(wider)
+    wider.compact()
+    assert wider.state()["buckets"] == 5 and merged.state()["buckets"] == 5
+    assert content(wider) == before == content(merged)
+    assert spark.sql("SHOW TABLES").filter("tableName LIKE 'merge_%'").count() == 0

@@ -22,6 +22,10 @@ from tillbook.schemas import STG_ORDERS
 from tillbook.sources import files
 
 _SEQUENCE = "_sequence"
+_CATALOG = "spark_catalog.default"
+
+# Spark's own limit unless spark.sql.sources.bucketing.maxBuckets is raised.
+_MOST_BUCKETS = 100_000
 
 
 class VersionedTable:
@@ -108,23 +112,34 @@ class MergeTable(VersionedTable):
 
     A batch is written as it is, so its cost follows its own size and not that of the table. Reading lets the newest
     batch of a key win: the batches since the last compaction are reduced to one row per key, and the compacted rows
-    of those keys are filtered out. ``compact`` folds the batches in, which keeps that filter side small. The first
-    batch of an empty table counts as compacted, since there is nothing it could replace.
+    of those keys are filtered out. ``compact`` folds the batches in.
+
+    The compacted rows are one Parquet folder bucketed and sorted by the key. A join with them on the key shuffles
+    only the other side, so neither reading nor compaction moves the large part of the table, and a lookup of one
+    key opens one bucket. A bucket should suit one task, so their number is that of the shuffle partitions unless
+    ``buckets`` says otherwise; a new number applies from the next compaction on.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str = "order_id", schema: T.StructType = STG_ORDERS):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        key: str = "order_id",
+        schema: T.StructType = STG_ORDERS,
+        buckets: int | None = None,
+    ):
         super().__init__(spark, path)
         self.key = key
         self.schema = schema
+        self.buckets = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), _MOST_BUCKETS)
 
     def state(self) -> dict[str, Any]:
-        return {"batches": [], "feed": None, "last_batch": -1, **super().state()}
+        return {"batches": [], "buckets": self.buckets, "feed": None, "last_batch": -1, **super().state()}
 
     def overwrite(self, df: DataFrame, facts: dict[str, Any] | None = None) -> None:
         """Replace the content by rows with unique keys; batches so far are dropped."""
         state = self.state()
-        folder = self._write(df.select(*self.schema.names))
-        self._commit(state, folders=[folder], batches=[], schema=self.schema.json(), facts=facts or {})
+        self._commit(state, batches=[], facts=facts or {}, **self._compacted_to(df))
 
     def create(self, schema: T.StructType) -> None:
         """Make the table empty, and ready for another feed."""
@@ -138,6 +153,7 @@ class MergeTable(VersionedTable):
 
         A streaming caller names its feed and batch. A batch that was committed before is left out, and a feed that
         lost its checkpoint (same table, other feed) is refused, because its batch numbers mean something else.
+        The first batch of an empty table counts as compacted, since there is nothing it could replace.
         Returns whether the batch was applied.
         """
         state = self.state()
@@ -146,33 +162,63 @@ class MergeTable(VersionedTable):
                 raise RuntimeError(f"{self.path} is fed by {state['feed']}, not by {feed}")
             if batch_id <= state["last_batch"]:
                 return False
-        rows = df.select(*self.schema.names).withColumn(_SEQUENCE, F.lit(state["version"]).cast("bigint"))
-        part = "batches" if state["folders"] or state["batches"] else "folders"
-        changes = {part: [*state[part], self._write(rows)], "schema": self.schema.json(), "facts": {}}
-        if feed is not None:
-            changes |= {"feed": feed, "last_batch": batch_id}
-        self._commit(state, **changes)
+        if state["folders"] or state["batches"]:
+            sequence = F.lit(state["version"]).cast("bigint")
+            folder = self._write(df.select(*self.schema.names).withColumn(_SEQUENCE, sequence))
+            changes = {"batches": [*state["batches"], folder]}
+        else:
+            changes = self._compacted_to(df)
+        progress = {} if feed is None else {"feed": feed, "last_batch": batch_id}
+        self._commit(state, facts={}, **changes, **progress)
         return True
 
     def read(self) -> DataFrame:
         state = self.state()
         compacted = self._compacted(state)
-        if not state["batches"]:
-            return compacted
-        sequenced = T.StructType([*self.schema.fields, T.StructField(_SEQUENCE, T.LongType())])
-        batches = self._load(state["batches"], sequenced)
-        if len(state["batches"]) > 1:
-            batches = latest_per_key(batches, [self.key], [descending(_SEQUENCE)])
-        batches = batches.drop(_SEQUENCE)
-        return merge_rows(compacted, batches, self.key) if state["folders"] else batches
+        return merge_rows(compacted, self._newest(state), self.key) if state["batches"] else compacted
 
     def compact(self) -> None:
-        """Fold the batches into the compacted rows; content and feed progress stay as they are."""
+        """Fold the batches into the compacted rows; content and feed progress stay as they are.
+
+        With the batches split like the buckets and a merge join, the old rows are read, filtered and written bucket
+        by bucket.
+        """
         state = self.state()
         if state["batches"]:
-            self._commit(state, folders=[self._write(self.read())], batches=[])
+            batches = self._newest(state).repartition(self.buckets, self.key).hint("merge")
+            merged = merge_rows(self._compacted(state), batches, self.key)
+            self._commit(state, batches=[], **self._compacted_to(merged))
+
+    def _newest(self, state: dict[str, Any]) -> DataFrame:
+        """One row per key of the batches."""
+        sequenced = T.StructType([*self.schema.fields, T.StructField(_SEQUENCE, T.LongType())])
+        batches = self._load(state["batches"], sequenced)
+        if len(state["batches"]) > 1:
+            batches = latest_per_key(batches, [self.key], [descending(_SEQUENCE)])
+        return batches.drop(_SEQUENCE)
 
     def _compacted(self, state: dict[str, Any]) -> DataFrame:
+        """The bucketed folder. A bucketed read goes through a catalog entry, needed only to resolve the plan."""
         if not state["folders"]:
             return self.spark.createDataFrame([], self.schema)
-        return self._load(state["folders"], self.schema)
+        (folder,) = state["folders"]
+        columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in self.schema)
+        entry = f"{_CATALOG}.merge_{uuid.uuid4().hex}"
+        self.spark.sql(
+            f"CREATE TABLE {entry} ({columns}) USING parquet "
+            f"CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {state['buckets']} BUCKETS "
+            f"LOCATION '{self.path}/data/{folder}'"
+        )
+        df = self.spark.table(entry)
+        self.spark.sql(f"DROP TABLE {entry}")
+        return df
+
+    def _compacted_to(self, df: DataFrame) -> dict[str, Any]:
+        """Write the bucketed folder; the catalog entry of the write goes, the files stay."""
+        folder, entry = uuid.uuid4().hex, f"{_CATALOG}.merge_{uuid.uuid4().hex}"
+        rows = df.select(*self.schema.names).repartition(self.buckets, self.key)
+        rows.write.format("parquet").bucketBy(self.buckets, self.key).sortBy(self.key).option(
+            "path", f"{self.path}/data/{folder}"
+        ).saveAsTable(entry)
+        self.spark.sql(f"DROP TABLE {entry}")
+        return {"folders": [folder], "buckets": self.buckets, "schema": self.schema.json()}
