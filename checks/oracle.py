@@ -255,7 +255,8 @@ ORACLE: dict[str, str] = {
     ),
     "fct_sales": _mart(
         """SELECT order_id, customer_id, product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
-               CAST(line_revenue AS DOUBLE) AS line_revenue, order_ts, CAST(order_date AS TIMESTAMP) AS order_date, status
+               CAST(line_revenue AS DOUBLE) AS line_revenue, order_ts, CAST(order_date AS TIMESTAMP) AS order_date,
+               status
         FROM fct_sales"""
     ),
     "daily_revenue": _mart(

@@ -99,7 +99,8 @@ def test_moving_average_counts_rows_and_puts_null_last(spark):
 def test_wide_decimals_sort_exactly(spark, direction):
     """Neighbours that share a double, values on both sides of the limit, both signs, NULL."""
     texts = [str(10**37 + step) for step in range(40)] + [str(-(10**37) - step) for step in range(40)]
-    texts += [str(sign * (10**13 + step)) + cents for sign in (1, -1) for step in range(-9, 9) for cents in (".01", ".02")]
+    for step in range(-9, 9):
+        texts += [f"{sign}{10**13 + step}{cents}" for sign in ("", "-") for cents in (".01", ".02")]
     texts += ["0", "0.01", "-0.01", "5", None]
     random.Random(1).shuffle(texts)
     df = spark.createDataFrame([(index, text) for index, text in enumerate(texts)], "id int, text string")

@@ -95,13 +95,13 @@ def insert_rows(
     """Append literal rows to a raw table; columns a row does not name are NULL, the load stamp fills itself."""
     schema = T.StructType([field for field in RAW[table] if field.name != LOADED_AT])
     values = [tuple(row.get(name) for name in schema.names) for row in rows]
-    _append(_accepted(spark.createDataFrame(values, schema), load_ts), layers, table)
+    append_raw(spark.createDataFrame(values, schema).withColumn(LOADED_AT, _stamp(load_ts)), layers, table)
 
 
 def append_raw(df: DataFrame, layers: Layers, table: str) -> None:
     """Append a DataFrame that has the raw table's columns, load stamp included."""
-    accepted = df.select(*RAW[table].names).withColumns({_LINE: F.lit(None).cast("string"), _STATUS: F.lit(_OK)})
-    _append(accepted, layers, table)
+    accepted = {_LINE: F.lit(None).cast("string"), _STATUS: F.lit(_OK)}
+    _append(df.select(*RAW[table].names).withColumns(accepted), layers, table)
 
 
 def create_raw(spark: SparkSession, layers: Layers, table: str) -> None:
@@ -132,6 +132,3 @@ def audit(spark: SparkSession, layers: Layers) -> DataFrame:
     """``(tbl, rows)`` of the three raw tables."""
     return row_counts({table: read_raw(spark, layers, table) for table in RAW})
 
-
-def _accepted(df: DataFrame, load_ts: datetime | None) -> DataFrame:
-    return df.withColumns({LOADED_AT: _stamp(load_ts), _LINE: F.lit(None).cast("string"), _STATUS: F.lit(_OK)})
