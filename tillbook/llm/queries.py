@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.llm import curriculum, packing
+from tillbook.llm import curriculum, packing, passages, quality, simhash
 from tillbook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.taken(table(spark, sf_dir, "documents"))
 
@@ -20,4 +24,15 @@ def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op6_mixing": op6_mixing, "op7_best_fit": op7_best_fit}
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {
+    query.__name__: query
+    for query in (op4_quality, op6_mixing, op7_best_fit, op8_simhash, op10_passages)
+}
