@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.llm import curriculum, packing, passages, quality, simhash
+from tillbook.llm import curriculum, language, packing, passages, quality, simhash, toxicity
 from tillbook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -28,11 +32,23 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predictions(table(spark, sf_dir, "documents"))
+
+
 def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_bytes(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op4_quality, op6_mixing, op7_best_fit, op8_simhash, op10_passages)
+    for query in (
+        op1_toxicity,
+        op4_quality,
+        op6_mixing,
+        op7_best_fit,
+        op8_simhash,
+        op9_language,
+        op10_passages,
+    )
 }
