@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.llm import curriculum, language, packing, passages, quality, simhash, toxicity
+from tillbook.llm import curriculum, language, maxent, packing, passages, quality, simhash, toxicity
 from tillbook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.scores(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_toxicity,
+        op3_maxent,
         op4_quality,
         op6_mixing,
         op7_best_fit,
