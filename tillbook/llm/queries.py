@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.llm import curriculum, language, maxent, packing, passages, quality, simhash, toxicity
+from tillbook.llm import ann, curriculum, embedding_dedup, language, maxent, packing, passages, quality, simhash, toxicity
 from tillbook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.scores(table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.taken(table(spark, sf_dir, "documents"))
 
@@ -48,8 +56,10 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_toxicity,
+        op2_embedding_dedup,
         op3_maxent,
         op4_quality,
+        op5_nn_descent,
         op6_mixing,
         op7_best_fit,
         op8_simhash,
