@@ -3,7 +3,8 @@
 Whole texts can't be sorted together on a cluster, and need not be. Each window of ``LENGTH`` bytes has an anchor, its
 leftmost smallest gram by a hash, so equal windows have equal anchors at equal places.
 
-1. Tasks hash all grams. Hashes of anchors go, a few bytes each, to buckets that find those in two documents or more.
+1. Tasks hash all grams. Hashes of anchors go, a few bytes each, to buckets that find those in two texts or more.
+   Copies of a whole text are found by its digest; their smallest document takes part, the others go as a whole.
 2. Documents get their shared anchors back and send each with its context, the bytes that the windows around it cover.
    Equal contexts are one row per chunk of documents.
 3. Contexts arrive sorted by anchor. Copies of a context are settled at once. Anchors whose contexts differ are gathered
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +36,7 @@ GRAM = 28
 SPAN = LENGTH - GRAM + 1  # grams in a window, and symbols in one whose anchor is a single symbol
 
 #: Text bytes for each chunk of documents and, over it, hashed at a time; symbols of a block; contexts of an anchor held at a time.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 4 << 20
 PART_BYTES = 1 << 19
 BLOCK = 1 << 15
 MOST_CONTEXTS = 2048
@@ -183,39 +185,67 @@ def _batch(columns: dict[str, list], kinds: dict[str, pa.DataType]) -> pa.Record
     return pa.RecordBatch.from_arrays([pa.array(columns[c], k) for c, k in kinds.items()], names=list(kinds))
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch of (id, bytes) in slices of about a chunk's size."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = sizes[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, before + CHUNK_BYTES, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def text_hash(text: bytes) -> int:
+    return xxhash.xxh64_intdigest(text, 42)
+
+
+def _of_several_texts(gram: np.ndarray, text: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, first, many): rows by gram, of each text's copies the first only; where grams begin; those of several texts."""
+    order = np.lexsort((doc, text, gram))
+    new_gram = np.concatenate(([True], gram[order][1:] != gram[order][:-1]))
+    new_text = new_gram | np.concatenate(([True], text[order][1:] != text[order][:-1]))
+    same_doc = ~new_text & np.concatenate(([False], doc[order][1:] == doc[order][:-1]))
+    own = new_text.copy()
+    while (more := same_doc & ~own & np.concatenate(([False], own[:-1]))).any():  # a gram again in the same document
+        own |= more
+    order, new_gram, new_text = order[own], new_gram[own], new_text[own]
+    start = np.flatnonzero(new_gram)
+    texts = np.add.reduceat(new_text.astype(np.int64), start) if len(start) else np.zeros(0, np.int64)
+    return order, new_gram, (texts > 1)[np.cumsum(new_gram) - 1]
+
+
 def _shared(docs: DataFrame, buckets: int, chunks: int) -> DataFrame:
-    """Lists, by chunk, of the anchors' numbers in each document whose hash another document has too."""
-    kinds = {"bucket": pa.int32(), **dict.fromkeys(("ids", "runs", "steps", "grams"), pa.binary())}
+    """Lists, by chunk, of the anchors' numbers in each document whose hash another text has too.
+
+    Copies of a whole text share all their anchors, so wherever one of them turns up all others do, and only the
+    smallest goes on.
+    """
+    kinds = {"bucket": pa.int32(), **dict.fromkeys(("ids", "runs", "steps", "texts", "grams"), pa.binary())}
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole)):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            text, _, _, _, least = all_anchors(*_buffer(batch.column(1)))
-            doc, number = ids[text], _numbered(text)
-            order = np.lexsort((doc, least))
-            same = least[order][1:] == least[order][:-1]
-            first = np.concatenate(([True], ~same))
-            start = np.flatnonzero(first)
-            end = np.concatenate((start[1:], [len(order)])) - 1
-            many = doc[order[start]] != doc[order[end]] if len(start) else np.zeros(0, bool)
-            # of those in several documents here, all are known to be shared, and one stands for them elsewhere
-            group = np.cumsum(first) - 1
-            known = np.zeros(len(order), bool)
-            known[order] = many[group]
-            sent = ~known
-            sent[order[start]] = True
+            copies = np.array([text_hash(x or b"") for x in batch.column(1).to_pylist()], np.uint64)
+            row, _, _, _, least = all_anchors(*_buffer(batch.column(1)))
+            doc, text, number = ids[row], copies[row], _numbered(row)
+            order, new_gram, many = _of_several_texts(least, text, doc)
             out: dict[str, list] = {name: [] for name in kinds}
 
             def add(bucket: int, rows: np.ndarray, with_grams: bool) -> None:
-                grams = (least[rows] & _LOW).view(np.uint8).reshape(-1, 8)[:, :5] if with_grams else None
-                values = (bucket, *_listed(doc[rows], number[rows]), None if grams is None else grams.tobytes())
+                rows = np.sort(rows)
+                lists = _listed(doc[rows], number[rows])
+                firsts = np.concatenate(([True], doc[rows][1:] != doc[rows][:-1]))
+                grams = (least[rows] & _LOW).view(np.uint8).reshape(-1, 8)[:, :5].tobytes() if with_grams else None
+                values = (bucket, *lists, text[rows][firsts].tobytes(), grams)
                 for column, value in zip(out.values(), values, strict=True):
                     column.append(value)
 
-            rows = np.flatnonzero(sent)
+            # those in several texts here are known to be shared, and one of them stands for them elsewhere
+            rows = order[~many | new_gram]
             for bucket, own in _by((least[rows] >> np.uint64(40)).astype(np.int64) % buckets):
                 add(bucket, rows[own], True)
-            rows = np.flatnonzero(known)
+            rows = order[many]
             for bucket, own in _by(doc[rows] % buckets):
                 add(bucket, rows[own], False)
             yield _batch(out, kinds)
@@ -223,29 +253,21 @@ def _shared(docs: DataFrame, buckets: int, chunks: int) -> DataFrame:
     out_kinds = {"chunk": pa.int64(), **dict.fromkeys(("ids", "runs", "steps"), pa.binary())}
 
     def matched(table: pa.Table) -> pa.Table:
-        docs_of, numbers, grams = [], [], []
-        known_docs, known_numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        known, sent = [], []
         for row in table.to_pylist():
             doc, number = _unlisted(row["ids"], row["runs"], row["steps"])
             if row["grams"] is None:
-                known_docs.append(doc)
-                known_numbers.append(number)
-            else:
-                wide = np.zeros((len(doc), 8), np.uint8)
-                wide[:, :5] = np.frombuffer(row["grams"], np.uint8).reshape(-1, 5)
-                docs_of.append(doc)
-                numbers.append(number)
-                grams.append(wide.view("<u8").ravel())
-        doc, number = np.concatenate(known_docs), np.concatenate(known_numbers)
-        if docs_of:
-            sent, sent_number, gram = np.concatenate(docs_of), np.concatenate(numbers), np.concatenate(grams)
-            order = np.lexsort((sent, gram))
-            first = np.concatenate(([True], gram[order][1:] != gram[order][:-1]))
-            start = np.flatnonzero(first)
-            end = np.concatenate((start[1:], [len(order)])) - 1
-            many = (sent[order[start]] != sent[order[end]])[np.cumsum(first) - 1]
-            doc = np.concatenate((doc, sent[order[many]]))
-            number = np.concatenate((number, sent_number[order[many]]))
+                known.append((doc, number))
+                continue
+            wide = np.zeros((len(doc), 8), np.uint8)
+            wide[:, :5] = np.frombuffer(row["grams"], np.uint8).reshape(-1, 5)
+            text = np.repeat(np.frombuffer(row["texts"], np.uint64), _from_planes(row["runs"]))
+            sent.append((doc, number, text, wide.view("<u8").ravel()))
+        if sent:
+            doc, number, text, gram = (np.concatenate(x) for x in zip(*sent, strict=True))
+            order, _, many = _of_several_texts(gram, text, doc)
+            known.append((doc[order[many]], number[order[many]]))
+        doc, number = (np.concatenate(x) for x in zip(*known, strict=True))
         order = np.lexsort((number, doc))
         doc, number = doc[order], number[order]
         out: dict[str, list] = {name: [] for name in out_kinds}
@@ -254,10 +276,31 @@ def _shared(docs: DataFrame, buckets: int, chunks: int) -> DataFrame:
                 column.append(value)
         return pa.Table.from_batches([_batch(out, out_kinds)])
 
-    sent = docs.mapInArrow(hashed, f"bucket int, {_LISTS}, grams binary")
+    sent = docs.mapInArrow(hashed, f"bucket int, {_LISTS}, texts binary, grams binary")
     return sent.groupBy("bucket").applyInArrow(matched, f"chunk long, {_LISTS}")
 
 
+def _copies(docs: DataFrame, chunks: int) -> DataFrame:
+    """Lists by chunk of the documents whose whole text a smaller one has: (document, hash of the text, -1)."""
+    rows = docs.filter(F.octet_length("bytes") >= LENGTH).select(
+        "doc_id", F.xxhash64("bytes").alias("hash"), F.sha2("bytes", 256).alias("digest")
+    )
+    least = rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    late = rows.join(least.filter("most > least"), "digest").filter("doc_id > least").distinct()
+    return _as_lists(late.select("doc_id", "hash"), chunks, -1)
+
+
+def _as_lists(rows: DataFrame, chunks: int, windows: int) -> DataFrame:
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = _Settled(chunks)
+            pairs = zip(*(batch.column(k).to_pylist() for k in (0, 1)), strict=True)
+            out.covered = [(*pair, windows) for pair in pairs]
+            yield out.batch().select(["chunk", "docs", "places", "windows"])
+
+    return rows.mapInArrow(listed, "chunk long, docs binary, places binary, windows binary")
+
+
 def _variants(ids: np.ndarray, texts: list[bytes]) -> np.ndarray:
     """0 for a document's first text, 1 for the next where rows repeat an id with other texts, and so on."""
     variant = np.zeros(len(ids), np.int64)
@@ -436,19 +479,12 @@ def _covered(contexts: DataFrame, chunks: int) -> DataFrame:
 def _settled(covered: DataFrame, chunks: int) -> DataFrame:
     """Lists by chunk of all windows to remove: the listed ones, and open ones whose bytes a smaller document has."""
 
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = _Settled(chunks)
-            out.covered = [(*pair, 1) for pair in zip(*(batch.column(k).to_pylist() for k in (0, 1)), strict=True)]
-            rows = out.batch()
-            yield rows.select(["chunk", "docs", "places", "windows"])
-
     names = ("chunk", "docs", "places", "windows")
     lists = covered.filter("window IS NULL").select(*names)
     windows = covered.filter("window IS NOT NULL").select("window", "doc", "place")
     least = windows.groupBy("window").agg(F.min("doc").alias("least"))
     late = windows.join(least, "window").filter("doc > least").select("doc", "place")
-    return lists.union(late.mapInArrow(listed, "chunk long, docs binary, places binary, windows binary"))
+    return lists.union(_as_lists(late, chunks, 1))
 
 
 def _removed(docs: DataFrame, lists: DataFrame, as_text: bool) -> DataFrame:
@@ -463,8 +499,12 @@ def _removed(docs: DataFrame, lists: DataFrame, as_text: bool) -> DataFrame:
         for row, name in enumerate(zip(ids.tolist(), variant.tolist(), strict=True)):
             rows_of.setdefault(name, []).append(row)
         change = np.zeros(len(data) + 1, np.int32)
+        whole: set[tuple[int, int]] = set()
         for lists in right.to_pylist():
             doc, place, windows = (np.frombuffer(lists[x], np.int64) for x in ("docs", "places", "windows"))
+            if len(windows) and windows[0] < 0:
+                whole.update(zip(doc.tolist(), place.view(np.uint64).tolist(), strict=True))
+                continue
             order = np.lexsort((place, doc))
             doc, place, windows = doc[order], place[order], windows[order]
             name = np.stack((doc, place >> _PLACE_BITS))
@@ -474,7 +514,12 @@ def _removed(docs: DataFrame, lists: DataFrame, as_text: bool) -> DataFrame:
                 for row in rows_of.get((int(doc[a]), int(name[1, a])), ()):
                     np.add.at(change, bounds[row] + low[a:b], 1)
                     np.add.at(change, bounds[row] + low[a:b] + windows[a:b] + LENGTH - 1, -1)
-        gone = np.cumsum(change[:-1]) > 0
+        copied = {doc for doc, _ in whole}
+        for row, doc in enumerate(ids.tolist()):
+            if doc in copied and (doc, text_hash(texts[row])) in whole:
+                change[bounds[row]] += 1
+                change[bounds[row + 1]] -= 1
+        gone = np.cumsum(change[:-1], dtype=np.int32) > 0
         begins = gone.copy()
         begins[1:] &= ~gone[:-1]
         begins[bounds[:-1][bounds[:-1] < len(data)]] = gone[bounds[:-1][bounds[:-1] < len(data)]]
@@ -511,13 +556,14 @@ def _cleaned(docs: DataFrame, as_text: bool) -> DataFrame:
     """``docs``: doc_id (not null), bytes and more."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
-    buckets = max(shuffle_partitions(spark), size // (4 * CHUNK_BYTES) + 1)
+    buckets = max(shuffle_partitions(spark), size // (16 * CHUNK_BYTES) + 1)
     chunks = _prime(max(shuffle_partitions(spark), size // CHUNK_BYTES + 1))
     chunked = docs.withColumn("chunk", F.pmod("doc_id", F.lit(chunks)).cast("long"))
     shared = stored(_shared(docs.select("doc_id", "bytes"), buckets, chunks), "shared")
     contexts = _contexts(chunked.select("chunk", "doc_id", "bytes"), shared)
     covered = stored(_covered(contexts, chunks), "covered")
-    return _removed(chunked, _settled(covered, chunks), as_text)
+    lists = _settled(covered, chunks).union(_copies(docs.select("doc_id", "bytes"), chunks))
+    return _removed(chunked, lists, as_text)
 
 
 def repeated_bytes(docs: DataFrame) -> DataFrame:

@@ -26,14 +26,42 @@ def suffix_order(text: Sequence[int]) -> list[int]:
     for number, starts in enumerate(members):
         for at in starts:
             group[at] = number
+    size = [len(starts) for starts in members]
     up = list(range(-1, n))  # at p + 1: p itself while its group is still to come, else some position before it
     previous = [-1] * n
     done: list[list[int]] = []
+
+    def rise(starts: list[int], old: int) -> None:
+        """Move suffixes to a group right above their old one; all that are left in it may as well stay."""
+        if len(starts) == size[old]:
+            return
+        number, over = len(members), above[old]
+        members.append(starts)
+        size.append(len(starts))
+        size[old] -= len(starts)
+        below.append(old)
+        above.append(over)
+        below[over] = above[old] = number
+        for p in starts:
+            group[p] = number
+
     top = len(members) - 1
     while top >= 0:
-        here = [at for at in members[top] if group[at] == top]
+        here = members[top]
+        if size[top] != len(here):
+            here = [at for at in here if group[at] == top]
+        done.append(here)
         for at in here:
             up[at + 1] = at - 1
+        if len(here) == 1:
+            p = at - 1
+            while up[p + 1] != p:
+                up[p + 1] = p = up[up[p + 1] + 1]
+            previous[at] = p
+            if p >= 0 and size[group[p]] > 1:
+                rise([p], group[p])
+            top = below[top]
+            continue
         pointed: dict[int, int] = {}
         for at in here:
             p = at - 1
@@ -42,20 +70,11 @@ def suffix_order(text: Sequence[int]) -> list[int]:
             previous[at] = p
             if p >= 0:
                 pointed[p] = pointed.get(p, 0) + 1
-        if here:
-            done.append(here)
         moves: dict[tuple[int, int], list[int]] = {}
         for p, times in pointed.items():
             moves.setdefault((-times, group[p]), []).append(p)
-        for _, old in sorted(moves) if len(moves) > 1 else moves:  # right above the old group: fewer pointers push lower
-            starts, number = moves[_, old], len(members)
-            members.append(starts)
-            below.append(old)
-            above.append(above[old])
-            below[above[old]] = number
-            above[old] = number
-            for p in starts:
-                group[p] = number
+        for times, old in sorted(moves) if len(moves) > 1 else moves:  # what is pointed to more often ends up higher
+            rise(moves[times, old], old)
         top = below[top]
     return _emitted(n, done, group, previous)
 
