@@ -200,19 +200,33 @@ def text_hash(text: bytes) -> int:
     return xxhash.xxh64_intdigest(text, 42)
 
 
-def _of_several_texts(gram: np.ndarray, text: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, first, many): rows by gram, of each text's copies the first only; where grams begin; those of several texts."""
-    order = np.lexsort((doc, text, gram))
-    new_gram = np.concatenate(([True], gram[order][1:] != gram[order][:-1]))
-    new_text = new_gram | np.concatenate(([True], text[order][1:] != text[order][:-1]))
-    same_doc = ~new_text & np.concatenate(([False], doc[order][1:] == doc[order][:-1]))
-    own = new_text.copy()
-    while (more := same_doc & ~own & np.concatenate(([False], own[:-1]))).any():  # a gram again in the same document
-        own |= more
-    order, new_gram, new_text = order[own], new_gram[own], new_text[own]
-    start = np.flatnonzero(new_gram)
+def _of_several_texts(gram: np.ndarray, text: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(alone, order, new): rows whose gram no other has; the others by gram, text and document with whole copies left
+    out, and where grams begin among them; of these only those in several texts."""
+    order = np.argsort(gram, kind="stable")
+    new = np.concatenate(([True], gram[order][1:] != gram[order][:-1]))
+    single = new & np.concatenate((new[1:], [True]))
+    alone, order = order[single], order[~single]
+    order = order[np.lexsort((doc[order], text[order], gram[order]))]
+    new = np.concatenate(([True], gram[order][1:] != gram[order][:-1]))[: len(order)]
+    new_text = new | np.concatenate(([True], text[order][1:] != text[order][:-1]))[: len(order)]
+    first_doc = doc[order][np.maximum.accumulate(np.where(new_text, np.arange(len(order)), 0))]
+    own = doc[order] == first_doc
+    order, new, new_text = order[own], new[own], new_text[own]
+    start = np.flatnonzero(new)
     texts = np.add.reduceat(new_text.astype(np.int64), start) if len(start) else np.zeros(0, np.int64)
-    return order, new_gram, (texts > 1)[np.cumsum(new_gram) - 1]
+    many = (texts > 1)[np.cumsum(new) - 1]
+    return np.concatenate((alone, order[~many])), order[many], new[many]
+
+
+def _joined(values: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of all pairs with ``values[i] == names[j]``."""
+    order = np.argsort(names, kind="stable")
+    low, high = (np.searchsorted(names[order], values, side=side) for side in ("left", "right"))
+    count = high - low
+    i = np.repeat(np.arange(len(values)), count)
+    within = np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
+    return i, order[np.repeat(low, count) + within]
 
 
 def _shared(docs: DataFrame, buckets: int, chunks: int) -> DataFrame:
@@ -229,7 +243,7 @@ def _shared(docs: DataFrame, buckets: int, chunks: int) -> DataFrame:
             copies = np.array([text_hash(x or b"") for x in batch.column(1).to_pylist()], np.uint64)
             row, _, _, _, least = all_anchors(*_buffer(batch.column(1)))
             doc, text, number = ids[row], copies[row], _numbered(row)
-            order, new_gram, many = _of_several_texts(least, text, doc)
+            alone, shared, new_gram = _of_several_texts(least, text, doc)
             out: dict[str, list] = {name: [] for name in kinds}
 
             def add(bucket: int, rows: np.ndarray, with_grams: bool) -> None:
@@ -242,10 +256,10 @@ def _shared(docs: DataFrame, buckets: int, chunks: int) -> DataFrame:
                     column.append(value)
 
             # those in several texts here are known to be shared, and one of them stands for them elsewhere
-            rows = order[~many | new_gram]
+            rows = np.concatenate((alone, shared[new_gram]))
             for bucket, own in _by((least[rows] >> np.uint64(40)).astype(np.int64) % buckets):
                 add(bucket, rows[own], True)
-            rows = order[many]
+            rows = shared
             for bucket, own in _by(doc[rows] % buckets):
                 add(bucket, rows[own], False)
             yield _batch(out, kinds)
@@ -265,8 +279,8 @@ def _shared(docs: DataFrame, buckets: int, chunks: int) -> DataFrame:
             sent.append((doc, number, text, wide.view("<u8").ravel()))
         if sent:
             doc, number, text, gram = (np.concatenate(x) for x in zip(*sent, strict=True))
-            order, _, many = _of_several_texts(gram, text, doc)
-            known.append((doc[order[many]], number[order[many]]))
+            _, shared, _ = _of_several_texts(gram, text, doc)
+            known.append((doc[shared], number[shared]))
         doc, number = (np.concatenate(x) for x in zip(*known, strict=True))
         order = np.lexsort((number, doc))
         doc, number = doc[order], number[order]
@@ -326,32 +340,30 @@ def _contexts(docs: DataFrame, shared: DataFrame) -> DataFrame:
         count = np.bincount(text, minlength=len(ids))
         before = np.cumsum(count) - count
         wanted = np.zeros(len(text), bool)
-        rows_of: dict[int, list[int]] = {}
-        for row, doc in enumerate(ids.tolist()):
-            rows_of.setdefault(doc, []).append(row)
-        for lists in right.to_pylist():
-            doc, number = _unlisted(lists["ids"], lists["runs"], lists["steps"])
-            for own, rows in _by(doc):
-                for row in rows_of.get(own, ()):
-                    fitting = number[rows][number[rows] < count[row]]
-                    wanted[before[row] + fitting] = True
+        asked = [_unlisted(*(lists[x] for x in ("ids", "runs", "steps"))) for lists in right.to_pylist()]
+        if asked:
+            doc, number = (np.concatenate(x) for x in zip(*asked, strict=True))
+            i, row = _joined(doc, ids)
+            fitting = number[i] < count[row]
+            wanted[before[row[fitting]] + number[i[fitting]]] = True
         picked = np.flatnonzero(wanted)
         picked = picked[np.argsort(ids[text[picked]], kind="stable")]
-        out: dict[str, list] = {name: [] for name in _CONTEXT}
+        whole, digest = data.tobytes(), xxhash.xxh32_digest
+        spans = (x[picked].tolist() for x in (low, high, at))
+        # the anchor itself as four bytes, beside the eight of its hash
+        contexts: list[bytes | None] = [
+            b"%b%c%b%b" % (digest(whole[k : k + GRAM]), k - lo, whole[lo:k], whole[k + GRAM : hi - 1 + LENGTH])
+            for lo, hi, k in zip(*spans, strict=True)
+        ]
+        key, doc = least[picked].view(np.int64).copy(), ids[text[picked]]
         seen: dict[tuple[int, bytes], int] = {}
-        whole = data.tobytes()
-        place = (variant[text] << _PLACE_BITS) + low - bounds[text]
-        columns = (text, low, high, at, least.view(np.int64), place)
-        for row, lo, hi, gram, key, where in zip(*(x[picked].tolist() for x in columns), strict=True):
-            doc, end = int(ids[row]), gram + GRAM
-            # the anchor itself as four bytes, beside the eight of its hash
-            anchor = xxhash.xxh32_digest(whole[gram:end])
-            context = b"%b%c%b%b" % (anchor, gram - lo, whole[lo:gram], whole[end : hi - 1 + LENGTH])
-            known = seen.setdefault((key, context), doc) < doc
-            values = (doc if known else key, None if known else context, doc, where, hi - lo)
-            for column, value in zip(out.values(), values, strict=True):
-                column.append(value)
-        return pa.Table.from_batches([_batch(out, _CONTEXT)])
+        named = zip(key.tolist(), contexts, strict=True)
+        first = np.fromiter((seen.setdefault(x, k) for k, x in enumerate(named)), np.int64, len(contexts))
+        for k in np.flatnonzero(doc[first] < doc).tolist():
+            key[k], contexts[k] = doc[k], None
+        place = (variant[text[picked]] << _PLACE_BITS) + low[picked] - bounds[text[picked]]
+        columns = (key, contexts, doc, place, (high - low)[picked])
+        return pa.table({n: pa.array(x, kind) for (n, kind), x in zip(_CONTEXT.items(), columns, strict=True)})
 
     schema = "key long, context binary, doc long, place long, windows int"
     return docs.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(cut, schema)
@@ -495,25 +507,23 @@ def _removed(docs: DataFrame, lists: DataFrame, as_text: bool) -> DataFrame:
         texts = [x or b"" for x in left.column("bytes").to_pylist()]
         variant = _variants(ids, texts)
         data, bounds = _buffer(left.column("bytes"))
-        rows_of: dict[tuple[int, int], list[int]] = {}
-        for row, name in enumerate(zip(ids.tolist(), variant.tolist(), strict=True)):
-            rows_of.setdefault(name, []).append(row)
         change = np.zeros(len(data) + 1, np.int32)
         whole: set[tuple[int, int]] = set()
+        ranges = [np.zeros((3, 0), np.int64)]
         for lists in right.to_pylist():
-            doc, place, windows = (np.frombuffer(lists[x], np.int64) for x in ("docs", "places", "windows"))
-            if len(windows) and windows[0] < 0:
-                whole.update(zip(doc.tolist(), place.view(np.uint64).tolist(), strict=True))
-                continue
-            order = np.lexsort((place, doc))
-            doc, place, windows = doc[order], place[order], windows[order]
-            name = np.stack((doc, place >> _PLACE_BITS))
-            first = np.flatnonzero(np.concatenate(([True], (name[:, 1:] != name[:, :-1]).any(axis=0))))
-            low = place & ((1 << _PLACE_BITS) - 1)
-            for a, b in zip(first, [*first[1:], len(doc)], strict=True):
-                for row in rows_of.get((int(doc[a]), int(name[1, a])), ()):
-                    np.add.at(change, bounds[row] + low[a:b], 1)
-                    np.add.at(change, bounds[row] + low[a:b] + windows[a:b] + LENGTH - 1, -1)
+            rows = np.stack([np.frombuffer(lists[x], np.int64) for x in ("docs", "places", "windows")])
+            if rows.shape[1] and rows[2, 0] < 0:
+                whole.update(zip(rows[0].tolist(), rows[1].view(np.uint64).tolist(), strict=True))
+            else:
+                ranges.append(rows)
+        doc, place, windows = np.concatenate(ranges, axis=1)
+        i, row = _joined(doc, ids)
+        own = place[i] >> _PLACE_BITS == variant[row]
+        i, row = i[own], row[own]
+        begin = bounds[row] + (place[i] & ((1 << _PLACE_BITS) - 1))
+        size = len(data) + 1
+        change += np.bincount(begin, minlength=size).astype(np.int32)
+        change -= np.bincount(begin + windows[i] + LENGTH - 1, minlength=size).astype(np.int32)
         copied = {doc for doc, _ in whole}
         for row, doc in enumerate(ids.tolist()):
             if doc in copied and (doc, text_hash(texts[row])) in whole:
