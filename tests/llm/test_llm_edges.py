@@ -1,0 +1,143 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names, for every operator."""
+
+from __future__ import annotations
+
+import pytest
+
+import corpus_pipeline
+from tillbook.llm import (
+    ann,
+    curriculum,
+    embedding_dedup,
+    language,
+    maxent,
+    packing,
+    passages,
+    quality,
+    simhash,
+    toxicity,
+)
+
+PASSAGE = "this very passage of more than fifty bytes is found in several of the documents"
+ROWS = [
+    (1, "One text about nothing. " + PASSAGE, "en", "a"),
+    (2, None, None, None),
+    (3, "", "en", "a"),
+    (4, "word " * 30_000, "en", "b"),
+    (5, "Another text, " + PASSAGE + " and an end", "en", "b"),
+    (5, "Another text, " + PASSAGE + " and an end", "en", "b"),
+    (6, "Ein Text über den Garten und die Häuser", "de", "c"),
+    (7, "You stupid idiot, I will hurt you", "en", None),
+    (None, "One text about nothing. " + PASSAGE, "fr", "a"),
+    (8, "123 456 !!", None, "c"),
+    (9, " \t\n", "de", "c"),
+]
+SCHEMA = "doc_id long, text string, lang string, source string, size int, row string, bucket int, chunk long, n long"
+LABELS = "doc_id long, quality int, toxic int"
+VECTORS = "vec_id long, embedding array<float>, label int, cell long, rep long"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame([(*row, 1, "r", 2, 3, 4) for row in ROWS], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    rows = [(1, 1, 0), (3, 0, 0), (4, 0, 0), (5, 1, 0), (5, 1, 0), (7, 1, 1), (8, None, None), (None, 1, 1)]
+    return spark.createDataFrame(rows, LABELS)
+
+
+def test_every_row_gets_a_result(spark, docs, labels):
+    results = {
+        "toxicity": toxicity.scores(docs, labels),
+        "maxent": maxent.scores(docs),
+        "quality": quality.verdicts(docs, labels),
+        "mixing": curriculum.taken(docs),
+        "simhash": simhash.near_duplicates(docs),
+        "language": language.predictions(docs),
+        "passages": passages.repeated_bytes(docs),
+    }
+    for name, result in results.items():
+        rows = result.collect()
+        ids = sorted((row["doc_id"] for row in rows), key=lambda x: (x is None, x))
+        assert ids == [1, 2, 3, 4, 5, 5, 6, 7, 8, 9, None], name
+
+
+def test_defined_values(docs, labels):
+    def found(result, column):
+        return {row["doc_id"]: row[column] for row in result.collect()}
+
+    score = found(toxicity.scores(docs, labels), "score")
+    assert all(0 <= x <= 1 for x in score.values()) and score[2] == score[3] < score[7]
+    language_of = found(language.predictions(docs), "lang_pred")
+    assert language_of[2] == language_of[3] == language_of[8] == language_of[9] == "und"
+    tokens = found(maxent.scores(docs), "n_tokens")
+    assert tokens[2] == tokens[3] == tokens[9] == 1 and tokens[4] == 30_001
+    prints = found(simhash.near_duplicates(docs), "fingerprint")
+    assert prints[2] == prints[3] == prints[9] == "0" * 16
+    components = found(simhash.near_duplicates(docs), "component_id")
+    assert components[2] == components[3] == components[9] == 2 and components[5] == 5 and components[None] == 1
+    removed = found(passages.repeated_bytes(docs), "n_removed")
+    assert removed[5] >= len(PASSAGE) and removed[1] == removed[None] == removed[4] == removed[2] == 0
+
+
+def test_packing_handles_all_rows(docs):
+    rows = packing.best_fit(docs).collect()
+    assert {row["doc_id"] for row in rows} == {1, 2, 3, 4, 5, 6, 7, 8, 9, None}
+    assert sum(row["doc_id"] == 5 for row in rows) == 2
+
+
+@pytest.mark.parametrize("operate", [curriculum.curriculum, simhash.one_of_each, passages.without_repeats])
+def test_columns_pass_through(docs, operate):
+    result = operate(docs)
+    assert result.columns == docs.columns
+    assert all(row["row"] == "r" and row["size"] == 1 and row["chunk"] == 3 for row in result.collect())
+
+
+def test_accepted_documents_keep_their_columns(docs, labels):
+    result = quality.accepted(docs, labels)
+    assert result.columns == docs.columns
+    result.collect()
+
+
+def test_empty_tables_and_labels(spark, docs, labels):
+    none, no_labels = docs.limit(0), labels.limit(0)
+    results = [
+        toxicity.scores(none, no_labels), maxent.scores(none), quality.verdicts(none, no_labels),
+        curriculum.taken(none), curriculum.curriculum(none), packing.best_fit(none),
+        simhash.near_duplicates(none), language.predictions(none), passages.repeated_bytes(none),
+        passages.without_repeats(none),
+    ]
+    for result in results:
+        assert result.collect() == []
+    assert toxicity.scores(docs, no_labels).count() == quality.verdicts(docs, no_labels).count() == len(ROWS)
+
+
+def test_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    odd = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (None, [1.0, 0.0])]
+    good = [(10, [1.0, 0.0], 1), (11, [1.0, 0.0], 1), (11, [1.0, 0.0], 1), (12, [1.0, 0.01], 1), (13, [1.0, 0.0], 2),
+            (14, [1.0, 0.0], None), (20, [2.0, 0.0], 1), (40, [1.0, 0.0, 0.0], 1)]
+    rows = [(i, v, 1, 0, 0) for i, v in odd] + [(i, v, label, 0, 0) for i, v, label in good]
+    table = spark.createDataFrame(rows, VECTORS)
+    found = embedding_dedup.near_duplicates(table).collect()
+    assert len(found) == len(rows)
+    links = {row["vec_id"]: (row["n_links"], row["component_id"], row["kept"]) for row in found}
+    assert links[10] == (4, 10, True) and links[20] == (4, 10, False) and links[12] == (4, 10, False)
+    assert all(links[i] == (0, i, True) for i in (1, 2, 3, 4, 5, 6, 13, 14, 40, None))
+    near = [tuple(row) for row in ann.nearest(table).orderBy("query_id", "rank").collect()]
+    assert near[0] == (20, 1, 10, 2.0)
+    assert {row[2] for row in near if row[0] == 20} == {10, 11, 12, 13, 14}
+    assert not [row for row in near if row[0] == 40]
+    assert embedding_dedup.near_duplicates(table.limit(0)).collect() == []
+    assert ann.nearest(table.limit(0)).collect() == []
+
+
+def test_stages_on_odd_and_empty_documents(spark, docs, tmp_path):
+    labels = spark.createDataFrame([(1, 1, 0), (4, 0, 0), (5, 1, 0)], LABELS)
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for given in (docs, docs.limit(0)):
+        for _, stage in corpus_pipeline.STAGES:
+            result = stage(spark, given, str(tmp_path))
+            assert isinstance(result.collect(), list)

@@ -168,8 +168,10 @@ _LISTS = "ids binary, runs binary, steps binary"
 
 def _by(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(key, rows) with rows in their order."""
+    if not len(key):
+        return
     order = np.argsort(key, kind="stable")
-    first = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1]))) if len(key) else []
+    first = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1])))
     for a, b in zip(first, [*first[1:], len(key)], strict=True):
         yield int(key[order[a]]), order[a:b]
 
@@ -204,6 +206,8 @@ def _of_several_texts(gram: np.ndarray, text: np.ndarray, doc: np.ndarray) -> tu
     """(alone, order, new): rows whose gram no other has; the others by gram, text and document with whole copies left
     out, and where grams begin among them; of these only those in several texts."""
     order = np.argsort(gram, kind="stable")
+    if not len(order):
+        return order, order, np.zeros(0, bool)
     new = np.concatenate(([True], gram[order][1:] != gram[order][:-1]))
     single = new & np.concatenate((new[1:], [True]))
     alone, order = order[single], order[~single]

@@ -107,10 +107,12 @@ class Classifier:
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS) -> Classifier:
     """A classifier fitted to at most about ``most`` labelled documents, chosen by a hash of their ids."""
-    marks = labels.select("doc_id", F.col("quality").alias("good")).filter("doc_id IS NOT NULL AND good IS NOT NULL")
-    marks = marks.groupBy("doc_id").agg(F.max("good").alias("good"))
-    chosen = sample_below(marks, "doc_id", marks.count(), most)
-    rows = _described(docs.select("doc_id", "text").join(chosen, "doc_id").sort("doc_id"), "good").collect()
+    marks = labels.select(F.col("doc_id").cast("long"), F.col("quality").alias("good"))
+    marks = marks.filter("doc_id IS NOT NULL AND good IS NOT NULL").groupBy("doc_id").agg(F.max("good").alias("good"))
+    number = marks.count()
+    # both sides by the same hash, and described before they meet, so that no texts are moved
+    texts = sample_below(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", number, most)
+    rows = _described(texts, "doc_id").join(sample_below(marks, "doc_id", number, most), "doc_id").sort("doc_id").collect()
     return Classifier(np.array([r["features"] for r in rows]), np.array([float(r["good"]) for r in rows]))
 
 

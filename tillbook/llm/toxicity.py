@@ -29,13 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import fold, sample_below
+from tillbook.llm.common import fold, sample_below, stored
 
 FOLDS = 5
 HELD_OUT = 0
 
 #: Labelled documents the insults and the curve are learned from, at most.
-MOST_LABELS = 40_000
+MOST_LABELS = 20_000
 
 #: An insult is in so many toxic documents at least, and in this share of them, with such log odds against others.
 LEAST_DOCUMENTS = 6
@@ -256,10 +256,12 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS) -> Model:
 
     The third for the curve is scored with insults it had no part in; the insults that count in the end come from all.
     """
-    marks = labels.select("doc_id", "toxic").filter("toxic IS NOT NULL").filter(fold("doc_id", FOLDS) != HELD_OUT)
-    marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = sample_below(marks, "doc_id", marks.count(), most)
-    known = docs.select("doc_id", "text").join(chosen, "doc_id")
+    marks = labels.select(F.col("doc_id").cast("long"), "toxic").filter("toxic IS NOT NULL")
+    marks = marks.filter(fold("doc_id", FOLDS) != HELD_OUT).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    number = marks.count()
+    # both sides by the same hash, so that no more of the texts than the sample's share is moved
+    texts, marks = (sample_below(x, "doc_id", number, most) for x in (docs.select(F.col("doc_id").cast("long"), "text"), marks))
+    known = stored(texts.join(marks, "doc_id"), "sample")
     third = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(3)) == 0
     half = _learn_insults(known.filter(~third).select("text", "toxic"))
     points = _scored(known.filter(third), half, "toxic")
