@@ -13,6 +13,9 @@ from tillbook.schemas import NUMBER, TIMESTAMP
 # The date layouts accepted besides ISO.
 DATE_LAYOUTS = ("dd-MMM-yyyy", "MM/dd/yyyy")
 
+# A whole ISO date, with or without a time of day. A cast alone would also take years, months and trailing text.
+ISO = r"^\s*\d{4,}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?)?\s*$"
+
 
 def to_number(text: Column) -> Column:
     """Whole number; text that is no number fails the job (under ANSI mode), NULL stays NULL."""
@@ -31,9 +34,10 @@ def try_decimal(text: Column, precision: int, scale: int) -> Column:
 
 def try_date(text: Column, layouts: Sequence[str] = DATE_LAYOUTS) -> Column:
     """ISO date, or one of ``layouts``; NULL where none fits. Later layouts run only where earlier ones fail."""
-    return F.coalesce(text.try_cast("date"), *(F.try_to_date(text, layout) for layout in layouts))
+    iso = F.when(text.rlike(ISO), text.try_cast("date"))
+    return F.coalesce(iso, *(F.try_to_date(text, layout) for layout in layouts))
 
 
 def try_timestamp(text: Column) -> Column:
-    """Timestamp without time zone; NULL where the text is none."""
-    return text.try_cast(TIMESTAMP)
+    """Timestamp without time zone; NULL where the text is none, or names a zone, which this type can't keep."""
+    return F.when(text.rlike(ISO), text.try_cast(TIMESTAMP))

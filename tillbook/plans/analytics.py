@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.functions import ASC, DESC, ascending, days_between, descending
+from tillbook.functions.rounding import rounded_quotient
 from tillbook.operators import global_ntile, global_rank, moving_average, share_of_total
 from tillbook.plans.marts import category_revenue, daily_revenue, members, order_count, sales_by_product
 
@@ -23,7 +24,7 @@ def kpis(fact: DataFrame, orders_unique: bool = False) -> DataFrame:
     return fact.agg(
         order_count(orders_unique).alias("total_orders"),
         F.sum("line_revenue").alias("total_revenue"),
-        F.round(F.avg("line_revenue"), 2).alias("avg_line_value"),
+        rounded_quotient(F.sum("line_revenue"), F.count("line_revenue").cast("decimal(20,0)"), 2).alias("avg_line_value"),
     )
 
 

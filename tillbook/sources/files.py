@@ -43,6 +43,9 @@ def publish_text(spark: SparkSession, file: str, text: str) -> None:
     try:
         hadoop.fs.FileContext.getFileContext(path.toUri(), configuration).rename(draft, path, no_overwrite)
     except Py4JJavaError as error:
+        store.delete(draft, False)
+        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+            raise
         raise FileExistsError(f"another writer has published {file}") from error
 
 

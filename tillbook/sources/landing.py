@@ -124,7 +124,8 @@ def read_rejects(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
 
 def stream_raw(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
     """The accepted rows as a stream: each run of a query sees the files that landed since the last one."""
-    stored = spark.readStream.schema(_stored(table)).parquet(layers.raw(table))
+    # by default a stream passes over files a week older than the newest it has seen, such as restored ones
+    stored = spark.readStream.schema(_stored(table)).option("maxFileAge", "36500d").parquet(layers.raw(table))
     return stored.filter(F.col(_STATUS) == _OK).select(*RAW[table].names)
 
 

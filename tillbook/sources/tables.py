@@ -204,10 +204,11 @@ class MergeTable(VersionedTable):
         (folder,) = state["folders"]
         columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in self.schema)
         entry = f"{_CATALOG}.merge_{uuid.uuid4().hex}"
+        location = f"{self.path}/data/{folder}".replace("\\", "\\\\").replace("'", "\\'")
         self.spark.sql(
             f"CREATE TABLE {entry} ({columns}) USING parquet "
             f"CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {state['buckets']} BUCKETS "
-            f"LOCATION '{self.path}/data/{folder}'"
+            f"LOCATION '{location}'"
         )
         df = self.spark.table(entry)
         self.spark.sql(f"DROP TABLE {entry}")

@@ -19,7 +19,7 @@ from tillbook.sources import Layers, stream_raw
 
 @dataclass(frozen=True)
 class OrderFeed:
-    """The first batch is the seed and drops orders of unknown customers or products.
+    """The first batch into an empty staged table is the seed and drops orders of unknown customers or products.
 
     Later batches keep them unless ``enforce_refs`` is set. ``load_ts`` replaces the clock as load stamp. After
     ``compact_after`` batches (a day of five-minute runs) the staged table is compacted.
@@ -59,12 +59,13 @@ class OrderFeed:
     def _merge(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         orders = staging.clean_orders(batch)
-        if self.enforce_refs or batch_id == 0:
+        staged = self.layers.staged_orders(spark)
+        # by the table's state, as set_up may have emptied it; a batch that died before its commit decides the same
+        if self.enforce_refs or staged.state()["last_batch"] < 0:
             customers = self.layers.staged(spark, "customers").read()
             products = self.layers.staged(spark, "products").read()
             orders = staging.valid_orders(orders, customers, products)
         feed = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        staged = self.layers.staged_orders(spark)
         staged.merge(staging.stamped(orders, self.load_ts), feed, batch_id)
         if len(staged.state()["batches"]) >= self.compact_after:
             staged.compact()
