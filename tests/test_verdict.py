@@ -43,3 +43,20 @@ def test_average_of_many_small_lines(spark):
         F.when(F.col("id") == 0, Decimal("100.00")).otherwise(Decimal("0.00")).cast("decimal(38,2)").alias("line_revenue"),
     )
     assert analytics.kpis(fact).first()["avg_line_value"] == Decimal("0.00")
+
+
+def test_second_seed_checks_references(spark, layers):
+    import sample
+    from tillbook.plans import jobs
+    from tillbook.sources import landing
+    from tillbook.streaming import OrderFeed
+
+    unknown = {"order_id": "2000", "customer_id": "999", "product_id": "104", "quantity": "1",
+               "order_ts": "2024-05-22 12:00:00", "status": "COMPLETED"}
+    for _ in range(2):
+        sample.land(spark, layers)
+        landing.insert_rows(spark, layers, "orders", [unknown])
+        OrderFeed(spark, layers).seed()
+        orders = layers.staged_orders(spark).read()
+        assert orders.count() == 15 and orders.filter("order_id = 2000").isEmpty()
+        jobs.set_up(spark, layers)
