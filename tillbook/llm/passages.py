@@ -312,8 +312,8 @@ def _as_lists(rows: DataFrame, chunks: int, windows: int) -> DataFrame:
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = _Settled(chunks)
-            pairs = zip(*(batch.column(k).to_pylist() for k in (0, 1)), strict=True)
-            out.covered = [(*pair, windows) for pair in pairs]
+            docs, places = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            out.cover(docs, places, np.full(len(docs), windows))
             yield out.batch().select(["chunk", "docs", "places", "windows"])
 
     return rows.mapInArrow(listed, "chunk long, docs binary, places binary, windows binary")
@@ -383,22 +383,29 @@ class _Settled:
 
     def __init__(self, chunks: int):
         self.chunks = chunks
-        self.covered: list[tuple[int, int, int]] = []
+        self.covered: list[np.ndarray] = []
+        self.rows = 0
         self.open: list[tuple[bytes, int, int]] = []
         self.block: list[list] = []
         self.symbols = 0
 
+    def cover(self, docs: np.ndarray, places: np.ndarray, windows: np.ndarray) -> None:
+        """Remove so many windows of the documents from these places on."""
+        if len(docs):
+            self.covered.append(np.stack([docs, places, windows]).astype(np.int64))
+            self.rows += len(docs)
+
     def batch(self) -> pa.RecordBatch:
         out: dict[str, list] = {name: [] for name in self.kinds}
-        rows = np.array(self.covered, np.int64).reshape(-1, 3)
-        for chunk, own in _by(rows[:, 0] % self.chunks):
-            lists = (chunk, *(np.ascontiguousarray(rows[own, k]).tobytes() for k in range(3)), None, None, None)
+        rows = np.concatenate([np.zeros((3, 0), np.int64), *self.covered], axis=1)
+        for chunk, own in _by(rows[0] % self.chunks):
+            lists = (chunk, *(row[own].tobytes() for row in rows), None, None, None)
             for column, value in zip(out.values(), lists, strict=True):
                 column.append(value)
         for window in self.open:
             for column, value in zip(out.values(), (None, None, None, None, *window), strict=True):
                 column.append(value)
-        self.covered, self.open = [], []
+        self.covered, self.rows, self.open = [], 0, []
         return _batch(out, self.kinds)
 
     def group(self, entries: list) -> None:
@@ -419,34 +426,34 @@ class _Settled:
 
     def solve(self) -> None:
         """Sort the suffixes of the block; equal windows are neighbours then."""
-        symbols: list[int] = []
-        owner: dict[int, tuple[int, int, list[int]]] = {}
-        for number, entries in enumerate(self.block):
-            for context, doc, places in entries:
-                left = 5 + context[4]
-                for k in range(len(context) - 5 + 2 - SPAN):
-                    owner[len(symbols) + k] = (doc, k, places)
-                symbols += [x + 1 for x in context[5:left]]
-                symbols.append(257 + number)
-                symbols += [x + 1 for x in context[left:]]
-                symbols.append(0)
-        text = "".join(map(chr, symbols))
-        run, before = [], None
-        for start in suffix_order(symbols):
-            if (here := owner.get(start)) is not None:
-                window = text[start : start + SPAN]
-                if window != before:
-                    self.settle(run)
-                    run, before = [], window
-                run.append(here)
-        self.settle(run)
+        if not self.block:
+            return
+        entries = [entry for group in self.block for entry in group]
+        sizes = np.array([len(context) - 3 for context, _, _ in entries])  # with the anchor as one symbol, and an end
+        begins = np.cumsum(sizes) - sizes
+        pieces = [piece for c, _, _ in entries for piece in (c[5 : 5 + c[4]], b"\0", c[5 + c[4] :], b"\0")]
+        symbols = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64) + 1
+        group = np.repeat(np.arange(len(self.block)), [len(group) for group in self.block])
+        symbols[begins + [c[4] for c, _, _ in entries]] = 257 + group
+        symbols[begins + sizes - 1] = 0
+        order = np.array(suffix_order(symbols.tolist()))
+        owner = np.repeat(np.arange(len(entries)), sizes)
+        order = order[order - begins[owner[order]] < (sizes - SPAN)[owner[order]]]
+        owner = owner[order]
+        windows = symbols.astype(np.uint32)[order[:, None] + np.arange(SPAN)]
+        new = np.concatenate(([True], (windows[1:] != windows[:-1]).any(axis=1)))
+        docs = np.array([doc for _, doc, _ in entries])[owner]
+        least = np.minimum.reduceat(docs, np.flatnonzero(new))[np.cumsum(new) - 1]
+        late = np.flatnonzero(docs > least)
+        counts = np.array([len(places) for _, _, places in entries])
+        times = counts[owner[late]]
+        nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        late = np.repeat(late, times)
+        places = np.array([place for _, _, places in entries for place in places])
+        place = places[(np.cumsum(counts) - counts)[owner[late]] + nth] + order[late] - begins[owner[late]]
+        self.cover(docs[late], place, np.ones(len(late), np.int64))
         self.block, self.symbols = [], 0
 
-    def settle(self, run: list) -> None:
-        if len(run) > 1:
-            least = min(doc for doc, _, _ in run)
-            self.covered += [(doc, place + k, 1) for doc, k, places in run if doc > least for place in places]
-
 
 def _covered(contexts: DataFrame, chunks: int) -> DataFrame:
     """Windows to remove, as lists by chunk, or still to be compared by their bytes."""
@@ -454,31 +461,42 @@ def _covered(contexts: DataFrame, chunks: int) -> DataFrame:
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, entries, key, many = _Settled(chunks), [], None, False
         for batch in batches:
-            columns = (batch.column(k).to_pylist() for k in range(5))
-            for new_key, context, doc, place, windows in zip(*columns, strict=True):
-                if context is None:
-                    out.covered.append((doc, place, windows))
-                    continue
-                last = entries[-1] if entries else None
-                if new_key != key or last is None or context[:4] != last[0][:4]:
+            keys, docs, places, windows = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2, 3, 4))
+            with_context = batch.column(1).is_valid().to_numpy(zero_copy_only=False)
+            out.cover(docs[~with_context], places[~with_context], windows[~with_context])
+            keys, docs, places, windows = (x[with_context] for x in (keys, docs, places, windows))
+            contexts = batch.column(1).drop_null()
+            if not len(contexts):
+                continue
+            unlike = pc.not_equal(contexts.slice(1), contexts.slice(0, len(contexts) - 1))
+            new = np.concatenate(([True], (keys[1:] != keys[:-1]) | unlike.to_numpy(zero_copy_only=False)))
+            last = entries[-1] if entries else None
+            new[0] = last is None or keys[0] != key or contexts[0].as_py() != last[0]
+            # copies of a context go if a smaller document has it; that is the first of them
+            run, heads = np.cumsum(new), np.flatnonzero(new)
+            least = np.concatenate(([docs[0] if last is None else last[1]], docs[heads]))[run]
+            late = docs > least
+            out.cover(docs[late], places[late], windows[late])
+            again: dict[int, list[int]] = {}
+            for k in np.flatnonzero(~new & ~late).tolist():
+                again.setdefault(int(run[k]), []).append(int(places[k]))
+            if last is not None:
+                last[2].extend(again.get(0, ()))
+            own = (keys[heads].tolist(), contexts.take(heads).to_pylist(), docs[heads].tolist(), places[heads].tolist())
+            for number, (new_key, context, doc, place) in enumerate(zip(*own, strict=True), 1):
+                if not entries or new_key != key or context[:4] != entries[-1][0][:4]:
                     if many:
-                        out.pass_on(last, key)
+                        out.pass_on(entries[-1], key)
                     else:
                         out.group(entries)
-                    entries, key, many, last = [], new_key, False, None
-                if last is not None and context == last[0]:
-                    if doc > last[1]:
-                        out.covered.append((doc, place, windows))
-                    else:
-                        last[2].append(place)
-                    continue
-                entries.append([context, doc, [place]])
+                    entries, key, many = [], new_key, False
+                entries.append([context, doc, [place, *again.get(number, ())]])
                 if many or len(entries) > MOST_CONTEXTS:
                     many = True
                     for entry in entries[:-1]:
                         out.pass_on(entry, key)
                     entries = entries[-1:]
-            if len(out.covered) + len(out.open) > 100_000:
+            if out.rows + len(out.open) > 100_000:
                 yield out.batch()
         if many:
             out.pass_on(entries[-1], key)

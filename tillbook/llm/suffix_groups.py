@@ -58,8 +58,14 @@ def suffix_order(text: Sequence[int]) -> list[int]:
             while up[p + 1] != p:
                 up[p + 1] = p = up[up[p + 1] + 1]
             previous[at] = p
-            if p >= 0 and size[group[p]] > 1:
-                rise([p], group[p])
+            if p >= 0 and size[old := group[p]] > 1:  # as rise() does, for one
+                number, over = len(members), above[old]
+                members.append([p])
+                size.append(1)
+                size[old] -= 1
+                below.append(old)
+                above.append(over)
+                below[over] = above[old] = group[p] = number
             top = below[top]
             continue
         pointed: dict[int, int] = {}
@@ -76,12 +82,12 @@ def suffix_order(text: Sequence[int]) -> list[int]:
         for times, old in sorted(moves) if len(moves) > 1 else moves:  # what is pointed to more often ends up higher
             rise(moves[times, old], old)
         top = below[top]
-    return _emitted(n, done, group, previous)
+    return _emitted(n, done, group, previous, len(members))
 
 
-def _emitted(n: int, done: list[list[int]], group: list[int], previous: list[int]) -> list[int]:
+def _emitted(n: int, done: list[list[int]], group: list[int], previous: list[int], groups: int) -> list[int]:
     """The order, given the groups from the largest down and the pointers to previous smaller suffixes."""
-    place, at = {}, n
+    place, at = [0] * groups, n
     for starts in done:
         at -= len(starts)
         place[group[starts[0]]] = at
