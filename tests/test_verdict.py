@@ -60,3 +60,52 @@ def test_second_seed_checks_references(spark, layers):
         orders = layers.staged_orders(spark).read()
         assert orders.count() == 15 and orders.filter("order_id = 2000").isEmpty()
         jobs.set_up(spark, layers)
+
+
+def test_star_is_of_one_refresh(spark, layers, monkeypatch):
+    import sample
+    from tillbook.plans import jobs
+    from tillbook.sources import VersionedTable
+
+    sample.land(spark, layers)
+    jobs.seed_orders(spark, layers)
+    jobs.refresh_marts(spark, layers)
+    read = VersionedTable.read
+
+    def refreshed_meanwhile(table, state=None):
+        if table.path.endswith("fct_sales"):
+            table.overwrite(read(table).unionAll(read(table)), facts={"orders_unique": False})
+        return read(table, state)
+
+    monkeypatch.setattr(VersionedTable, "read", refreshed_meanwhile)
+    star = jobs.load_star(spark, layers)
+    assert star.orders_unique and star.fact.count() == star.fact.select("order_id").distinct().count()
+
+
+def test_roots_with_quotes_and_relative_roots(spark, tmp_path, monkeypatch):
+    import os
+
+    import sample
+    from tillbook.plans import jobs
+    from tillbook.sources import Layers
+
+    for root in (f"{tmp_path}/o'neil", os.path.relpath(f"{tmp_path}/relative")):
+        os.makedirs(root)
+        layers = Layers(root, order_buckets=3)
+        sample.land(spark, layers)
+        jobs.seed_orders(spark, layers)
+        table = layers.staged_orders(spark)
+        assert table.read().count() == 15 and table.state()["buckets"] == 3
+        (folder,) = table.state()["folders"]
+        assert os.path.isdir(f"{root}/stg/orders/data/{folder}")
+
+
+def test_old_versions_go_by_themselves(spark, tmp_path, monkeypatch):
+    from tillbook.sources import VersionedTable, files, tables
+
+    monkeypatch.setattr(tables, "KEPT_VERSIONS", 3)
+    table = VersionedTable(spark, f"{tmp_path}/t")
+    for n in range(7):
+        table.overwrite(spark.range(n))
+    assert len(files.list_names(spark, f"{table.path}/commits")) == 4
+    assert table.read().count() == 6

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tillbook.functions import ASC, SortKey, directed
 from tillbook.session import checkpointed
 
-_PART, _INDEX, _POSITION, _BLOCK = "_part", "_index", "_position", "_block"
+_PART, _START, _INDEX, _POSITION, _BLOCK = "_part", "_start", "_index", "_position", "_block"
 
 # monotonically_increasing_id() keeps the index of a row inside its partition in the low 33 bits.
 _INDEX_BITS = (1 << 33) - 1
@@ -54,8 +54,10 @@ def _placed(df: DataFrame, order: Sequence[SortKey], out: str) -> tuple[DataFram
     )
     sizes = {row[_PART]: row["count"] for row in rows.groupBy(_PART).count().collect()}
     ends = list(accumulate(sizes.get(part, 0) for part in range(max(sizes, default=0) + 1)))
-    starts = F.array(*(F.lit(start) for start in [0, *ends[:-1]])).cast("array<bigint>")
-    return rows.withColumn(out, F.get(starts, F.col(_PART)) + F.col(_INDEX)).drop(_PART, _INDEX), ends[-1]
+    # a row of two numbers per partition, so its size is bounded by the number of partitions
+    starts = df.sparkSession.createDataFrame(list(enumerate([0, *ends[:-1]])), f"{_PART} int, {_START} bigint")
+    placed = rows.join(F.broadcast(starts), _PART).withColumn(out, F.col(_START) + F.col(_INDEX))
+    return placed.select(*df.columns, out), ends[-1]
 
 
 def global_position(df: DataFrame, order: Sequence[SortKey], out: str) -> DataFrame:

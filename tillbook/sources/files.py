@@ -15,6 +15,12 @@ def _hadoop(spark: SparkSession, path: str):
     return jvm.org.apache.hadoop, target.getFileSystem(configuration), target, configuration
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its store and its full folder, so that the catalog and readers agree on it."""
+    _, store, target, _ = _hadoop(spark, path)
+    return store.makeQualified(target).toString()
+
+
 def list_names(spark: SparkSession, folder: str) -> list[str]:
     """Names in ``folder``; none if it does not exist."""
     _, store, path, _ = _hadoop(spark, folder)

@@ -11,9 +11,13 @@ from tillbook.sources.tables import MergeTable, VersionedTable
 
 @dataclass(frozen=True)
 class Layers:
-    """One folder per layer under ``root``, one folder per table in it."""
+    """One folder per layer under ``root``, one folder per table in it.
+
+    ``order_buckets`` is the number of buckets of the staged orders; a bucket should suit one task.
+    """
 
     root: str
+    order_buckets: int | None = None
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
@@ -25,7 +29,7 @@ class Layers:
         return VersionedTable(spark, self.path("stg", table))
 
     def staged_orders(self, spark: SparkSession) -> MergeTable:
-        return MergeTable(spark, self.path("stg", "orders"))
+        return MergeTable(spark, self.path("stg", "orders"), buckets=self.order_buckets)
 
     def mart(self, spark: SparkSession, table: str) -> VersionedTable:
         return VersionedTable(spark, self.path("mart", table))

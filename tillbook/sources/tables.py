@@ -3,7 +3,7 @@
 Each write goes to a new folder under ``data/``. A small JSON file under ``commits/`` names the folders that make up
 the table from then on; it appears by an atomic rename that fails if another writer was faster. A reader uses the
 newest commit, so it never sees half a write, and a write that dies before its commit leaves the table as it was.
-Old folders stay until ``drop_old_versions`` is called. A store without atomic rename needs one writer at a time.
+Every ``KEPT_VERSIONS`` commits the versions older than that many are dropped. A store without atomic rename needs one writer at a time.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from tillbook.sources import files
 _SEQUENCE = "_sequence"
 _CATALOG = "spark_catalog.default"
 
-# Spark's own limit unless spark.sql.sources.bucketing.maxBuckets is raised.
-_MOST_BUCKETS = 100_000
+#: Versions that stay when old ones are dropped: a day of five-minute batches.
+KEPT_VERSIONS = 288
 
 
 class VersionedTable:
@@ -33,7 +33,7 @@ class VersionedTable:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
-        self.path = path.rstrip("/")
+        self.path = files.qualified(spark, path)
 
     def state(self) -> dict[str, Any]:
         """The newest commit; version 0 stands for a table never written."""
@@ -61,8 +61,9 @@ class VersionedTable:
         folders = [*state["folders"], self._write(df)]
         self._commit(state, folders=folders, schema=state["schema"] or df.schema.json(), facts={})
 
-    def read(self) -> DataFrame:
-        state = self.state()
+    def read(self, state: dict[str, Any] | None = None) -> DataFrame:
+        """The newest content, or that of a state taken before."""
+        state = state or self.state()
         if state["schema"] is None:
             raise FileNotFoundError(f"no table at {self.path}")
         return self._load(state["folders"], T.StructType.fromJson(json.loads(state["schema"])))
@@ -105,6 +106,8 @@ class VersionedTable:
     def _commit(self, state: dict[str, Any], **changes: Any) -> None:
         after = {**state, **changes, "version": state["version"] + 1}
         files.publish_text(self.spark, f"{self.path}/commits/{after['version']:012d}.json", json.dumps(after))
+        if after["version"] % KEPT_VERSIONS == 0:
+            self.drop_old_versions(KEPT_VERSIONS)
 
 
 class MergeTable(VersionedTable):
@@ -131,7 +134,7 @@ class MergeTable(VersionedTable):
         super().__init__(spark, path)
         self.key = key
         self.schema = schema
-        self.buckets = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), _MOST_BUCKETS)
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def state(self) -> dict[str, Any]:
         return {"batches": [], "buckets": self.buckets, "feed": None, "last_batch": -1, **super().state()}
@@ -172,8 +175,8 @@ class MergeTable(VersionedTable):
         self._commit(state, facts={}, **changes, **progress)
         return True
 
-    def read(self) -> DataFrame:
-        state = self.state()
+    def read(self, state: dict[str, Any] | None = None) -> DataFrame:
+        state = state or self.state()
         compacted = self._compacted(state)
         return merge_rows(compacted, self._newest(state), self.key) if state["batches"] else compacted
 
