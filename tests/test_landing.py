@@ -9,6 +9,7 @@ import sample
 from tillbook.plans import jobs
 from tillbook.schemas import RAW
 from tillbook.sources import landing
+from tillbook.streaming import OrderFeed
 
 LOAD_TS = dt.datetime(2024, 6, 1, 12)
 
@@ -44,7 +45,7 @@ def test_multi_line_fields_on_request(spark, layers, tmp_path):
 def test_load_stamp(spark, layers, tmp_path):
     file = csv(tmp_path, "p.csv", "product_id,product_name,category,unit_price\n1,a,b,2\n")
     landing.load_csv(spark, layers, "products", file, load_ts=LOAD_TS)
-    landing.load_csv(spark, layers, "products", file)
+    landing.load_csv(spark, layers, "products", file, force=True)
     given, now = sorted(row[0] for row in landing.read_raw(spark, layers, "products").select("_loaded_at").collect())
     assert given == LOAD_TS
     assert abs(now - dt.datetime.now(dt.UTC).replace(tzinfo=None)) < dt.timedelta(minutes=5)
@@ -65,6 +66,39 @@ def test_lenient_load_sets_misfits_aside(spark, layers, tmp_path):
     assert products(spark, layers) == [("1", "a", "b", "2"), ("3", "c", "d", "4")]
     rejects = landing.read_rejects(spark, layers, "products").select("_source_line")
     assert sample.bag(rejects) == [("2,short",), ("4,one,field,too,many",)]
+    named = landing.read_rejects(spark, layers, "products").select("_source_file").distinct()
+    assert [row[0].rpartition("/")[2] for row in named.collect()] == ["p.csv"]
+
+
+def test_a_file_lands_once_unless_forced(spark, layers, tmp_path):
+    head = "product_id,product_name,category,unit_price\n"
+    first = csv(tmp_path, "a.csv", head + "1,a,b,2\n")
+    landing.load_csv(spark, layers, "products", first)
+    landing.load_csv(spark, layers, "products", first)
+    assert len(products(spark, layers)) == 1
+    second = csv(tmp_path, "b.csv", head + "2,a,b,2\n")
+    landing.load_csv(spark, layers, "products", [first, second])
+    assert [row[0] for row in products(spark, layers)] == ["1", "2"]
+    landing.load_csv(spark, layers, "products", [first, second], force=True)
+    assert [row[0] for row in products(spark, layers)] == ["1", "1", "2", "2"]
+    csv(tmp_path, "a.csv", head + "1,a,b,2\n3,a,b,2\n")  # changed since
+    landing.load_csv(spark, layers, "products", first)
+    assert len(products(spark, layers)) == 6
+    landing.create_raw(spark, layers, "products")
+    landing.load_csv(spark, layers, "products", second)
+    assert [row[0] for row in products(spark, layers)] == ["2"]
+
+
+def test_a_load_without_its_mark_is_not_seen(spark, layers):
+    sample.land(spark, layers)
+    torn = f"{layers.raw('orders')}/loads/load=load-torn"
+    for status in ("ok", "rejected"):
+        rows = landing.read_raw(spark, layers, "orders").limit(3)
+        rows.write.parquet(f"{torn}/load_status={status}")
+    assert landing.read_raw(spark, layers, "orders").count() == 16
+    assert landing.read_rejects(spark, layers, "orders").count() == 0
+    OrderFeed(spark, layers).seed()
+    assert layers.staged_orders(spark).read().count() == 15
 
 
 def test_counting_sees_misfits_too(spark, tmp_path):

@@ -7,7 +7,8 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from checks.oracle import ORACLE
+from checks.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.01"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -27,13 +28,13 @@ def rows(values, columns):
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, other_engine, name):
-    result = contract.queries()[name](spark, SF_DIR)
-    expected = other_engine.execute(contract.oracle_sql()[name])
+    result = QUERIES[name](spark, SF_DIR)
+    expected = other_engine.execute(ORACLE[name])
     expected_columns = [column[0] for column in expected.description]
     assert sorted(result.columns) == sorted(expected_columns)
     got = rows(result.collect(), result.columns)

@@ -1,6 +1,15 @@
 """Where data comes from and goes to: layer paths, versioned tables, CSV landing."""
 
-from tillbook.sources.landing import audit, create_raw, insert_rows, load_csv, read_raw, read_rejects, stream_raw
+from tillbook.sources.landing import (
+    audit,
+    create_raw,
+    insert_rows,
+    load_csv,
+    read_loads,
+    read_raw,
+    read_rejects,
+    stream_loads,
+)
 from tillbook.sources.layers import Layers
 from tillbook.sources.tables import MergeTable, VersionedTable
 
@@ -12,7 +21,8 @@ __all__ = [
     "create_raw",
     "insert_rows",
     "load_csv",
+    "read_loads",
     "read_raw",
     "read_rejects",
-    "stream_raw",
+    "stream_loads",
 ]

@@ -1,11 +1,15 @@
 """CSV files into all-text raw tables.
 
-A raw table is an append-only Parquet folder split by ``load_status``: ``ok`` rows form the table, ``rejected`` rows
-are kept beside it with their source line. One pass over the files writes both.
+A raw table is a folder of loads, each a Parquet folder split by ``load_status``: ``ok`` rows form the table,
+``rejected`` rows are kept beside it with their source line. One pass over the files writes both. A load counts once its
+mark, a small JSON file, appears by an atomic rename; readers and the feed see marked loads only. Marks also name the
+files that a load took, so that a file is not landed twice unless asked for.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -16,9 +20,11 @@ from pyspark.sql import types as T
 from tillbook.functions import null_tokens
 from tillbook.operators import row_counts
 from tillbook.schemas import LOADED_AT, RAW, TIMESTAMP, text_columns
+from tillbook.sources import files
 from tillbook.sources.layers import Layers
 
-_LINE, _STATUS = "_source_line", "load_status"
+_LINE, _FILE, _STATUS, _LOAD = "_source_line", "_source_file", "load_status", "load"
+_MARK = "load string, path string, modificationTime timestamp, length bigint"
 _OK, _REJECTED = "ok", "rejected"
 
 # The file dialect. A header line, commas, optional double quotes that are doubled to escape them,
@@ -40,19 +46,41 @@ def _stamp(load_ts: datetime | None) -> Column:
 
 
 def _stored(table: str) -> T.StructType:
-    return T.StructType(
-        [*RAW[table].fields, T.StructField(_LINE, T.StringType()), T.StructField(_STATUS, T.StringType())]
-    )
+    more = [T.StructField(name, T.StringType()) for name in (_LINE, _FILE, _LOAD, _STATUS)]
+    return T.StructType([*RAW[table].fields, *more])
+
+
+def _loads(layers: Layers, table: str) -> str:
+    return f"{layers.raw(table)}/loads"
+
+
+def _marks(layers: Layers, table: str) -> str:
+    return f"{layers.raw(table)}/marks"
 
 
-def _append(df: DataFrame, layers: Layers, table: str) -> None:
-    df.write.partitionBy(_STATUS).mode("append").parquet(layers.raw(table))
+def _append(df: DataFrame, layers: Layers, table: str, taken: Sequence[Mapping[str, object]] = ()) -> None:
+    """Write a load, then its mark with the files it took."""
+    load = f"load-{uuid.uuid4().hex}"
+    df.write.partitionBy(_STATUS).parquet(f"{_loads(layers, table)}/{_LOAD}={load}")
+    lines = [json.dumps({_LOAD: load, **file}) for file in taken or [{}]]
+    files.publish_text(df.sparkSession, f"{_marks(layers, table)}/{load}.json", "\n".join(lines))
+
+
+def _listed(spark: SparkSession, layers: Layers, table: str, path: str | Sequence[str]) -> DataFrame:
+    """``path``, ``modificationTime`` and ``length`` of the files to load, and whether they are ``known`` from earlier."""
+    keys = ["path", "modificationTime", "length"]
+    found = spark.read.format("binaryFile").load(path).select(*keys)
+    if not files.list_names(spark, _marks(layers, table)):
+        return found.withColumn("known", F.lit(False))
+    marks = spark.read.schema(_MARK).json(_marks(layers, table))
+    known = marks.filter("path IS NOT NULL").select(*keys).distinct().withColumn("known", F.lit(True))
+    return found.join(known, keys, "left").fillna(False, ["known"])
 
 
 def read_csv(
     spark: SparkSession, table: str, path: str | Sequence[str], on_error: str = STRICT, multi_line: bool = False
 ) -> DataFrame:
-    """The text columns of ``table`` from CSV files, with the source line of each row that does not fit (lenient).
+    """The text columns of ``table`` from CSV files, with the file, and the line of each row that does not fit (lenient).
 
     ``strict`` fails on the first row with too few or too many fields. Column pruning is off for this read: with
     it Spark would not look at fields it does not need, and miss such rows. ``multi_line`` allows line breaks inside
@@ -67,7 +95,8 @@ def read_csv(
         .options(**CSV_DIALECT, mode=mode, columnNameOfCorruptRecord=_LINE, multiLine=multi_line, columnPruning=False)
         .csv(path)
     )
-    return rows.select(*(null_tokens(F.col(name)).alias(name) for name in columns), _LINE)
+    texts = (null_tokens(F.col(name)).alias(name) for name in columns)
+    return rows.select(*texts, _LINE, F.col("_metadata.file_path").alias(_FILE))
 
 
 def load_csv(
@@ -78,11 +107,24 @@ def load_csv(
     on_error: str = STRICT,
     load_ts: datetime | None = None,
     multi_line: bool = False,
+    force: bool = False,
 ) -> None:
-    """Append CSV files to a raw table. ``strict`` loads all rows or none, ``lenient`` sets misfits aside."""
+    """Append CSV files to a raw table. ``strict`` loads all rows or none, ``lenient`` sets misfits aside.
+
+    A file landed before (same path, time and size) is passed over unless ``force`` is set. One row per file of this
+    load reaches the driver.
+    """
+    named = _listed(spark, layers, table, path).collect()
+    new = [row for row in named if force or not row["known"]]
+    if not new:
+        return
     status = F.when(F.col(_LINE).isNull(), _OK).otherwise(_REJECTED)
-    rows = read_csv(spark, table, path, on_error, multi_line)
-    _append(rows.withColumns({LOADED_AT: _stamp(load_ts), _STATUS: status}), layers, table)
+    rows = read_csv(spark, table, path if len(new) == len(named) else [row["path"] for row in new], on_error, multi_line)
+    taken = [
+        {"path": row["path"], "modificationTime": row["modificationTime"].astimezone().isoformat(), "length": row["length"]}
+        for row in new
+    ]
+    _append(rows.withColumns({LOADED_AT: _stamp(load_ts), _STATUS: status}), layers, table, taken)
 
 
 def insert_rows(
@@ -100,33 +142,52 @@ def insert_rows(
 
 def append_raw(df: DataFrame, layers: Layers, table: str) -> None:
     """Append a DataFrame that has the raw table's columns, load stamp included."""
-    accepted = {_LINE: F.lit(None).cast("string"), _STATUS: F.lit(_OK)}
+    nothing = F.lit(None).cast("string")
+    accepted = {_LINE: nothing, _FILE: nothing, _STATUS: F.lit(_OK)}
     _append(df.select(*RAW[table].names).withColumns(accepted), layers, table)
 
 
 def create_raw(spark: SparkSession, layers: Layers, table: str) -> None:
-    """Create or empty a raw table."""
-    empty = spark.createDataFrame([], _stored(table))
-    empty.write.partitionBy(_STATUS).mode("overwrite").parquet(layers.raw(table))
+    """Create or empty a raw table; what was landed before is forgotten, too."""
+    files.remove(spark, _marks(layers, table))
+    files.remove(spark, _loads(layers, table))
+    append_raw(spark.createDataFrame([], RAW[table]), layers, table)
+
+
+def _marked(spark: SparkSession, layers: Layers, table: str, loads: Sequence[str], status: str) -> DataFrame:
+    """Rows of these loads; loads and status are folders, so others are not opened."""
+    stored = spark.read.schema(_stored(table)).parquet(_loads(layers, table))
+    return stored.filter((F.col(_STATUS) == status) & F.col(_LOAD).isin(list(loads)))
+
+
+def _all_loads(spark: SparkSession, layers: Layers, table: str) -> list[str]:
+    names = files.list_names(spark, _marks(layers, table))
+    return [name.removesuffix(".json") for name in names if name.startswith("load-")]
+
+
+def read_loads(spark: SparkSession, layers: Layers, table: str, loads: Sequence[str]) -> DataFrame:
+    """The accepted rows of some loads."""
+    return _marked(spark, layers, table, loads, _OK).select(*RAW[table].names)
 
 
 def read_raw(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
-    """The accepted rows; the other half is not even listed for reading."""
-    stored = spark.read.schema(_stored(table)).parquet(layers.raw(table))
-    return stored.filter(F.col(_STATUS) == _OK).select(*RAW[table].names)
+    """The accepted rows of all loads so far; rejected ones are not opened."""
+    return read_loads(spark, layers, table, _all_loads(spark, layers, table))
 
 
 def read_rejects(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
-    """The rows a lenient load set aside, with the line they came from."""
-    stored = spark.read.schema(_stored(table)).parquet(layers.raw(table))
-    return stored.filter(F.col(_STATUS) == _REJECTED).drop(_STATUS)
+    """The rows a lenient load set aside, with the line and the file they came from."""
+    return _marked(spark, layers, table, _all_loads(spark, layers, table), _REJECTED).drop(_STATUS, _LOAD)
 
 
-def stream_raw(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
-    """The accepted rows as a stream: each run of a query sees the files that landed since the last one."""
+def stream_loads(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
+    """Column ``load`` of the marks as a stream, a row or more per load, for ``read_loads``.
+
+    Each run of a query sees the loads marked since the last one, and lists the marks alone.
+    """
     # by default a stream passes over files a week older than the newest it has seen, such as restored ones
-    stored = spark.readStream.schema(_stored(table)).option("maxFileAge", "36500d").parquet(layers.raw(table))
-    return stored.filter(F.col(_STATUS) == _OK).select(*RAW[table].names)
+    marks = spark.readStream.schema(_MARK).option("maxFileAge", "36500d").json(_marks(layers, table))
+    return marks.select(_LOAD)
 
 
 def audit(spark: SparkSession, layers: Layers) -> DataFrame:
