@@ -193,9 +193,14 @@ ORACLE: dict[str, str] = {
     ),
     "csv_rejects": _raw(
         """SELECT concat_ws(',', coalesce(order_id, ''), customer_id, product_id, coalesce(quantity, ''), order_ts)
-               || CASE WHEN status = 'CANCELLED' THEN '' ELSE ',Pending ,"x,y"' END AS source_line
+               || CASE WHEN status = 'CANCELLED' THEN '' ELSE ',Pending ,"x,y"' END AS source_line,
+               CASE WHEN status = 'CANCELLED' THEN 'short' ELSE 'long' END AS source
         FROM raw_orders WHERE status <> ' completed'"""
     ),
+    "repeated_load": _raw(
+        """SELECT customer_id, city, TIMESTAMP '2002-01-01' AS _loaded_at
+        FROM raw_customers, (VALUES (1), (2)) AS loads(load)"""
+    ),
     "null_tokens": """
         SELECT o_orderkey, CASE WHEN o_orderstatus NOT IN ('P', 'F') THEN o_orderpriority END AS priority
         FROM orders""",
@@ -222,6 +227,15 @@ ORACLE: dict[str, str] = {
                CASE WHEN l_returnflag NOT IN ('A', 'N') AND l_linestatus = 'O'
                     THEN CAST(l_shipdate AS DATE) + INTERVAL '10 hours 20 minutes 30 seconds' END AS moment
         FROM lineitem""",
+    "odd_dates": """
+        SELECT l_orderkey, l_linenumber, l_partkey,
+               CASE WHEN l_linenumber > 5 THEN CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) END AS day,
+               CASE WHEN l_linenumber > 5
+                    THEN CAST(l_shipdate AS DATE) + INTERVAL '10 hours 22 minutes' END AS moment
+        FROM lineitem""",
+    "default_stamps": _stg(
+        "SELECT order_id, true AS fresh, CASE WHEN order_ts IS NOT NULL THEN true END AS past FROM v_clean_orders"
+    ),
     "initcap_names": f"""
         SELECT p_partkey, {_title("upper(p_name) || '-' || lower(p_brand) || '-it''s' || chr(9) || lower(p_type)")}
                AS title
@@ -238,6 +252,17 @@ ORACLE: dict[str, str] = {
     ),
     "upsert_orders": _fed("load > 0 OR"),
     "upsert_compacted": _fed(""),
+    "feed_old_files": _fed("load > 0 OR"),
+    "reseeded_feed": _stg("SELECT * FROM stg_orders"),
+    "idle_feed_run": f"SELECT count(*) AS staged_orders, false AS changed FROM ({_fed('load > 0 OR')})",
+    "insert_and_lookup": f"""
+        SELECT order_id, customer_id, product_id, quantity, order_ts, status, _loaded_at
+        FROM ({_fed("load > 0 OR")}) WHERE order_id = 12
+        UNION ALL
+        SELECT 11, 7, 4, 3, TIMESTAMP '1999-05-22 12:00:00', 'COMPLETED', TIMESTAMP '2002-01-01'""",
+    "empty_table": _mart(
+        "SELECT 'created' AS tbl, 0 AS rows UNION ALL SELECT 'filled', count(*) FROM stg_products"
+    ),
     "merge_rows": f"""
         WITH target AS ({_latest_line("l_returnflag <> 'A'")}), source AS ({_latest_line("l_returnflag = 'A'")})
         SELECT * FROM source
@@ -294,6 +319,18 @@ ORACLE: dict[str, str] = {
         FROM fct_sales f JOIN dim_customer c ON f.customer_id = c.customer_id
         GROUP BY c.city ORDER BY revenue DESC NULLS FIRST"""
     ),
+    "star_reports": _mart(
+        """SELECT c.city, count(DISTINCT f.order_id) AS orders, CAST(sum(f.line_revenue) AS DOUBLE) AS revenue,
+               true AS orders_unique
+        FROM fct_sales f JOIN dim_customer c ON f.customer_id = c.customer_id
+        GROUP BY c.city"""
+    ),
+    "order_share": _mart(
+        f"""SELECT order_id, CAST(line_revenue AS DOUBLE) AS line_revenue,
+               {_half_up(f"10000000 * {_cents('line_revenue')}", f"sum({_cents('line_revenue')}) OVER ()")} / 100000
+               AS pct_of_total
+        FROM fct_sales"""
+    ),
     "revenue_moving_avg": _mart(
         f"""SELECT CAST(order_date AS TIMESTAMP) AS order_date, CAST(revenue AS DOUBLE) AS revenue,
                CASE WHEN days > 0 THEN {_half_up("cents", "days")} / 100 END AS revenue_3d_avg

@@ -143,7 +143,18 @@ def csv_lenient_load(retail: Retail) -> DataFrame:
 @query
 def csv_rejects(retail: Retail) -> DataFrame:
     rejects = landing.read_rejects(retail.spark, _land_messy_orders(retail), "orders")
-    return rejects.select(F.col("_source_line").alias("source_line"))
+    folder = F.regexp_extract("_source_file", "/([a-z]+)-[^/]*/[^/]*$", 1)
+    return rejects.select(F.col("_source_line").alias("source_line"), folder.alias("source"))
+
+
+@query
+def repeated_load(retail: Retail) -> DataFrame:
+    """Customer files loaded twice, of which the second time finds nothing new, then once more by force."""
+    layers = retail.layers("csv-repeated")
+    files = _csv_files(retail, retail.raw["customers"].select(*text_columns("customers")), "customers")
+    for force in (False, False, True):
+        landing.load_csv(retail.spark, layers, "customers", files, landing.STRICT, LOAD_TS, force=force)
+    return landing.read_raw(retail.spark, layers, "customers").select("customer_id", "city", LOADED_AT)
 
 
 @query
@@ -210,6 +221,41 @@ def safe_casts(retail: Retail) -> DataFrame:
     )
 
 
+@query
+def odd_dates(retail: Retail) -> DataFrame:
+    """Text that begins like a date but is more or less than one."""
+    line, day = F.col("l_linenumber"), F.col("l_shipdate").cast("date")
+    text = (
+        F.when(line == 1, F.date_format(day, "yyyy"))
+        .when(line == 2, F.date_format(day, "yyyy-MM"))
+        .when(line == 3, F.concat(day.cast("string"), F.lit(" not a date")))
+        .when(line == 4, F.concat(day.cast("string"), F.lit("Tjunk")))
+        .when(line == 5, F.concat(day.cast("string"), F.lit(" 10:22:00+05:30")))
+        .otherwise(F.concat(day.cast("string"), F.lit(" 10:22:00")))
+    )
+    plain = F.when(line != 5, text)  # a zone matters to moments only
+    return retail.table("lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        fn.try_date(plain).alias("day"),
+        fn.try_timestamp(text).alias("moment"),
+    )
+
+
+@query
+def default_stamps(retail: Retail) -> DataFrame:
+    """Orders stamped by the clock, and days since them by today's date: bounds, not values."""
+    stamped = staging.stamped(staging.clean_orders(retail.raw["orders"]))
+    age = F.timestamp_diff("SECOND", F.col(LOADED_AT), F.localtimestamp())
+    days = fn.days_between(F.col("order_ts").cast("date"), F.current_date())
+    return stamped.select(
+        "order_id",
+        (F.abs(age) < 3600).alias("fresh"),
+        (days > 0).alias("past"),
+    )
+
+
 @query
 def initcap_names(retail: Retail) -> DataFrame:
     name = F.concat_ws("-", F.upper("p_name"), F.lower("p_brand"), F.concat(F.lit("it's\t"), F.lower("p_type")))
@@ -232,17 +278,34 @@ def semi_join_refs(retail: Retail) -> DataFrame:
 # Incremental
 
 
-def _feed_loads(retail: Retail, enforce_refs: bool = False) -> Layers:
-    """Raw orders through the feed, load by load; only the first load is checked for references by default."""
+def _age(retail: Retail, folder: str) -> None:
+    """Make the files in ``folder`` look a month older."""
+    context = retail.spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(context._jsc.hadoopConfiguration())
+    for status in store.listStatus(path):
+        store.setTimes(status.getPath(), status.getModificationTime() - 30 * 86_400_000, -1)
+
+
+def _feed_loads(retail: Retail, enforce_refs: bool = False, aged: int | None = None) -> Layers:
+    """Raw orders through the feed, load by load; only the first load is checked for references by default.
+
+    The files of load ``aged`` look old.
+    """
     spark, layers = retail.spark, retail.layers("feed")
     landing.append_raw(retail.raw["customers"], layers, "customers")
     landing.append_raw(retail.raw["products"], layers, "products")
     jobs.stage_dimensions(spark, layers)
     feed = OrderFeed(spark, layers, enforce_refs=enforce_refs, load_ts=LOAD_TS)
     start = "0001-01-01"
-    for end in LOAD_ENDS:
+    for number, end in enumerate(LOAD_ENDS):
         load = retail.raw["orders"].filter((F.col(LOADED_AT) >= start) & (F.col(LOADED_AT) < end))
+        before = landing.read_raw(spark, layers, "orders").inputFiles() if number else []
         landing.append_raw(load, layers, "orders")
+        if number == aged:
+            landed = set(landing.read_raw(spark, layers, "orders").inputFiles()) - set(before)
+            for folder in {file.rpartition("/")[0] for file in landed} | {f"{layers.raw('orders')}/marks"}:
+                _age(retail, folder)
         feed.run_once()
         start = end
     return layers
@@ -262,6 +325,57 @@ def upsert_compacted(retail: Retail) -> DataFrame:
     return table.read()
 
 
+@query
+def feed_old_files(retail: Retail) -> DataFrame:
+    """Staged orders if the files of one load look a month older than those read before."""
+    return _feed_loads(retail, aged=2).staged_orders(retail.spark).read()
+
+
+@query
+def reseeded_feed(retail: Retail) -> DataFrame:
+    """Layers set up a second time and seeded again by the feed: references are checked again."""
+    spark, layers = retail.spark, retail.layers("reseeded")
+    for _ in range(2):
+        jobs.set_up(spark, layers)
+        for name in RAW:
+            landing.append_raw(retail.raw[name], layers, name)
+        jobs.stage_dimensions(spark, layers)
+        OrderFeed(spark, layers, load_ts=LOAD_TS).seed()
+    return layers.staged_orders(spark).read()
+
+
+@query
+def idle_feed_run(retail: Retail) -> DataFrame:
+    """Rows of the staged orders and whether their state changed by a run that found nothing new."""
+    layers = _feed_loads(retail)
+    table = layers.staged_orders(retail.spark)
+    before = table.state()
+    OrderFeed(retail.spark, layers, load_ts=LOAD_TS).run_once()
+    changed = F.lit(table.state() != before)
+    return table.read().agg(F.count(F.lit(1)).alias("staged_orders"), F.first(changed).alias("changed"))
+
+
+@query
+def insert_and_lookup(retail: Retail) -> DataFrame:
+    """A literal order that replaces a staged one and goes through the feed, looked up by its id with a neighbour."""
+    layers = _feed_loads(retail)
+    order = {"order_id": "11", "customer_id": "7", "product_id": "4", "quantity": "3", "order_ts": "1999-05-22 12:00:00",
+             "status": "completed"}
+    landing.insert_rows(retail.spark, layers, "orders", [order], LOAD_TS)
+    OrderFeed(retail.spark, layers, load_ts=LOAD_TS).run_once()
+    return layers.staged_orders(retail.spark).read().filter(F.col("order_id").isin(11, 12))
+
+
+@query
+def empty_table(retail: Retail) -> DataFrame:
+    """A table created empty, then filled."""
+    table = VersionedTable(retail.spark, scratch_path(retail.spark, "created"))
+    table.create(retail.products.schema)
+    empty = table.read()
+    table.append(retail.products)
+    return ops.row_counts({"created": empty, "filled": table.read()})
+
+
 @query
 def merge_rows(retail: Retail) -> DataFrame:
     """Line items of return flag A merged over the per-order rows of the others."""
@@ -334,6 +448,20 @@ def refreshed_star(retail: Retail) -> DataFrame:
     )
 
 
+@query
+def star_reports(retail: Retail) -> DataFrame:
+    """Revenue by city as production runs it: from the stored star, which says that orders are unique."""
+    spark, layers = retail.spark, retail.layers("star-reports")
+    for name in RAW:
+        landing.append_raw(retail.raw[name], layers, name)
+    jobs.stage_dimensions(spark, layers)
+    jobs.seed_orders(spark, layers, LOAD_TS)
+    jobs.refresh_marts(spark, layers)
+    star = jobs.load_star(spark, layers)
+    cities = analytics.revenue_by_city(star.fact, star.customers, star.orders_unique)
+    return cities.withColumn("orders_unique", F.lit(star.orders_unique))
+
+
 # Reports
 
 
@@ -372,6 +500,13 @@ def category_share(retail: Retail) -> DataFrame:
     return analytics.category_share(retail.fact, retail.products)
 
 
+@query
+def order_share(retail: Retail) -> DataFrame:
+    """Each order's share of the whole revenue, to five digits."""
+    revenue = retail.fact.select("order_id", "line_revenue")
+    return ops.share_of_total(revenue, "line_revenue", "pct_of_total", digits=5)
+
+
 @query
 def rfm_scores(retail: Retail) -> DataFrame:
     return analytics.rfm_scores(retail.fact, retail.customers, AS_OF)
