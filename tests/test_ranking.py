@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import sample
 from tillbook.functions import ASC, DESC, ascending, descending, directed
-from tillbook.operators import global_ntile, global_position, global_rank, moving_average, share_of_total
+from tillbook.operators import global_ntile, global_ntiles, global_position, global_rank, moving_average, share_of_total
 
 
 @pytest.fixture(scope="module")
@@ -53,6 +53,18 @@ def test_ntile_of_few_rows(spark, rows):
     assert sample.bag(global_ntile(df, 3, [("id", ASC)], "tile")) == sample.bag(expected)
 
 
+@pytest.mark.parametrize("tiles", [1, 3, 7, 20_000])
+def test_ntiles_by_bounds(spark, scores, tiles):
+    some = scores.filter("id < 50") if tiles > 10_000 else scores
+    some = some.withColumn("money", F.col("value").cast("decimal(38,2)"))
+    orders = {"up": [("value", ASC), ("id", DESC)], "down": [("money", DESC), ("id", ASC)]}
+    got = global_ntiles(some, min(tiles, 60), orders)
+    expected = some.withColumn("up", F.ntile(min(tiles, 60)).over(Window.orderBy(ascending("value"), descending("id"))))
+    down = Window.orderBy(descending("money"), ascending("id"))
+    assert sample.bag(got) == sample.bag(expected.withColumn("down", F.ntile(min(tiles, 60)).over(down)))
+    assert global_ntiles(some.filter("id < 0"), 3, orders).collect() == []
+
+
 @pytest.mark.parametrize("direction", [DESC, ASC])
 @pytest.mark.parametrize("block_rows", [10, 1000, 100_000])
 def test_rank(scores, direction, block_rows):

@@ -2,12 +2,13 @@
 
 from tillbook.operators.latest import latest_per_key
 from tillbook.operators.merge import merge_rows
-from tillbook.operators.ranking import global_ntile, global_position, global_rank
+from tillbook.operators.ranking import global_ntile, global_ntiles, global_position, global_rank
 from tillbook.operators.references import keep_valid_refs
 from tillbook.operators.totals import moving_average, row_counts, share_of_total
 
 __all__ = [
     "global_ntile",
+    "global_ntiles",
     "global_position",
     "global_rank",
     "keep_valid_refs",

@@ -7,10 +7,11 @@ sizes pass through the driver. The functions run that sort when they are called.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,6 +81,35 @@ def global_ntile(df: DataFrame, tiles: int, order: Sequence[SortKey], out: str)
     return placed.withColumn(out, tile + 1).drop(_POSITION)
 
 
+def _reached(df: DataFrame, order: Sequence[SortKey], first: Row) -> Column:
+    """Whether a row stands at ``first`` or behind it; NULL is the largest value."""
+    reached = F.lit(True)
+    for name, direction in reversed(order):
+        value, bound = F.col(name), F.lit(first[name]).cast(df.schema[name].dataType)
+        if direction == ASC:
+            behind = F.lit(False) if first[name] is None else value.isNull() | (value > bound)
+        else:
+            behind = value.isNotNull() if first[name] is None else F.coalesce(value < bound, F.lit(False))
+        reached = behind | (value.eqNullSafe(bound) & reached)
+    return reached
+
+
+def global_ntiles(df: DataFrame, tiles: int, orders: Mapping[str, Sequence[SortKey]]) -> DataFrame:
+    """``global_ntile`` by several orders, named by their output columns; each must end in unique columns.
+
+    The rows are computed once and stay where they are. Per order its own columns alone are sorted, and the first rows
+    of the tiles, one less than ``tiles``, pass through the driver to become the bounds that all rows are held against.
+    """
+    rows, scores = checkpointed(df), {}
+    for out, order in orders.items():
+        placed, count = _placed(rows.select(*(name for name, _ in order)), order, _POSITION)
+        size, larger = divmod(count, tiles)
+        starts = [tile * size + min(tile, larger) for tile in range(1, tiles)]
+        firsts = placed.filter(F.col(_POSITION).isin(starts)).collect()
+        scores[out] = reduce(Column.__add__, (_reached(df, order, first).cast("int") for first in firsts), F.lit(1))
+    return rows.withColumns(scores)
+
+
 def global_rank(
     df: DataFrame, value: SortKey, out: str, ties: Sequence[str] = (), block_rows: int = _BLOCK_ROWS
 ) -> DataFrame:

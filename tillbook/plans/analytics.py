@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tillbook.functions import ASC, DESC, ascending, days_between, descending
 from tillbook.functions.rounding import rounded_quotient
-from tillbook.operators import global_ntile, global_rank, moving_average, share_of_total
+from tillbook.operators import global_ntiles, global_rank, moving_average, share_of_total
 from tillbook.plans.marts import category_revenue, daily_revenue, members, order_count, sales_by_product
 
 RFM_TILES = 3
@@ -114,13 +114,12 @@ def rfm_scores(
 ) -> DataFrame:
     """Thirds of the customers by recency, frequency and revenue, 1 being the best; ties go by customer id."""
     ties = [("customer_id", ASC), ("full_name", ASC)]
-    scored = rfm_base(fact, customers, as_of, orders_unique)
-    for measure, direction, score in (
-        ("recency_days", ASC, "r_score"),
-        ("frequency", DESC, "f_score"),
-        ("monetary", DESC, "m_score"),
-    ):
-        scored = global_ntile(scored, RFM_TILES, [(measure, direction), *ties], score)
+    orders = {
+        "r_score": [("recency_days", ASC), *ties],
+        "f_score": [("frequency", DESC), *ties],
+        "m_score": [("monetary", DESC), *ties],
+    }
+    scored = global_ntiles(rfm_base(fact, customers, as_of, orders_unique), RFM_TILES, orders)
     return scored.orderBy(descending("monetary"), ascending("customer_id"), ascending("full_name")).select(
         "full_name", "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score"
     )
