@@ -106,7 +106,7 @@ def global_ntiles(df: DataFrame, tiles: int, orders: Mapping[str, Sequence[SortK
         size, larger = divmod(count, tiles)
         starts = [tile * size + min(tile, larger) for tile in range(1, tiles)]
         firsts = placed.filter(F.col(_POSITION).isin(starts)).collect()
-        scores[out] = reduce(Column.__add__, (_reached(df, order, first).cast("int") for first in firsts), F.lit(1))
+        scores[out] = reduce(Column.__add__, (_reached(df, order, first).cast("int") for first in firsts), F.lit(1).cast("bigint"))
     return rows.withColumns(scores)
 
 
