@@ -67,6 +67,23 @@ def test_passages_against_the_rule(docs, monkeypatch, most):
     assert found == removed([(row["doc_id"], row["text"]) for row in docs.collect()])
 
 
+def test_passages_of_copies_in_other_slices(spark):
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    rows, slices = [], [[] for _ in range(12)]
+    for k in range(24):
+        passage = word(150)
+        texts = sorted((word(90) + passage + word(70), word(60) + passage + word(110)), key=lambda t: passages.text_hash(t.encode()))
+        # b in a slice of its own, its near-copy c and another copy of it together: b < c < a
+        b, c, a = ((k * 10 + i, texts[t]) for i, t in ((1, 0), (2, 1), (3, 0)))
+        rows += [b, c, a]
+        slices[k % 6].append(b)
+        slices[6 + k % 6] += [c, a]
+    parts = spark.sparkContext.parallelize(slices, len(slices)).flatMap(lambda x: x)
+    found = passages.repeated_bytes(spark.createDataFrame(parts, "doc_id long, text string"))
+    assert {row["doc_id"]: tuple(row)[1:] for row in found.collect()} == removed(rows)
+
+
 def test_golay_keys_meet_within_two_bits():
     rng = np.random.default_rng(1)
     one = rng.integers(0, 2**63, 500, dtype=np.int64)

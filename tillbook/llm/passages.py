@@ -202,9 +202,12 @@ def text_hash(text: bytes) -> int:
     return xxhash.xxh64_intdigest(text, 42)
 
 
-def _of_several_texts(gram: np.ndarray, text: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
+def _of_several_texts(
+    gram: np.ndarray, text: np.ndarray, doc: np.ndarray, several: np.ndarray | None = None
+) -> tuple[np.ndarray, ...]:
     """(alone, order, new): rows whose gram no other has; the others by gram, text and document with whole copies left
-    out, and where grams begin among them; of these only those in several texts."""
+    out, and where grams begin among them; of these only those in several texts. ``several`` marks rows whose gram
+    another text is known to have."""
     order = np.argsort(gram, kind="stable")
     if not len(order):
         return order, order, np.zeros(0, bool)
@@ -215,11 +218,13 @@ def _of_several_texts(gram: np.ndarray, text: np.ndarray, doc: np.ndarray) -> tu
     new = np.concatenate(([True], gram[order][1:] != gram[order][:-1]))[: len(order)]
     new_text = new | np.concatenate(([True], text[order][1:] != text[order][:-1]))[: len(order)]
     first_doc = doc[order][np.maximum.accumulate(np.where(new_text, np.arange(len(order)), 0))]
+    of_gram = np.cumsum(new) - 1
+    texts = np.bincount(of_gram[new_text])
+    if several is not None:
+        texts[of_gram[several[order]]] += 1
     own = doc[order] == first_doc
-    order, new, new_text = order[own], new[own], new_text[own]
-    start = np.flatnonzero(new)
-    texts = np.add.reduceat(new_text.astype(np.int64), start) if len(start) else np.zeros(0, np.int64)
-    many = (texts > 1)[np.cumsum(new) - 1]
+    many = (texts > 1)[of_gram[own]] if len(order) else own
+    order, new = order[own], new[own]
     return np.concatenate((alone, order[~many])), order[many], new[many]
 
 
@@ -239,7 +244,7 @@ def _shared(docs: DataFrame, buckets: int, chunks: int) -> DataFrame:
     Copies of a whole text share all their anchors, so wherever one of them turns up all others do, and only the
     smallest goes on.
     """
-    kinds = {"bucket": pa.int32(), **dict.fromkeys(("ids", "runs", "steps", "texts", "grams"), pa.binary())}
+    kinds = {"bucket": pa.int32(), **dict.fromkeys(("ids", "runs", "steps", "texts", "grams", "several"), pa.binary())}
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in _slices(whole)):
@@ -248,6 +253,8 @@ def _shared(docs: DataFrame, buckets: int, chunks: int) -> DataFrame:
             row, _, _, _, least = all_anchors(*_buffer(batch.column(1)))
             doc, text, number = ids[row], copies[row], _numbered(row)
             alone, shared, new_gram = _of_several_texts(least, text, doc)
+            several = np.zeros(len(least), bool)
+            several[shared] = True
             out: dict[str, list] = {name: [] for name in kinds}
 
             def add(bucket: int, rows: np.ndarray, with_grams: bool) -> None:
@@ -255,11 +262,12 @@ def _shared(docs: DataFrame, buckets: int, chunks: int) -> DataFrame:
                 lists = _listed(doc[rows], number[rows])
                 firsts = np.concatenate(([True], doc[rows][1:] != doc[rows][:-1]))
                 grams = (least[rows] & _LOW).view(np.uint8).reshape(-1, 8)[:, :5].tobytes() if with_grams else None
-                values = (bucket, *lists, text[rows][firsts].tobytes(), grams)
+                marks = np.packbits(several[rows]).tobytes() if with_grams else None
+                values = (bucket, *lists, text[rows][firsts].tobytes(), grams, marks)
                 for column, value in zip(out.values(), values, strict=True):
                     column.append(value)
 
-            # those in several texts here are known to be shared, and one of them stands for them elsewhere
+            # those in several texts here are known to be shared; one of them, marked so, stands for them elsewhere
             rows = np.concatenate((alone, shared[new_gram]))
             for bucket, own in _by((least[rows] >> np.uint64(40)).astype(np.int64) % buckets):
                 add(bucket, rows[own], True)
@@ -280,10 +288,11 @@ def _shared(docs: DataFrame, buckets: int, chunks: int) -> DataFrame:
             wide = np.zeros((len(doc), 8), np.uint8)
             wide[:, :5] = np.frombuffer(row["grams"], np.uint8).reshape(-1, 5)
             text = np.repeat(np.frombuffer(row["texts"], np.uint64), _from_planes(row["runs"]))
-            sent.append((doc, number, text, wide.view("<u8").ravel()))
+            several = np.unpackbits(np.frombuffer(row["several"], np.uint8), count=len(doc)).astype(bool)
+            sent.append((doc, number, text, wide.view("<u8").ravel(), several))
         if sent:
-            doc, number, text, gram = (np.concatenate(x) for x in zip(*sent, strict=True))
-            _, shared, _ = _of_several_texts(gram, text, doc)
+            doc, number, text, gram, several = (np.concatenate(x) for x in zip(*sent, strict=True))
+            _, shared, _ = _of_several_texts(gram, text, doc, several)
             known.append((doc[shared], number[shared]))
         doc, number = (np.concatenate(x) for x in zip(*known, strict=True))
         order = np.lexsort((number, doc))
@@ -294,7 +303,7 @@ def _shared(docs: DataFrame, buckets: int, chunks: int) -> DataFrame:
                 column.append(value)
         return pa.Table.from_batches([_batch(out, out_kinds)])
 
-    sent = docs.mapInArrow(hashed, f"bucket int, {_LISTS}, texts binary, grams binary")
+    sent = docs.mapInArrow(hashed, f"bucket int, {_LISTS}, texts binary, grams binary, several binary")
     return sent.groupBy("bucket").applyInArrow(matched, f"chunk long, {_LISTS}")
 
 
