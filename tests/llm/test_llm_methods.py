@@ -25,6 +25,7 @@ from tillbook.llm import (
     toxicity,
 )
 from tillbook.llm.components import components
+from tillbook.llm.queries import QUERIES
 from tillbook.llm.suffix_groups import suffix_order
 
 SMALL = "/root/testdata/sf0.001"
@@ -226,6 +227,29 @@ def test_curriculum_delivers_what_the_mix_takes(docs):
     assert all(taken[i][0] * n == taken[i][1] for i, n in times.items())
 
 
+def test_mixing_query_gives_the_training_order(spark, docs):
+    found = QUERIES["op6_mixing"](spark, SMALL).collect()
+    plain = ("doc_id", "size", "source_size", "target", "taken")
+    assert sorted(tuple(r[c] for c in plain) for r in found) == sorted(tuple(r) for r in curriculum.taken(docs).collect())
+    assert all(r["size"] * len(r["positions"]) == r["taken"] and len(r["times"]) == len(r["positions"]) for r in found)
+    placed = sorted((at, time, r["doc_id"]) for r in found for at, time in zip(r["positions"], r["times"], strict=True))
+    assert [at for at, _, _ in placed] == list(range(1, len(placed) + 1))
+    assert [time for _, time, _ in placed] == sorted(time for _, time, _ in placed)
+    assert [i for _, _, i in placed] == [r["doc_id"] for r in curriculum.curriculum(docs).collect()]
+
+
+def test_mixing_of_odd_rows(spark):
+    rows = [(1, "a b c", "x"), (1, "a b c", "x"), (2, None, "x"), (None, "d e", "y"), (3, "", "z"), (4, "f " * 9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = curriculum.delivered(docs).collect()
+    text = lambda values: sorted(map(repr, values))
+    assert text(tuple(r)[:5] for r in found) == text(tuple(r) for r in curriculum.taken(docs).collect())
+    placed = sorted((at, r["doc_id"]) for r in found for at in r["positions"])
+    assert [at for at, _ in placed] == list(range(1, len(placed) + 1))
+    assert [i for _, i in placed] == [r["doc_id"] for r in curriculum.curriculum(docs).collect()]
+    assert curriculum.delivered(docs.limit(0)).collect() == []
+
+
 def test_marginals_against_all_paths():
     rng = np.random.default_rng(0)
     emissions, move = rng.random((5, 3, 3)).astype(np.float32), rng.random((3, 3)).astype(np.float32)

@@ -16,7 +16,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import packed, word_count
+from tillbook.functions import ASC
+from tillbook.llm.common import packed, stored, word_count
+from tillbook.operators.ranking import global_position
 
 Schedule = Sequence[tuple[float, float]]
 
@@ -123,6 +125,44 @@ def taken(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_RE
     return plan.select("doc_id", "size", "source_size", "target", words)
 
 
+def timed(plan: DataFrame, schedules: Sequence[Schedule] = SCHEDULES) -> DataFrame:
+    """A row for each delivery of the documents of ``plan``, with repeat (0 and up) and time."""
+    words = F.col("repeat") * F.col("source_size") + F.col("before") + F.col("size") / 2.0
+    share = F.when(F.col("target") > 0, F.least(words / F.col("target"), F.lit(1.0))).otherwise(0.0)
+    time = F.lit(None).cast("double")
+    for i, schedule in enumerate(schedules):
+        time = F.when(F.col("turn") % len(schedules) == i, time_of(share, schedule)).otherwise(time)
+    repeats = F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)
+    return plan.filter(F.col("copies") > 0).withColumn("repeat", F.explode(repeats)).withColumn("time", time)
+
+
+def delivered(
+    docs: DataFrame,
+    weights: Sequence[int] = WEIGHTS,
+    schedules: Sequence[Schedule] = SCHEDULES,
+    most: int = MOST_REPEATS,
+) -> DataFrame:
+    """The columns of ``taken``, summed over deliveries, with positions (from 1) and times of these in the training order.
+
+    A document that is not delivered has 0 words and empty lists. Rows that repeat a document are documents of their
+    own; of equal ones any may come first.
+    """
+    plan = planned(docs.select("doc_id", "text", "source"), weights, most).drop("row")
+    plan = stored(plan.withColumn("document", F.monotonically_increasing_id()), "plan")
+    # null ids come first, as in a plain sort
+    keys = ("time", F.col("doc_id").isNotNull().alias("named"), "doc_id", "repeat", "document")
+    order = [(name, ASC) for name in ("time", "named", "doc_id", "repeat", "document")]
+    placed = global_position(timed(plan, schedules).select(*keys, "size"), order, "position")
+    own = placed.groupBy("document").agg(
+        F.sum("size").alias("words"), F.sort_array(F.collect_list(F.struct("position", "time"))).alias("deliveries")
+    )
+    listed = lambda name: F.coalesce(F.col(f"deliveries.{name}"), F.array())
+    return plan.join(own, "document", "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0).cast("long")).alias("taken"),
+        listed("position").cast("array<long>").alias("positions"), listed("time").cast("array<double>").alias("times"),
+    )
+
+
 def curriculum(
     docs: DataFrame,
     weights: Sequence[int] = WEIGHTS,
@@ -135,12 +175,4 @@ def curriculum(
     count as empty text in the hash order. Documents without words are delivered like others at their place in it;
     sources without words not at all. Repeated rows are documents of their own. An empty table gives an empty table.
     """
-    words = F.col("repeat") * F.col("source_size") + F.col("before") + F.col("size") / 2.0
-    share = F.when(F.col("target") > 0, F.least(words / F.col("target"), F.lit(1.0))).otherwise(0.0)
-    time = F.lit(None).cast("double")
-    for i, schedule in enumerate(schedules):
-        time = F.when(F.col("turn") % len(schedules) == i, time_of(share, schedule)).otherwise(time)
-    deliveries = planned(docs, weights, most).filter(F.col("copies") > 0)
-    repeats = F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)
-    timed = deliveries.withColumn("repeat", F.explode(repeats)).withColumn("time", time)
-    return timed.orderBy("time", "doc_id", "repeat").select("row.*")
+    return timed(planned(docs, weights, most), schedules).orderBy("time", "doc_id", "repeat").select("row.*")

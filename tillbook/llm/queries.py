@@ -33,7 +33,7 @@ def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curriculum.taken(table(spark, sf_dir, "documents"))
+    return curriculum.delivered(table(spark, sf_dir, "documents"))
 
 
 def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
