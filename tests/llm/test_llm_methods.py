@@ -288,6 +288,34 @@ def test_base_scores_and_better_model(spark):
     assert sum(row["score"] for row in held_out) > sum(row["base_score"] for row in held_out)
 
 
+def test_every_position_is_an_example(spark):
+    rng = random.Random(7)
+    texts = [" ".join(rng.choices(["a", "b", "c", "d", "rare", "words"], k=n)) for n in (0, 1, 3, 63, 64, 65, 500)]
+    rows = [(i, text, True) for i, text in enumerate([*texts, None])] + [(99, "left out", False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learns boolean")
+    keys = np.array([maxent.word_key(w) for w in (b"a", b"b", b"c", b"d")], np.uint64)
+    none = np.zeros(maxent.CLASSES)
+    corpus = maxent.Corpus(700, 7, 8, keys, np.ones(4), none, none)
+    found = Counter()
+    for row in maxent._examples(docs, corpus).collect():
+        found.update(map(tuple, maxent.examples_in(row["examples"]).tolist()))
+    wanted = Counter()
+    for _, text, learns in rows:
+        words = np.array([maxent.word_key(w) for w in (text or "").encode().split()], np.uint64)
+        own = [*[maxent.NOTHING] * 4, *corpus.symbols(words).tolist(), 0]
+        wanted.update((*own[k - 4 : k][::-1], own[k]) for k in range(4, len(own) if learns else 0))
+    assert found == wanted
+
+
+def test_slopes_add_up_by_row():
+    rng = np.random.default_rng(2)
+    rows, slope = rng.integers(0, 40, (300, 5)), rng.random((300, 8)).astype(np.float32)
+    found, wanted = np.zeros((64, 8), np.float32), np.zeros((64, 8))
+    maxent._add(found, rows, slope)
+    np.add.at(wanted, rows.ravel(), np.repeat(slope, 5, axis=0))
+    assert np.allclose(found, wanted, atol=1e-3)
+
+
 def test_probabilities_sum_to_one():
     rng = np.random.default_rng(5)
     keys = rng.integers(0, 2**63, 1023).astype(np.uint64)
