@@ -343,6 +343,14 @@ def test_grammar_weighs_clauses():
     assert score("not here. idiot") == score("idiot")
 
 
+def test_insults_by_support_in_a_large_sample(spark):
+    # in 8 of 4,000 toxic documents, 0.2% of them
+    text = F.when((F.col("id") % 2 == 1) & (F.col("id") < 16), "what a zorgblat").otherwise("some words")
+    rows = spark.range(8000).select(text.alias("text"), (F.col("id") % 2).cast("int").alias("toxic"))
+    found = toxicity._learn_insults(rows)
+    assert "zorgblat$" in found and "some$" not in found
+
+
 def test_toxicity_of_held_out_documents(spark):
     folder = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{folder}/labels.parquet")

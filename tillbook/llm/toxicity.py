@@ -35,11 +35,10 @@ FOLDS = 5
 HELD_OUT = 0
 
 #: Labelled documents the insults and the curve are learned from, at most.
-MOST_LABELS = 20_000
+MOST_LABELS = 40_000
 
-#: An insult is in so many toxic documents at least, and in this share of them, with such log odds against others.
+#: An insult is in so many toxic documents at least, with such log odds against others.
 LEAST_DOCUMENTS = 6
-LEAST_SHARE = 0.004
 LEAST_ODDS = 2.5
 PREFIXES = (4, 5, 6, 7)
 
@@ -210,9 +209,8 @@ def _learn_insults(docs: DataFrame) -> dict[str, float]:
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
         return {}
-    least = max(LEAST_DOCUMENTS, math.ceil(LEAST_SHARE * toxic))
-    counts = _trait_counts(docs.filter("toxic = 1"), None).filter(F.col("n") >= least)
-    # no more than the words of the sample's toxic documents divided by ``least``
+    counts = _trait_counts(docs.filter("toxic = 1"), None).filter(F.col("n") >= LEAST_DOCUMENTS)
+    # no more than the words of the sample's toxic documents divided by ``LEAST_DOCUMENTS``
     seen = {row["trait"]: row["n"] for row in counts.collect()}
     others = {r["trait"]: r["n"] for r in _trait_counts(docs.filter("toxic = 0"), frozenset(seen)).collect()}
     odds = {x: math.log((n + 0.5) / (toxic - n + 0.5) * (clean - m + 0.5) / (m + 0.5))
@@ -261,7 +259,8 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS) -> Model:
     number = marks.count()
     # both sides by the same hash, so that no more of the texts than the sample's share is moved
     texts, marks = (sample_below(x, "doc_id", number, most) for x in (docs.select(F.col("doc_id").cast("long"), "text"), marks))
-    known = stored(texts.join(marks, "doc_id"), "sample")
+    # two numbers for each document of a bounded sample, so that no texts are dealt out
+    known = stored(texts.join(F.broadcast(marks), "doc_id"), "sample")
     third = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(3)) == 0
     half = _learn_insults(known.filter(~third).select("text", "toxic"))
     points = _scored(known.filter(third), half, "toxic")
