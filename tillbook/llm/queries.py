@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.llm import ann, curriculum, embedding_dedup, language, maxent, packing, passages, quality, simhash, toxicity
+from tillbook.llm import (
+    ann,
+    curriculum,
+    embedding_dedup,
+    language,
+    maxent,
+    merkle,
+    packing,
+    passages,
+    quality,
+    rules,
+    simhash,
+    toxicity,
+)
 from tillbook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +65,14 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_bytes(table(spark, sf_dir, "documents"))
 
 
+def op11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.verdicts(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -65,5 +86,7 @@ QUERIES: dict[str, Query] = {
         op8_simhash,
         op9_language,
         op10_passages,
+        op11_rules,
+        op13_merkle,
     )
 }
