@@ -19,6 +19,7 @@ from tillbook.llm import (
     rules,
     simhash,
     toxicity,
+    whitening,
 )
 from tillbook.llm.common import table
 
@@ -69,6 +70,10 @@ def op11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(table(spark, sf_dir, "documents"))
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, Query] = {
         op9_language,
         op10_passages,
         op11_rules,
+        op12_whitening,
         op13_merkle,
     )
 }
