@@ -30,6 +30,9 @@ FANOUT = 8
 #: Runs of one window group: neighbours are looked up inside a run only, so any number serves.
 RUNS_PER_BLOCK = 8
 
+#: Parts into which the rows of a tree are dealt where they learn its size.
+PARTS = 64
+
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -109,11 +112,16 @@ def _descended(levels: list[DataFrame], above: DataFrame) -> DataFrame:
 def _numbered(rows: DataFrame) -> tuple[DataFrame, int]:
     """Rows (tree, doc_id, digest and more) with their place ``pos`` in their tree and its size ``n``; the largest size.
 
-    Places come from one global sort, so no tree has to fit a task; what is known of a tree is a row of a table.
+    Places come from one global sort, so no tree has to fit a task. What is known of a tree is a row, copied for each of
+    the parts that its rows are dealt into: joined on the tree alone, a large one would be one task's here and, as
+    windows then find their rows already together, in the next step as well.
     """
     placed = global_position(rows, [("tree", ASC), ("doc_id", ASC), ("digest", ASC)], "place")
     trees = placed.groupBy("tree").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
-    nodes = placed.join(trees, "tree").withColumn("pos", F.col("place") - F.col("first")).drop("place", "first")
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long")))
+    known = trees.withColumn("part", parts)
+    nodes = placed.withColumn("part", F.col("place") % PARTS).join(known, ["tree", "part"])
+    nodes = nodes.withColumn("pos", F.col("place") - F.col("first")).drop("place", "first", "part")
     return nodes, trees.agg(F.max("n").alias("n")).first()["n"] or 0
 
 
