@@ -91,8 +91,10 @@ def test_old_versions_are_dropped(spark, merged, tmp_path):
     assert content(merged) == before
     state = merged.state()
     assert {path.name for path in (tmp_path / "m" / "data").iterdir()} == {
-        "under-way", *state["folders"], *state["batches"]
+        "under-way", "rows", *state["batches"]
     }
+    found = {f"rows/{path.relative_to(tmp_path / 'm' / 'data' / 'rows')}" for path in (tmp_path / "m" / "data" / "rows").glob("*/*")}
+    assert {folder for folder in found if "part=" in folder} == set(state["folders"])
     assert len([path for path in (tmp_path / "m" / "commits").iterdir() if path.suffix == ".json"]) == 2
     merged.drop_old_versions()
     assert content(merged) == before
@@ -202,12 +204,31 @@ def test_compaction_writes_bucket_by_bucket(spark, merged, tmp_path):
     text = plan(merge_rows(merged._compacted(state), batches, "order_id").repartition(merged.buckets, "order_id"))
     assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning") == 2  # both on the batches
     merged.compact()
-    (folder,) = merged.state()["folders"]
-    files_written = [path for path in (tmp_path / "m" / "data" / folder).iterdir() if path.suffix == ".parquet"]
-    assert len(files_written) == merged.buckets
+    assert len(merged.state()["folders"]) == len(list((tmp_path / "m" / "data" / "rows").glob("*/*/*.parquet"))) - 8 == 8
     assert merged.read().groupBy("status").count().orderBy("status").collect() == [("a", 500), ("b", 1000)]
 
 
+def files_read(table):
+    return {row[0] for row in table.read().select(F.input_file_name()).distinct().collect()}
+
+
+def test_compaction_leaves_untouched_buckets_in_place(spark, merged, tmp_path):
+    merged.merge(orders(spark, *((key, "a") for key in range(1000))))
+    before = files_read(merged)
+    folders = set(merged.state()["folders"])
+    merged.merge(orders(spark, (16, "b"), (5000, "b")))
+    touched = {row[0] for row in merged._newest(merged.state()).select(merged._part()).collect()}
+    merged.compact()
+    assert len(before) == 8 and 1 <= len(touched) <= 2
+    after = files_read(merged)
+    assert len(after) == 8 and len(before & after) == 8 - len(touched)
+    assert {int(folder.rpartition("=")[2]) for folder in folders - set(merged.state()["folders"])} == touched
+    assert merged.read().groupBy("status").count().orderBy("status").collect() == [("a", 999), ("b", 2)]
+    merged.drop_old_versions()
+    assert files_read(merged) == after and merged.read().count() == 1001
+    assert spark.conf.get("spark.sql.hive.manageFilesourcePartitions") == "true"
+
+
 def test_bucket_count_may_change(spark, merged):
     merged.merge(orders(spark, *((key, "a") for key in range(100))))
     wider = MergeTable(spark, merged.path, buckets=5)

@@ -96,8 +96,7 @@ def test_roots_with_quotes_and_relative_roots(spark, tmp_path, monkeypatch):
         jobs.seed_orders(spark, layers)
         table = layers.staged_orders(spark)
         assert table.read().count() == 15 and table.state()["buckets"] == 3
-        (folder,) = table.state()["folders"]
-        assert os.path.isdir(f"{root}/stg/orders/data/{folder}")
+        assert all(os.path.isdir(f"{root}/stg/orders/data/{folder}") for folder in table.state()["folders"])
 
 
 def test_old_versions_go_by_themselves(spark, tmp_path, monkeypatch):

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +24,10 @@ from tillbook.sources import files
 
 _SEQUENCE = "_sequence"
 _CATALOG = "spark_catalog.default"
+_TRACKED = "spark.sql.hive.manageFilesourcePartitions"
+
+# Compacted rows: a folder per compaction and bucket.
+_ROWS, _RUN, _PART = "rows", "run", "part"
 
 #: Versions that stay when old ones are dropped: a day of five-minute batches.
 KEPT_VERSIONS = 288
@@ -117,10 +122,13 @@ class MergeTable(VersionedTable):
     batch of a key win: the batches since the last compaction are reduced to one row per key, and the compacted rows
     of those keys are filtered out. ``compact`` folds the batches in.
 
-    The compacted rows are one Parquet folder bucketed and sorted by the key. A join with them on the key shuffles
-    only the other side, so neither reading nor compaction moves the large part of the table, and a lookup of one
-    key opens one bucket. A bucket should suit one task, so their number is that of the shuffle partitions unless
-    ``buckets`` says otherwise; a new number applies from the next compaction on.
+    The compacted rows are bucketed and sorted by the key, each bucket in a partition folder of its own, so a compaction
+    writes the buckets it touches anew and leaves the others in place. (Overwriting partitions in place would do the same
+    with less, but a job that dies between the removal of a partition and the renaming of its new files loses rows, and
+    readers can see it without either.) A join on the key shuffles only the other side, so neither reading nor compaction
+    moves the large part of the table, and a lookup of one key opens one bucket. A bucket should suit one task, so their
+    number is that of the shuffle partitions unless ``buckets`` says otherwise; a new number applies from the next
+    compaction on, which writes all rows.
     """
 
     def __init__(
@@ -183,14 +191,23 @@ class MergeTable(VersionedTable):
     def compact(self) -> None:
         """Fold the batches into the compacted rows; content and feed progress stay as they are.
 
-        With the batches split like the buckets and a merge join, the old rows are read, filtered and written bucket
-        by bucket.
+        Only the buckets that a batch has rows of are read and written; the others keep their files. With the batches
+        split like the buckets and a merge join, the old rows are read, filtered and written bucket by bucket.
         """
         state = self.state()
-        if state["batches"]:
-            batches = self._newest(state).repartition(self.buckets, self.key).hint("merge")
-            merged = merge_rows(self._compacted(state), batches, self.key)
-            self._commit(state, batches=[], **self._compacted_to(merged))
+        if not state["batches"]:
+            return
+        newest, kept = self._newest(state), []
+        if state["buckets"] == self.buckets:
+            touched = {row[0] for row in newest.select(self._part()).distinct().collect()}  # a number per bucket at most
+            kept = [folder for folder in state["folders"] if int(folder.rpartition("=")[2]) not in touched]
+        old = self._compacted({**state, "folders": [folder for folder in state["folders"] if folder not in kept]})
+        merged = merge_rows(old, newest.repartition(self.buckets, self.key).hint("merge"), self.key)
+        self._commit(state, batches=[], **self._compacted_to(merged, kept))
+
+    def _part(self) -> Column:
+        """The bucket of a row, as bucketed writes number them."""
+        return F.pmod(F.hash(self.key), F.lit(self.buckets)).alias(_PART)
 
     def _newest(self, state: dict[str, Any]) -> DataFrame:
         """One row per key of the batches."""
@@ -201,28 +218,39 @@ class MergeTable(VersionedTable):
         return batches.drop(_SEQUENCE)
 
     def _compacted(self, state: dict[str, Any]) -> DataFrame:
-        """The bucketed folder. A bucketed read goes through a catalog entry, needed only to resolve the plan."""
+        """The folders of all buckets as one bucketed table: those of other runs are pruned as partitions.
+
+        A bucketed read goes through a catalog entry, needed only to resolve the plan; partitions are those of the folders,
+        not of the catalog, as it is gone when the plan runs.
+        """
         if not state["folders"]:
             return self.spark.createDataFrame([], self.schema)
-        (folder,) = state["folders"]
         columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in self.schema)
         entry = f"{_CATALOG}.merge_{uuid.uuid4().hex}"
-        location = f"{self.path}/data/{folder}".replace("\\", "\\\\").replace("'", "\\'")
-        self.spark.sql(
-            f"CREATE TABLE {entry} ({columns}) USING parquet "
-            f"CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {state['buckets']} BUCKETS "
-            f"LOCATION '{location}'"
-        )
-        df = self.spark.table(entry)
-        self.spark.sql(f"DROP TABLE {entry}")
-        return df
-
-    def _compacted_to(self, df: DataFrame) -> dict[str, Any]:
-        """Write the bucketed folder; the catalog entry of the write goes, the files stay."""
-        folder, entry = uuid.uuid4().hex, f"{_CATALOG}.merge_{uuid.uuid4().hex}"
-        rows = df.select(*self.schema.names).repartition(self.buckets, self.key)
-        rows.write.format("parquet").bucketBy(self.buckets, self.key).sortBy(self.key).option(
-            "path", f"{self.path}/data/{folder}"
+        location = f"{self.path}/data/{_ROWS}".replace("\\", "\\\\").replace("'", "\\'")
+        tracked = self.spark.conf.get(_TRACKED)
+        self.spark.conf.set(_TRACKED, "false")
+        try:
+            self.spark.sql(
+                f"CREATE TABLE {entry} ({columns}, {_RUN} string, {_PART} int) USING parquet PARTITIONED BY ({_RUN}, {_PART}) "
+                f"CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {state['buckets']} BUCKETS LOCATION '{location}'"
+            )
+            df = self.spark.table(entry)
+            self.spark.sql(f"DROP TABLE {entry}")
+        finally:
+            self.spark.conf.set(_TRACKED, tracked)
+        folder = F.concat(F.lit(f"{_ROWS}/{_RUN}="), _RUN, F.lit(f"/{_PART}="), F.col(_PART).cast("string"))
+        return df.filter(folder.isin(state["folders"])).select(*self.schema.names)
+
+    def _compacted_to(self, df: DataFrame, kept: Sequence[str] = ()) -> dict[str, Any]:
+        """Write a folder for each bucket ``df`` has rows of, beside those ``kept``; the catalog entry of the write goes."""
+        run, entry = f"{_ROWS}/{_RUN}={uuid.uuid4().hex}", f"{_CATALOG}.merge_{uuid.uuid4().hex}"
+        rows = df.select(*self.schema.names, self._part()).repartition(self.buckets, self.key)
+        # a root of its own: such a write empties its root first
+        rows.write.format("parquet").partitionBy(_PART).bucketBy(self.buckets, self.key).sortBy(self.key).option(
+            "path", f"{self.path}/data/{run}"
         ).saveAsTable(entry)
         self.spark.sql(f"DROP TABLE {entry}")
-        return {"folders": [folder], "buckets": self.buckets, "schema": self.schema.json()}
+        written = files.list_names(self.spark, f"{self.path}/data/{run}")
+        folders = [*kept, *(f"{run}/{name}" for name in written if name.startswith(_PART))]
+        return {"folders": folders, "buckets": self.buckets, "schema": self.schema.json()}
