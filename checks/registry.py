@@ -304,7 +304,7 @@ def _feed_loads(retail: Retail, enforce_refs: bool = False, aged: int | None = N
         landing.append_raw(load, layers, "orders")
         if number == aged:
             landed = set(landing.read_raw(spark, layers, "orders").inputFiles()) - set(before)
-            for folder in {file.rpartition("/")[0] for file in landed} | {f"{layers.raw('orders')}/marks"}:
+            for folder in {file.rpartition("/")[0] for file in landed}:
                 _age(retail, folder)
         feed.run_once()
         start = end

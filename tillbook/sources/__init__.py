@@ -5,10 +5,9 @@ from tillbook.sources.landing import (
     create_raw,
     insert_rows,
     load_csv,
-    read_loads,
     read_raw,
     read_rejects,
-    stream_loads,
+    stream_raw,
 )
 from tillbook.sources.layers import Layers
 from tillbook.sources.tables import MergeTable, VersionedTable
@@ -21,8 +20,7 @@ __all__ = [
     "create_raw",
     "insert_rows",
     "load_csv",
-    "read_loads",
     "read_raw",
     "read_rejects",
-    "stream_loads",
+    "stream_raw",
 ]

@@ -29,6 +29,11 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return [status.getPath().getName() for status in store.listStatus(path)]
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    _, store, target, _ = _hadoop(spark, path)
+    return store.exists(target) and store.getFileStatus(target).isFile()
+
+
 def read_text(spark: SparkSession, file: str) -> str:
     _, store, path, _ = _hadoop(spark, file)
     stream = store.open(path)
@@ -59,3 +64,13 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a file, or a folder with all that is in it; nothing happens if it is gone already."""
     _, store, target, _ = _hadoop(spark, path)
     store.delete(target, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Give a folder its final name; if that name is taken, what is there stays and ``source`` goes."""
+    _, store, to, _ = _hadoop(spark, target)
+    _, _, path, _ = _hadoop(spark, source)
+    if store.exists(to):
+        store.delete(path, True)
+    elif not store.rename(path, to):
+        raise OSError(f"could not move {source} to {target}")

@@ -1,14 +1,18 @@
 """CSV files into all-text raw tables.
 
 A raw table is a folder of loads, each a Parquet folder split by ``load_status``: ``ok`` rows form the table,
-``rejected`` rows are kept beside it with their source line. One pass over the files writes both. A load counts once its
-mark, a small JSON file, appears by an atomic rename; readers and the feed see marked loads only. Marks also name the
-files that a load took, so that a file is not landed twice unless asked for.
+``rejected`` rows are kept beside it with their source line. One pass over the files writes both, and a load appears in
+the table by one rename.
+
+Files are found by Spark's file stream over the folder they come from, run until nothing is new. Its checkpoint knows
+which files were read; a load is a batch of it, named by the number of the batch, so one that died is written again under
+its own name and never twice.
 """
 
 from __future__ import annotations
 
-import json
+import hashlib
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
@@ -24,9 +28,11 @@ from tillbook.sources import files
 from tillbook.sources.layers import Layers
 
 _LINE, _FILE, _STATUS, _LOAD = "_source_line", "_source_file", "load_status", "load"
-_MARK = "load string, path string, modificationTime timestamp, length bigint"
 _OK, _REJECTED = "ok", "rejected"
 
+# By default a stream passes over files a week older than the newest it has seen, such as restored ones.
+_ANY_AGE = {"maxFileAge": "36500d"}
+
 # The file dialect. A header line, commas, optional double quotes that are doubled to escape them,
 # blanks around fields dropped.
 CSV_DIALECT = {
@@ -50,48 +56,37 @@ def _stored(table: str) -> T.StructType:
     return T.StructType([*RAW[table].fields, *more])
 
 
-def _loads(layers: Layers, table: str) -> str:
-    return f"{layers.raw(table)}/loads"
-
-
-def _marks(layers: Layers, table: str) -> str:
-    return f"{layers.raw(table)}/marks"
-
-
-def _append(df: DataFrame, layers: Layers, table: str, taken: Sequence[Mapping[str, object]] = ()) -> None:
-    """Write a load, then its mark with the files it took."""
-    load = f"load-{uuid.uuid4().hex}"
-    df.write.partitionBy(_STATUS).parquet(f"{_loads(layers, table)}/{_LOAD}={load}")
-    lines = [json.dumps({_LOAD: load, **file}) for file in taken or [{}]]
-    files.publish_text(df.sparkSession, f"{_marks(layers, table)}/{load}.json", "\n".join(lines))
-
-
-def _listed(spark: SparkSession, layers: Layers, table: str, path: str | Sequence[str]) -> DataFrame:
-    """``path``, ``modificationTime`` and ``length`` of the files to load, and whether they are ``known`` from earlier."""
-    keys = ["path", "modificationTime", "length"]
-    found = spark.read.format("binaryFile").load(path).select(*keys)
-    if not files.list_names(spark, _marks(layers, table)):
-        return found.withColumn("known", F.lit(False))
-    marks = spark.read.schema(_MARK).json(_marks(layers, table))
-    known = marks.filter("path IS NOT NULL").select(*keys).distinct().withColumn("known", F.lit(True))
-    return found.join(known, keys, "left").fillna(False, ["known"])
+def _publish(df: DataFrame, layers: Layers, table: str, load: str) -> None:
+    """Write a load out of sight, then move it into the table; a load that is there already stays."""
+    arriving = f"{layers.raw(table)}/_arriving/{load}"  # readers pass over names that begin like this
+    df.write.mode("overwrite").partitionBy(_STATUS).parquet(arriving)
+    files.move(df.sparkSession, arriving, f"{layers.raw(table)}/{_LOAD}={load}")
 
 
 def read_csv(
-    spark: SparkSession, table: str, path: str | Sequence[str], on_error: str = STRICT, multi_line: bool = False
+    spark: SparkSession,
+    table: str,
+    path: str | Sequence[str],
+    on_error: str = STRICT,
+    multi_line: bool = False,
+    stream: bool = False,
 ) -> DataFrame:
     """The text columns of ``table`` from CSV files, with the file, and the line of each row that does not fit (lenient).
 
     ``strict`` fails on the first row with too few or too many fields. Column pruning is off for this read: with
     it Spark would not look at fields it does not need, and miss such rows. ``multi_line`` allows line breaks inside
-    quotes, at the price that a file can no longer be split.
+    quotes, at the price that a file can no longer be split. A ``stream`` takes one path and sees each file once.
     """
     columns = text_columns(table)
     line = T.StructField(_LINE, T.StringType())
     schema = T.StructType([*(T.StructField(name, T.StringType()) for name in columns), line])
     mode = {STRICT: "FAILFAST", LENIENT: "PERMISSIVE"}[on_error]
+    reader = spark.readStream.options(**_ANY_AGE) if stream else spark.read
+    if stream and files.is_file(spark, path):  # a stream is over a folder or a pattern: that of this name alone
+        folder, slash, name = path.rpartition("/")
+        path = folder + slash + "{" + re.sub(r"([\\{}\[\]*?,])", r"\\\1", name) + "}"
     rows = (
-        spark.read.schema(schema)
+        reader.schema(schema)
         .options(**CSV_DIALECT, mode=mode, columnNameOfCorruptRecord=_LINE, multiLine=multi_line, columnPruning=False)
         .csv(path)
     )
@@ -111,20 +106,30 @@ def load_csv(
 ) -> None:
     """Append CSV files to a raw table. ``strict`` loads all rows or none, ``lenient`` sets misfits aside.
 
-    A file landed before (same path, time and size) is passed over unless ``force`` is set. One row per file of this
-    load reaches the driver.
+    Each path (a file, a folder or a pattern) has a register of its own: files of it that were loaded before are passed
+    over unless ``force`` is set, which loads all of them and leaves the register as it is. A file that has changed
+    under its old name counts as loaded. Files of a load that failed are tried again by the next load of that path.
     """
-    named = _listed(spark, layers, table, path).collect()
-    new = [row for row in named if force or not row["known"]]
-    if not new:
-        return
     status = F.when(F.col(_LINE).isNull(), _OK).otherwise(_REJECTED)
-    rows = read_csv(spark, table, path if len(new) == len(named) else [row["path"] for row in new], on_error, multi_line)
-    taken = [
-        {"path": row["path"], "modificationTime": row["modificationTime"].astimezone().isoformat(), "length": row["length"]}
-        for row in new
-    ]
-    _append(rows.withColumns({LOADED_AT: _stamp(load_ts), _STATUS: status}), layers, table, taken)
+
+    def stamped(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({LOADED_AT: _stamp(load_ts), _STATUS: status})
+
+    if force:
+        _publish(stamped(read_csv(spark, table, path, on_error, multi_line)), layers, table, uuid.uuid4().hex)
+        return
+    for one in [path] if isinstance(path, str) else path:
+        name = hashlib.md5(files.qualified(spark, one).encode(), usedforsecurity=False).hexdigest()
+        rows = read_csv(spark, table, one, on_error, multi_line, stream=True)
+        (
+            rows.writeStream.foreachBatch(
+                lambda batch, number, name=name: _publish(stamped(batch), layers, table, f"{name}-{number}")
+            )
+            .option("checkpointLocation", f"{layers.raw(table)}/_landed/{name}")
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
 
 
 def insert_rows(
@@ -144,50 +149,36 @@ def append_raw(df: DataFrame, layers: Layers, table: str) -> None:
     """Append a DataFrame that has the raw table's columns, load stamp included."""
     nothing = F.lit(None).cast("string")
     accepted = {_LINE: nothing, _FILE: nothing, _STATUS: F.lit(_OK)}
-    _append(df.select(*RAW[table].names).withColumns(accepted), layers, table)
+    _publish(df.select(*RAW[table].names).withColumns(accepted), layers, table, uuid.uuid4().hex)
 
 
 def create_raw(spark: SparkSession, layers: Layers, table: str) -> None:
     """Create or empty a raw table; what was landed before is forgotten, too."""
-    files.remove(spark, _marks(layers, table))
-    files.remove(spark, _loads(layers, table))
+    files.remove(spark, layers.raw(table))
     append_raw(spark.createDataFrame([], RAW[table]), layers, table)
 
 
-def _marked(spark: SparkSession, layers: Layers, table: str, loads: Sequence[str], status: str) -> DataFrame:
-    """Rows of these loads; loads and status are folders, so others are not opened."""
-    stored = spark.read.schema(_stored(table)).parquet(_loads(layers, table))
-    return stored.filter((F.col(_STATUS) == status) & F.col(_LOAD).isin(list(loads)))
-
-
-def _all_loads(spark: SparkSession, layers: Layers, table: str) -> list[str]:
-    names = files.list_names(spark, _marks(layers, table))
-    return [name.removesuffix(".json") for name in names if name.startswith("load-")]
-
-
-def read_loads(spark: SparkSession, layers: Layers, table: str, loads: Sequence[str]) -> DataFrame:
-    """The accepted rows of some loads."""
-    return _marked(spark, layers, table, loads, _OK).select(*RAW[table].names)
+def _stored(spark: SparkSession, layers: Layers, table: str, status: str, stream: bool = False) -> DataFrame:
+    """Rows of one status, which is a folder, so others are not opened."""
+    more = [T.StructField(name, T.StringType()) for name in (_LINE, _FILE, _LOAD, _STATUS)]
+    reader = spark.readStream.options(**_ANY_AGE) if stream else spark.read
+    rows = reader.schema(T.StructType([*RAW[table].fields, *more])).parquet(layers.raw(table))
+    return rows.filter(F.col(_STATUS) == status)
 
 
 def read_raw(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
     """The accepted rows of all loads so far; rejected ones are not opened."""
-    return read_loads(spark, layers, table, _all_loads(spark, layers, table))
+    return _stored(spark, layers, table, _OK).select(*RAW[table].names)
 
 
 def read_rejects(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
     """The rows a lenient load set aside, with the line and the file they came from."""
-    return _marked(spark, layers, table, _all_loads(spark, layers, table), _REJECTED).drop(_STATUS, _LOAD)
-
+    return _stored(spark, layers, table, _REJECTED).drop(_STATUS, _LOAD)
 
-def stream_loads(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
-    """Column ``load`` of the marks as a stream, a row or more per load, for ``read_loads``.
 
-    Each run of a query sees the loads marked since the last one, and lists the marks alone.
-    """
-    # by default a stream passes over files a week older than the newest it has seen, such as restored ones
-    marks = spark.readStream.schema(_MARK).option("maxFileAge", "36500d").json(_marks(layers, table))
-    return marks.select(_LOAD)
+def stream_raw(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
+    """The accepted rows as a stream: each run of a query sees those of the loads since its last one."""
+    return _stored(spark, layers, table, _OK, stream=True).select(*RAW[table].names)
 
 
 def audit(spark: SparkSession, layers: Layers) -> DataFrame:

@@ -1,8 +1,8 @@
 """New raw orders into the staged orders, by Structured Streaming.
 
-The checkpoint remembers which loads were read, by their marks; a run without new ones calls no batch. Each batch is cleaned
-by the same code as a batch build and merged into the staged table, which skips a batch it has committed before. So
-a run that dies anywhere can simply be started again.
+The checkpoint remembers which files of the raw table were read; a run without new ones calls no batch. Each batch is
+cleaned by the same code as a batch build and merged into the staged table, which skips a batch it has committed before.
+So a run that dies anywhere can simply be started again.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tillbook.plans import staging
-from tillbook.sources import Layers, read_loads, stream_loads
+from tillbook.sources import Layers, stream_raw
 
 
 @dataclass(frozen=True)
@@ -48,7 +48,7 @@ class OrderFeed:
 
     def _start(self, **trigger: object) -> StreamingQuery:
         return (
-            stream_loads(self.spark, self.layers, "orders")
+            stream_raw(self.spark, self.layers, "orders")
             .writeStream.foreachBatch(self._merge)
             .option("checkpointLocation", self.layers.checkpoint(self.name))
             .queryName(self.name)
@@ -58,8 +58,7 @@ class OrderFeed:
 
     def _merge(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        loads = sorted({row["load"] for row in batch.distinct().collect()})  # one name per load since the last run
-        orders = staging.clean_orders(read_loads(spark, self.layers, "orders", loads))
+        orders = staging.clean_orders(batch)
         staged = self.layers.staged_orders(spark)
         # by the table's state, as set_up may have emptied it; a batch that died before its commit decides the same
         if self.enforce_refs or staged.state()["last_batch"] < 0:
