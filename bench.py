@@ -119,7 +119,7 @@ class Chain:
         by_quantity = [("quantity", DESC), ("order_id", ASC)]
         self.timed("global_row_number", lambda: global_position(staged, by_quantity, "n"))
         self.timed("global_ntile", lambda: global_ntile(staged, 7, by_quantity, "tile"))
-        self.timed("global_rank", lambda: global_rank(staged, ("quantity", DESC), "place", ["order_id"]))
+        self.timed("global_rank", lambda: global_rank(staged, ("quantity", DESC), "place"))
         return self.seconds
 
 

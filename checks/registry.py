@@ -531,6 +531,4 @@ def global_ntile(retail: Retail) -> DataFrame:
 def global_rank(retail: Retail) -> DataFrame:
     """Fifty quantities on all line items, so nearly every row is a tie."""
     lines = retail.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    return ops.global_rank(
-        lines, ("l_quantity", fn.DESC), "quantity_rank", ties=["l_orderkey", "l_linenumber", "l_partkey"]
-    )
+    return ops.global_rank(lines, ("l_quantity", fn.DESC), "quantity_rank")

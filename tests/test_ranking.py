@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import sample
 from tillbook.functions import ASC, DESC, ascending, descending, directed
+from tillbook.operators import ranking
 from tillbook.operators import global_ntile, global_ntiles, global_position, global_rank, moving_average, share_of_total
 
 
@@ -65,19 +66,78 @@ def test_ntiles_by_bounds(spark, scores, tiles):
     assert global_ntiles(some.filter("id < 0"), 3, orders).collect() == []
 
 
+@pytest.mark.parametrize("few, sampled", [(50, 40), (600, 300), (5_000, 100)])
+def test_tile_bounds_are_found_without_a_sort(spark, scores, monkeypatch, few, sampled):
+    monkeypatch.setattr(ranking, "_FEW_KEYS", few)
+    monkeypatch.setattr(ranking, "_SAMPLE_KEYS", sampled)
+    monkeypatch.setattr(ranking, "_sorted", None)
+    names = scores.withColumn("text", F.concat(F.lit("n"), F.col("value").cast("string")))
+    names = names.withColumn("real", F.when(F.col("id") % 5 == 0, float("nan")).otherwise(F.col("value") / 3))
+    orders = {"a": [("text", DESC), ("id", ASC)], "b": [("real", DESC), ("id", DESC)], "c": [("id", ASC)]}
+    got = global_ntiles(names, 5, orders)
+    expected = names
+    for out, order in orders.items():
+        expected = expected.withColumn(out, F.ntile(5).over(Window.orderBy(*(directed(*key) for key in order))))
+    assert sample.bag(got.drop("real")) == sample.bag(expected.drop("real"))
+
+
+def test_keys_that_reach_the_driver_stay_few(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "_FEW_KEYS", 500)
+    monkeypatch.setattr(ranking, "_SAMPLE_KEYS", 400)
+    seen, take = [], ranking._in_order
+    monkeypatch.setattr(ranking, "_in_order", lambda keys, order: seen.append(len(keys)) or take(keys, order))
+    rows = spark.range(200_000).withColumn("value", F.when(F.col("id") % 3 == 0, 7).otherwise(F.hash("id")))
+    got = global_ntiles(rows, 3, {"tile": [("value", ASC), ("id", ASC)]})
+    assert [row["count"] for row in got.groupBy("tile").count().orderBy("tile").collect()] == [66_667, 66_667, 66_666]
+    assert max(seen) <= 700
+
+
+def test_equal_keys_are_refused_if_many(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "_FEW_KEYS", 50)
+    monkeypatch.setattr(ranking, "_SAMPLE_KEYS", 40)
+    with pytest.raises(ValueError, match="apart"):
+        ranking._rows_at(spark.range(300).select(F.lit(1).alias("one")), 300, [([("one", ASC)], 100)])
+
+
 @pytest.mark.parametrize("direction", [DESC, ASC])
-@pytest.mark.parametrize("block_rows", [10, 1000, 100_000])
-def test_rank(scores, direction, block_rows):
-    got = global_rank(scores, ("value", direction), "place", ties=["id"], block_rows=block_rows)
+def test_rank(scores, direction):
+    got = global_rank(scores, ("value", direction), "place")
     expected = scores.withColumn("place", F.rank().over(Window.orderBy(directed("value", direction))))
     assert sample.bag(got) == sample.bag(expected)
     assert "SinglePartition" not in plan(got)
 
 
-def test_rank_without_ties_columns_and_without_rows(spark, scores):
-    expected = scores.withColumn("place", F.rank().over(Window.orderBy(descending("value"))))
-    assert sample.bag(global_rank(scores, ("value", DESC), "place")) == sample.bag(expected)
+def test_rank_sorts_values_and_not_rows(spark, scores, monkeypatch):
+    seen, keep = [], ranking.checkpointed
+    monkeypatch.setattr(ranking, "checkpointed", lambda df: seen.append((df.columns, df.count())) or keep(df))
+    assert global_rank(scores, ("value", DESC), "place").count() == 10_007
+    assert seen == [(["_value", "_rows"], scores.select("value").distinct().count())]
+
+
+def test_rank_of_no_rows_and_of_one_value(spark, scores):
     assert global_rank(scores.filter("id < 0"), ("value", DESC), "place").collect() == []
+    one = global_rank(spark.range(50_000).withColumn("value", F.lit(1)), ("value", ASC), "place")
+    assert [tuple(row) for row in one.groupBy("place").count().collect()] == [(1, 50_000)]
+
+
+def test_rank_splits_a_value_held_by_most_rows(spark):
+    names = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        rows = spark.range(0, 60_000, 1, 6).withColumn("value", F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id") % 400))
+        ranked = global_rank(rows, ("value", DESC), "place")
+        ranked.collect()
+        assert "skew=true" in plan(ranked)
+    finally:
+        for name in names:
+            spark.conf.unset(name)
 
 
 def test_sort_splits_a_value_held_by_most_rows(spark):

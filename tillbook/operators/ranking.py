@@ -1,30 +1,43 @@
 """Row numbers, n-tiles and ranks over a whole table, without a one-task window.
 
-A global sort leaves partition ``i`` wholly in front of partition ``i + 1``. Once that result is checkpointed, a row's
-place is the number of rows in the partitions before it plus its index inside its own partition. Only the partition
-sizes pass through the driver. The functions run that sort when they are called.
+Row numbers: a global sort leaves partition ``i`` wholly in front of partition ``i + 1``. Once that result is checkpointed, a
+row's place is the number of rows in the partitions before it plus its index inside its own partition. Only the partition
+sizes pass through the driver.
+
+N-tiles need the first row of each tile only. Samples of keys narrow down where it can be, exact counts say on which side
+it is, and the few rows left in between are looked at one by one; nothing is sorted.
+
+Ranks need the order of values, not of rows: rows are counted per value, counts are summed up in value order, and rows are
+joined to the rank of their value.
+
+The functions run the passes they need when they are called.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from itertools import accumulate
+from math import isqrt
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillbook.functions import ASC, SortKey, directed
 from tillbook.session import checkpointed
 
-_PART, _START, _INDEX, _POSITION, _BLOCK = "_part", "_start", "_index", "_position", "_block"
+_PART, _START, _INDEX, _POSITION = "_part", "_start", "_index", "_position"
 
 # monotonically_increasing_id() keeps the index of a row inside its partition in the low 33 bits.
 _INDEX_BITS = (1 << 33) - 1
 
-# Rows of one value that may meet in one join group of global_rank().
-_BLOCK_ROWS = 100_000
+# Keys that may be looked at one by one on the driver for each row sought, and keys of a sample.
+_FEW_KEYS, _SAMPLE_KEYS = 20_000, 4_000
+
+# With more tiles than this, one sort is cheaper than a bound per tile.
+_MOST_BOUNDS = 64
 
 # A long holds every decimal of this many digits; a double tells any two decimals of _DOUBLE_DIGITS digits apart.
 _LONG_DIGITS, _DOUBLE_DIGITS = 18, 15
@@ -70,8 +83,10 @@ def global_position(df: DataFrame, order: Sequence[SortKey], out: str) -> DataFr
 def global_ntile(df: DataFrame, tiles: int, order: Sequence[SortKey], out: str) -> DataFrame:
     """Number of the tile, 1 to ``tiles``, when the rows in ``order`` are cut into tiles of equal size.
 
-    As in SQL, sizes differ by one at most and the larger tiles come first.
+    As in SQL, sizes differ by one at most and the larger tiles come first. ``order`` ends in a unique column.
     """
+    if tiles <= _MOST_BOUNDS:
+        return global_ntiles(df, tiles, {out: order})
     placed, rows = _placed(df, order, _POSITION)
     size, larger = divmod(rows, tiles)
     in_larger = larger * (size + 1)
@@ -94,38 +109,115 @@ def _reached(df: DataFrame, order: Sequence[SortKey], first: Row) -> Column:
     return reached
 
 
+def _in_order(keys: Sequence[Row], order: Sequence[SortKey]) -> list[Row]:
+    """Keys sorted as Spark sorts them here: NULL above NaN above all other values."""
+
+    def placed(value: object) -> tuple:
+        return (2,) if value is None else (1,) if value != value else (0, value)
+
+    for name, direction in reversed(order):
+        keys = sorted(keys, key=lambda row, name=name: placed(row[name]), reverse=direction != ASC)
+    return list(keys)
+
+
+@dataclass
+class _Sought:
+    """The row at ``position`` in ``order``: at ``low`` or behind it and before ``high``, the one of the ``inside`` rows
+    there that has ``position - before`` of them before it."""
+
+    order: Sequence[SortKey]
+    position: int
+    inside: int
+    before: int = 0
+    low: Row | None = None
+    high: Row | None = None
+
+    def holds(self, df: DataFrame) -> Column:
+        low = F.lit(True) if self.low is None else _reached(df, self.order, self.low)
+        return low if self.high is None else low & ~_reached(df, self.order, self.high)
+
+
+def _narrowed(rows: DataFrame, sought: Sequence[_Sought], seed: int) -> None:
+    """Two passes: a sample of the keys in each range, then exact counts around where the row should be in it."""
+    names = sorted({name for row in sought for name, _ in row.order})
+    bits = F.pmod(F.xxhash64(F.lit(seed), *names), F.lit(1 << 30))
+    drawn = [row.holds(rows) & (bits < int(_SAMPLE_KEYS / row.inside * (1 << 30))) for row in sought]
+    sample = rows.select(*names, F.array(*drawn).alias("_drawn")).filter(F.exists("_drawn", lambda x: x)).collect()
+    cuts: list[tuple[_Sought, Row]] = []
+    for number, row in enumerate(sought):
+        keys = _in_order([key for key in sample if key["_drawn"][number]], row.order)
+        at, margin = (row.position - row.before) * len(keys) // row.inside, 2 * isqrt(len(keys)) + 1
+        cuts += [(row, keys[place]) for place in (at - margin, at + margin) if 0 <= place < len(keys)]
+    if not cuts:
+        return
+    counts = rows.agg(*(F.count_if(row.holds(rows) & ~_reached(rows, row.order, key)) for row, key in cuts)).first()
+    found = [(row, key, row.before + count) for (row, key), count in zip(cuts, counts, strict=True)]
+    for row in sought:
+        ends = [(row.before, row.low), (row.before + row.inside, row.high)]
+        own = [(before, key) for of, key, before in found if of is row]
+        row.before, row.low = max((end for end in [ends[0], *own] if end[0] <= row.position), key=lambda end: end[0])
+        last, row.high = min((end for end in [ends[1], *own] if end[0] > row.position), key=lambda end: end[0])
+        row.inside = last - row.before
+
+
+def _rows_at(rows: DataFrame, count: int, sought: Sequence[tuple[Sequence[SortKey], int]]) -> list[Row]:
+    """The keys of the rows at these places (from 0) in these orders, each of which tells all rows apart.
+
+    A pass leaves about a fifteenth of a range, whatever its size; ranges of ``_FEW_KEYS`` or fewer are collected.
+    """
+    goals = [_Sought(order, position, count) for order, position in sought]
+    seed, patience = 0, 40
+    while wide := [goal for goal in goals if goal.inside > _FEW_KEYS]:
+        if seed > patience:
+            raise ValueError("an order must end in columns that tell all rows apart")
+        _narrowed(rows, wide, seed)
+        seed += 1
+    names = sorted({name for goal in goals for name, _ in goal.order})
+    held = F.array(*(goal.holds(rows) for goal in goals)).alias("_held")
+    keys = rows.select(*names, held).filter(F.exists("_held", lambda x: x)).collect()
+    out = []
+    for number, goal in enumerate(goals):
+        own = _in_order([key for key in keys if key["_held"][number]], goal.order)
+        out.append(own[goal.position - goal.before])
+    return out
+
+
 def global_ntiles(df: DataFrame, tiles: int, orders: Mapping[str, Sequence[SortKey]]) -> DataFrame:
     """``global_ntile`` by several orders, named by their output columns; each must end in unique columns.
 
-    The rows are computed once and stay where they are. Per order its own columns alone are sorted, and the first rows
-    of the tiles, one less than ``tiles``, pass through the driver to become the bounds that all rows are held against.
+    The rows are computed once and stay where they are; all tiles of all orders share the passes over them. What
+    reaches the driver are samples, counts and a bounded number of keys for each first row of a tile, and these rows
+    become the bounds that all rows are held against.
     """
-    rows, scores = checkpointed(df), {}
+    rows = checkpointed(df)
+    count = rows.count()
+    size, larger = divmod(count, tiles)
+    starts = [start for tile in range(1, tiles) if (start := tile * size + min(tile, larger)) < count]
+    sought = [(out, order, start) for out, order in orders.items() for start in sorted(set(starts))]
+    firsts = _rows_at(rows, count, [(order, start) for _, order, start in sought]) if sought else []
+    scores = {}
     for out, order in orders.items():
-        placed, count = _placed(rows.select(*(name for name, _ in order)), order, _POSITION)
-        size, larger = divmod(count, tiles)
-        starts = [tile * size + min(tile, larger) for tile in range(1, tiles)]
-        firsts = placed.filter(F.col(_POSITION).isin(starts)).collect()
-        scores[out] = reduce(Column.__add__, (_reached(df, order, first).cast("int") for first in firsts), F.lit(1).cast("bigint"))
+        own = [first for (of, _, _), first in zip(sought, firsts, strict=True) if of == out]
+        scores[out] = reduce(Column.__add__, (_reached(rows, order, first).cast("int") for first in own), F.lit(1).cast("bigint"))
     return rows.withColumns(scores)
 
 
-def global_rank(
-    df: DataFrame, value: SortKey, out: str, ties: Sequence[str] = (), block_rows: int = _BLOCK_ROWS
-) -> DataFrame:
+def global_rank(df: DataFrame, value: SortKey, out: str) -> DataFrame:
     """Rank by ``value``: equal values share a rank, and as many ranks are left out behind them.
 
-    A value's rank is the place of its first row. That table, one row per value, is joined back on the value and on
-    the block of ``block_rows`` places a row stands in, so even one value on most rows is spread over many tasks.
-    ``ties`` are columns that order equal values, so that the sort can split those too.
+    Rows are counted per value, and only that table, a value and a count a row, is sorted and checkpointed: sums of its
+    partitions pass through the driver, running sums follow inside each. Rows meet the rank of their value in a join,
+    in which adaptive execution splits a value on most rows.
     """
-    placed, _ = _placed(df, [value, *((name, ASC) for name in ties)], _POSITION)
-    column = F.col(value[0])
-    rows = placed.withColumn(_BLOCK, F.expr(f"{_POSITION} div {block_rows}"))
-    first_of_value = (
-        rows.groupBy(column.alias("_value"))
-        .agg(F.min(_POSITION).alias("_first"), F.min(_BLOCK).alias("_from"), F.max(_BLOCK).alias("_to"))
-        .select("_value", (F.col("_first") + 1).alias(out), F.explode(F.sequence("_from", "_to")).alias("_in_block"))
+    name, _ = value
+    counts = df.groupBy(F.col(name).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
+    ordered = checkpointed(_sorted(counts, [("_value", value[1])])).withColumn(_PART, F.spark_partition_id())
+    sums = {row[_PART]: row["_rows"] for row in ordered.groupBy(_PART).agg(F.sum("_rows").alias("_rows")).collect()}
+    ends = list(accumulate(sums.get(part, 0) for part in range(max(sums, default=0) + 1)))
+    starts = df.sparkSession.createDataFrame(list(enumerate([0, *ends[:-1]])), f"{_PART} int, {_START} bigint")
+    ahead = Window.partitionBy(_PART).orderBy(directed("_value", value[1])).rowsBetween(Window.unboundedPreceding, -1)
+    # starts: two numbers per partition
+    ranks = ordered.join(F.broadcast(starts), _PART).select(
+        "_value", (F.col(_START) + F.coalesce(F.sum("_rows").over(ahead), F.lit(0)) + 1).alias(out)
     )
-    same = (F.col(_BLOCK) == F.col("_in_block")) & column.eqNullSafe(F.col("_value"))
-    return rows.join(first_of_value, same).select(*df.columns, out)
+    return df.join(ranks, F.col(name).eqNullSafe(F.col("_value"))).select(*df.columns, out)

@@ -77,7 +77,7 @@ def customer_lifetime_value(fact: DataFrame, customers: DataFrame, orders_unique
     spending = _sales_by_customer(fact, customers, orders_unique, "full_name", "city").withColumnRenamed(
         "revenue", "lifetime_value"
     )
-    ranked = global_rank(spending, ("lifetime_value", DESC), "spend_rank", ties=["full_name", "city"])
+    ranked = global_rank(spending, ("lifetime_value", DESC), "spend_rank")
     return ranked.orderBy(descending("lifetime_value"), ascending("full_name"), ascending("city"))
 
 
