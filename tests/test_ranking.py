@@ -100,7 +100,9 @@ def test_equal_keys_are_refused_if_many(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("direction", [DESC, ASC])
-def test_rank(scores, direction):
+@pytest.mark.parametrize("few", [10, 50_000])
+def test_rank(scores, direction, few, monkeypatch):
+    monkeypatch.setattr(ranking, "_FEW_KEYS", few)
     got = global_rank(scores, ("value", direction), "place")
     expected = scores.withColumn("place", F.rank().over(Window.orderBy(directed("value", direction))))
     assert sample.bag(got) == sample.bag(expected)
@@ -109,6 +111,7 @@ def test_rank(scores, direction):
 
 def test_rank_sorts_values_and_not_rows(spark, scores, monkeypatch):
     seen, keep = [], ranking.checkpointed
+    monkeypatch.setattr(ranking, "_FEW_KEYS", 10)
     monkeypatch.setattr(ranking, "checkpointed", lambda df: seen.append((df.columns, df.count())) or keep(df))
     assert global_rank(scores, ("value", DESC), "place").count() == 10_007
     assert seen == [(["_value", "_rows"], scores.select("value").distinct().count())]

@@ -4,8 +4,9 @@ Row numbers: a global sort leaves partition ``i`` wholly in front of partition `
 row's place is the number of rows in the partitions before it plus its index inside its own partition. Only the partition
 sizes pass through the driver.
 
-N-tiles need the first row of each tile only. Samples of keys narrow down where it can be, exact counts say on which side
-it is, and the few rows left in between are looked at one by one; nothing is sorted.
+N-tiles by one order take the places of one such sort. By several orders a sort for each is spared: the first row of each
+tile is all that is needed. Samples of keys narrow down where it can be, exact counts say on which side
+it is, and the few rows left in between are looked at one by one.
 
 Ranks need the order of values, not of rows: rows are counted per value, counts are summed up in value order, and rows are
 joined to the rank of their value.
@@ -33,11 +34,8 @@ _PART, _START, _INDEX, _POSITION = "_part", "_start", "_index", "_position"
 # monotonically_increasing_id() keeps the index of a row inside its partition in the low 33 bits.
 _INDEX_BITS = (1 << 33) - 1
 
-# Keys that may be looked at one by one on the driver for each row sought, and keys of a sample.
-_FEW_KEYS, _SAMPLE_KEYS = 20_000, 4_000
-
-# With more tiles than this, one sort is cheaper than a bound per tile.
-_MOST_BOUNDS = 64
+# Keys that may be looked at one by one on the driver, and keys of a sample.
+_FEW_KEYS, _SAMPLE_KEYS = 50_000, 4_000
 
 # A long holds every decimal of this many digits; a double tells any two decimals of _DOUBLE_DIGITS digits apart.
 _LONG_DIGITS, _DOUBLE_DIGITS = 18, 15
@@ -83,10 +81,8 @@ def global_position(df: DataFrame, order: Sequence[SortKey], out: str) -> DataFr
 def global_ntile(df: DataFrame, tiles: int, order: Sequence[SortKey], out: str) -> DataFrame:
     """Number of the tile, 1 to ``tiles``, when the rows in ``order`` are cut into tiles of equal size.
 
-    As in SQL, sizes differ by one at most and the larger tiles come first. ``order`` ends in a unique column.
+    As in SQL, sizes differ by one at most and the larger tiles come first.
     """
-    if tiles <= _MOST_BOUNDS:
-        return global_ntiles(df, tiles, {out: order})
     placed, rows = _placed(df, order, _POSITION)
     size, larger = divmod(rows, tiles)
     in_larger = larger * (size + 1)
@@ -137,15 +133,21 @@ class _Sought:
         return low if self.high is None else low & ~_reached(df, self.order, self.high)
 
 
+def _marked(rows: DataFrame, names: Sequence[str], marks: Sequence[Column]) -> list[Row]:
+    """The keys with any of the marks, and which, in columns ``_0``, ``_1`` and so on."""
+    columns = [mark.alias(f"_{number}") for number, mark in enumerate(marks)]
+    return rows.filter(reduce(Column.__or__, marks)).select(*names, *columns).collect()
+
+
 def _narrowed(rows: DataFrame, sought: Sequence[_Sought], seed: int) -> None:
     """Two passes: a sample of the keys in each range, then exact counts around where the row should be in it."""
     names = sorted({name for row in sought for name, _ in row.order})
     bits = F.pmod(F.xxhash64(F.lit(seed), *names), F.lit(1 << 30))
     drawn = [row.holds(rows) & (bits < int(_SAMPLE_KEYS / row.inside * (1 << 30))) for row in sought]
-    sample = rows.select(*names, F.array(*drawn).alias("_drawn")).filter(F.exists("_drawn", lambda x: x)).collect()
+    sample = _marked(rows, names, drawn)
     cuts: list[tuple[_Sought, Row]] = []
     for number, row in enumerate(sought):
-        keys = _in_order([key for key in sample if key["_drawn"][number]], row.order)
+        keys = _in_order([key for key in sample if key[f"_{number}"]], row.order)
         at, margin = (row.position - row.before) * len(keys) // row.inside, 2 * isqrt(len(keys)) + 1
         cuts += [(row, keys[place]) for place in (at - margin, at + margin) if 0 <= place < len(keys)]
     if not cuts:
@@ -163,21 +165,20 @@ def _narrowed(rows: DataFrame, sought: Sequence[_Sought], seed: int) -> None:
 def _rows_at(rows: DataFrame, count: int, sought: Sequence[tuple[Sequence[SortKey], int]]) -> list[Row]:
     """The keys of the rows at these places (from 0) in these orders, each of which tells all rows apart.
 
-    A pass leaves about a fifteenth of a range, whatever its size; ranges of ``_FEW_KEYS`` or fewer are collected.
+    A pass leaves about a fifteenth of a range, whatever its size; ranges of ``_FEW_KEYS`` in all are collected.
     """
     goals = [_Sought(order, position, count) for order, position in sought]
-    seed, patience = 0, 40
-    while wide := [goal for goal in goals if goal.inside > _FEW_KEYS]:
+    seed, patience, few = 0, 20, max(64, _FEW_KEYS // len(goals))
+    while wide := [goal for goal in goals if goal.inside > few]:
         if seed > patience:
             raise ValueError("an order must end in columns that tell all rows apart")
         _narrowed(rows, wide, seed)
         seed += 1
     names = sorted({name for goal in goals for name, _ in goal.order})
-    held = F.array(*(goal.holds(rows) for goal in goals)).alias("_held")
-    keys = rows.select(*names, held).filter(F.exists("_held", lambda x: x)).collect()
+    keys = _marked(rows, names, [goal.holds(rows) for goal in goals])
     out = []
     for number, goal in enumerate(goals):
-        own = _in_order([key for key in keys if key["_held"][number]], goal.order)
+        own = _in_order([key for key in keys if key[f"_{number}"]], goal.order)
         out.append(own[goal.position - goal.before])
     return out
 
@@ -190,11 +191,17 @@ def global_ntiles(df: DataFrame, tiles: int, orders: Mapping[str, Sequence[SortK
     become the bounds that all rows are held against.
     """
     rows = checkpointed(df)
-    count = rows.count()
+    names = sorted({name for order in orders.values() for name, _ in order})
+    keys = rows.select(*names).limit(_FEW_KEYS + 1).collect()
+    count = len(keys) if len(keys) <= _FEW_KEYS else rows.count()
     size, larger = divmod(count, tiles)
     starts = [start for tile in range(1, tiles) if (start := tile * size + min(tile, larger)) < count]
     sought = [(out, order, start) for out, order in orders.items() for start in sorted(set(starts))]
-    firsts = _rows_at(rows, count, [(order, start) for _, order, start in sought]) if sought else []
+    if count <= _FEW_KEYS:
+        placed = {out: _in_order(keys, order) for out, order in orders.items()}
+        firsts = [placed[out][start] for out, _, start in sought]
+    else:
+        firsts = _rows_at(rows, count, [(order, start) for _, order, start in sought]) if sought else []
     scores = {}
     for out, order in orders.items():
         own = [first for (of, _, _), first in zip(sought, firsts, strict=True) if of == out]
@@ -202,22 +209,34 @@ def global_ntiles(df: DataFrame, tiles: int, orders: Mapping[str, Sequence[SortK
     return rows.withColumns(scores)
 
 
-def global_rank(df: DataFrame, value: SortKey, out: str) -> DataFrame:
-    """Rank by ``value``: equal values share a rank, and as many ranks are left out behind them.
-
-    Rows are counted per value, and only that table, a value and a count a row, is sorted and checkpointed: sums of its
-    partitions pass through the driver, running sums follow inside each. Rows meet the rank of their value in a join,
-    in which adaptive execution splits a value on most rows.
-    """
-    name, _ = value
-    counts = df.groupBy(F.col(name).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
-    ordered = checkpointed(_sorted(counts, [("_value", value[1])])).withColumn(_PART, F.spark_partition_id())
+def _running(counts: DataFrame, direction: str, out: str) -> DataFrame:
+    """``_value`` with the number of ``_rows`` before it, from 1."""
+    ordered = checkpointed(_sorted(counts, [("_value", direction)])).withColumn(_PART, F.spark_partition_id())
     sums = {row[_PART]: row["_rows"] for row in ordered.groupBy(_PART).agg(F.sum("_rows").alias("_rows")).collect()}
     ends = list(accumulate(sums.get(part, 0) for part in range(max(sums, default=0) + 1)))
-    starts = df.sparkSession.createDataFrame(list(enumerate([0, *ends[:-1]])), f"{_PART} int, {_START} bigint")
-    ahead = Window.partitionBy(_PART).orderBy(directed("_value", value[1])).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.sparkSession.createDataFrame(list(enumerate([0, *ends[:-1]])), f"{_PART} int, {_START} bigint")
+    ahead = Window.partitionBy(_PART).orderBy(directed("_value", direction)).rowsBetween(Window.unboundedPreceding, -1)
     # starts: two numbers per partition
-    ranks = ordered.join(F.broadcast(starts), _PART).select(
+    return ordered.join(F.broadcast(starts), _PART).select(
         "_value", (F.col(_START) + F.coalesce(F.sum("_rows").over(ahead), F.lit(0)) + 1).alias(out)
     )
+
+
+def global_rank(df: DataFrame, value: SortKey, out: str) -> DataFrame:
+    """Rank by ``value``: equal values share a rank, and as many ranks are left out behind them.
+
+    Rows are counted per value. A table of many values, a value and a count a row, is sorted and checkpointed: sums of its
+    partitions pass through the driver, running sums follow inside each. Few values are summed up on the driver. Rows meet
+    the rank of their value in a join, in which adaptive execution splits a value on most rows.
+    """
+    name, direction = value
+    counts = df.groupBy(F.col(name).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
+    few = counts.limit(_FEW_KEYS + 1).collect()
+    if len(few) <= _FEW_KEYS:
+        few = _in_order(few, [("_value", direction)])
+        places = accumulate((row["_rows"] for row in few), initial=1)
+        kind = T.StructType([T.StructField("_value", df.schema[name].dataType), T.StructField(out, T.LongType())])
+        ranks = df.sparkSession.createDataFrame([(row["_value"], place) for row, place in zip(few, places, strict=False)], kind)
+    else:
+        ranks = _running(counts, direction, out)
     return df.join(ranks, F.col(name).eqNullSafe(F.col("_value"))).select(*df.columns, out)
