@@ -11,19 +11,31 @@ from tillbook.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Bytes of texts that meet in a batch for a Python worker. By default it is sixteen times as much, and lists, joins and
+#: copies of a batch make several times that in each worker of an executor.
+BATCH_BYTES = "4m"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Set for the session and left so, as a stage runs when its result is written."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, with what is known of their sites, does not reject."""
+    _small_batches(spark)
     return quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    _small_batches(spark)
     return simhash.one_of_each(docs)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document holds."""
+    _small_batches(spark)
     return passages.without_repeats(docs)
 
 
@@ -34,6 +46,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with the sequence and the offset each goes to."""
+    _small_batches(spark)
     return packing.best_fit(docs)
 
 
