@@ -287,10 +287,12 @@ def _age(retail: Retail, folder: str) -> None:
         store.setTimes(status.getPath(), status.getModificationTime() - 30 * 86_400_000, -1)
 
 
-def _feed_loads(retail: Retail, enforce_refs: bool = False, aged: int | None = None) -> Layers:
+def _feed_loads(
+    retail: Retail, enforce_refs: bool = False, aged: int | None = None, scheduled: bool = False
+) -> Layers:
     """Raw orders through the feed, load by load; only the first load is checked for references by default.
 
-    The files of load ``aged`` look old.
+    The files of load ``aged`` look old. A ``scheduled`` feed is suspended while a load lands and resumed after it.
     """
     spark, layers = retail.spark, retail.layers("feed")
     landing.append_raw(retail.raw["customers"], layers, "customers")
@@ -306,7 +308,12 @@ def _feed_loads(retail: Retail, enforce_refs: bool = False, aged: int | None = N
             landed = set(landing.read_raw(spark, layers, "orders").inputFiles()) - set(before)
             for folder in {file.rpartition("/")[0] for file in landed}:
                 _age(retail, folder)
-        feed.run_once()
+        if scheduled:
+            running = feed.resume("1 second")
+            running.processAllAvailable()
+            running.stop()
+        else:
+            feed.run_once()
         start = end
     return layers
 
@@ -331,6 +338,12 @@ def feed_old_files(retail: Retail) -> DataFrame:
     return _feed_loads(retail, aged=2).staged_orders(retail.spark).read()
 
 
+@query
+def suspended_feed(retail: Retail) -> DataFrame:
+    """Staged orders of a feed on a schedule that was suspended whenever a load landed."""
+    return _feed_loads(retail, scheduled=True).staged_orders(retail.spark).read()
+
+
 @query
 def reseeded_feed(retail: Retail) -> DataFrame:
     """Layers set up a second time and seeded again by the feed: references are checked again."""
