@@ -175,6 +175,8 @@ def _latest_line(condition: str) -> str:
 _NUMBER = """CASE WHEN l_returnflag = 'A' THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) || 'x'
                   ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END"""
 
+_COUNTED_AGAIN = "(SELECT * FROM fct_sales UNION ALL SELECT * FROM fct_sales WHERE customer_id % 2 = 0)"
+
 ORACLE: dict[str, str] = {
     "load_audit": _raw(
         """SELECT 'customers' AS tbl, count(*) AS rows FROM raw_customers
@@ -201,6 +203,20 @@ ORACLE: dict[str, str] = {
         """SELECT customer_id, city, TIMESTAMP '2002-01-01' AS _loaded_at
         FROM raw_customers, (VALUES (1), (2)) AS loads(load)"""
     ),
+    "same_stamp_copies": _raw(
+        """SELECT CAST(order_id AS BIGINT) AS order_id, CAST(customer_id AS BIGINT) AS customer_id,
+               CAST(product_id AS BIGINT) AS product_id,
+               CAST(coalesce(TRY_CAST(quantity AS DECIMAL(38,0)), 1) AS BIGINT) AS quantity,
+               TRY_CAST(order_ts AS TIMESTAMP) AS order_ts, upper(trim(status, ' ')) AS status
+        FROM (
+            SELECT *, row_number() OVER (
+                PARTITION BY order_id
+                ORDER BY customer_id NULLS LAST, product_id NULLS LAST, quantity NULLS LAST, order_ts NULLS LAST,
+                         status NULLS LAST
+            ) AS rn
+            FROM raw_orders WHERE order_id IS NOT NULL
+        ) WHERE rn = 1"""
+    ),
     "null_tokens": """
         SELECT o_orderkey, CASE WHEN o_orderstatus NOT IN ('P', 'F') THEN o_orderpriority END AS priority
         FROM orders""",
@@ -289,6 +305,17 @@ ORACLE: dict[str, str] = {
         """SELECT CAST(order_date AS TIMESTAMP) AS order_date, orders, CAST(revenue AS DOUBLE) AS revenue
         FROM v_daily_revenue"""
     ),
+    "daily_revenue_stored": _mart(
+        f"""SELECT CAST(order_date AS TIMESTAMP) AS order_date, count(DISTINCT order_id) AS orders,
+               CAST(sum(line_revenue) AS DOUBLE) AS revenue
+        FROM {_COUNTED_AGAIN} GROUP BY order_date"""
+    ),
+    "kpis_stored": _mart(
+        f"""SELECT count(DISTINCT order_id) AS total_orders,
+               CAST(sum(line_revenue) AS DOUBLE) AS total_revenue,
+               {_half_up(f"sum({_cents('line_revenue')})", "count(line_revenue)")} / 100 AS avg_line_value
+        FROM {_COUNTED_AGAIN}"""
+    ),
     "category_revenue": _mart(
         """SELECT category, CAST(revenue AS DOUBLE) AS revenue, CAST(units_sold AS BIGINT) AS units_sold
         FROM v_category_revenue ORDER BY revenue DESC NULLS FIRST"""

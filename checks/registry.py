@@ -157,6 +157,16 @@ def repeated_load(retail: Retail) -> DataFrame:
     return landing.read_raw(retail.spark, layers, "customers").select("customer_id", "city", LOADED_AT)
 
 
+@query
+def same_stamp_copies(retail: Retail) -> DataFrame:
+    """Orders landed with one stamp, best first and so worst last: the copy of the last line wins, not the largest."""
+    spark, layers = retail.spark, retail.layers("same-stamp")
+    columns = text_columns("orders")
+    worst_last = retail.raw["orders"].select(*columns).orderBy(*[F.desc_nulls_first(name) for name in columns])
+    landing.load_csv(spark, layers, "orders", _csv_files(retail, worst_last, "orders"), landing.STRICT, LOAD_TS)
+    return staging.clean_orders(landing.read_raw(spark, layers, "orders", lineage=True))
+
+
 @query
 def null_tokens(retail: Retail) -> DataFrame:
     text = F.when(F.col("o_orderstatus") == "P", "").when(F.col("o_orderstatus") == "F", "NULL")
@@ -435,6 +445,25 @@ def daily_revenue(retail: Retail) -> DataFrame:
     return marts.daily_revenue(retail.fact)
 
 
+def _stored_days(retail: Retail) -> DataFrame:
+    """Sales counted in two loads, of which the second holds half of the first again."""
+    layers = retail.layers("days")
+    again = retail.fact.filter(F.col("customer_id") % 2 == 0)
+    for sales in (retail.fact, again):
+        jobs.add_days(layers, sales)
+    return layers.mart(retail.spark, "daily_orders").read()
+
+
+@query
+def daily_revenue_stored(retail: Retail) -> DataFrame:
+    return marts.daily_revenue_of_parts(_stored_days(retail))
+
+
+@query
+def kpis_stored(retail: Retail) -> DataFrame:
+    return analytics.kpis_of_parts(_stored_days(retail))
+
+
 @query
 def category_revenue(retail: Retail) -> DataFrame:
     return marts.category_revenue_report(retail.fact, retail.products)

@@ -1,5 +1,6 @@
 """Relational operators: DataFrames and parameters in, a DataFrame out."""
 
+from tillbook.operators.distinct import distinct_ids, id_bitmaps, merged_bitmaps
 from tillbook.operators.latest import latest_per_key
 from tillbook.operators.merge import merge_rows
 from tillbook.operators.ranking import global_ntile, global_ntiles, global_position, global_rank
@@ -7,13 +8,16 @@ from tillbook.operators.references import keep_valid_refs
 from tillbook.operators.totals import moving_average, row_counts, share_of_total
 
 __all__ = [
+    "distinct_ids",
     "global_ntile",
     "global_ntiles",
     "global_position",
     "global_rank",
+    "id_bitmaps",
     "keep_valid_refs",
     "latest_per_key",
     "merge_rows",
+    "merged_bitmaps",
     "moving_average",
     "row_counts",
     "share_of_total",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tillbook.functions import ASC, DESC, ascending, days_between, descending
 from tillbook.functions.rounding import rounded_quotient
 from tillbook.operators import global_ntiles, global_rank, moving_average, share_of_total
-from tillbook.plans.marts import category_revenue, daily_revenue, members, order_count, sales_by_product
+from tillbook.plans.marts import added_up, category_revenue, daily_revenue, members, order_count, sales_by_product
 
 RFM_TILES = 3
 
@@ -28,6 +28,16 @@ def kpis(fact: DataFrame, orders_unique: bool = False) -> DataFrame:
     )
 
 
+def kpis_of_parts(parts: DataFrame) -> DataFrame:
+    """The same from stored days, without a look at the fact."""
+    lines = F.col("lines").cast("decimal(20,0)")
+    return added_up(parts).select(
+        F.col("orders").alias("total_orders"),
+        F.col("revenue").alias("total_revenue"),
+        rounded_quotient(F.col("revenue"), lines, 2).alias("avg_line_value"),
+    )
+
+
 def top_products(fact: DataFrame, products: DataFrame, limit: int = 5) -> DataFrame:
     """Best-selling product names by revenue; products of the same name and category count as one."""
     return (

@@ -26,10 +26,15 @@ def stage_dimensions(spark: SparkSession, layers: Layers) -> None:
     layers.staged(spark, "products").overwrite(staging.clean_products(read_raw(spark, layers, "products")))
 
 
-def seed_orders(spark: SparkSession, layers: Layers, load_ts: datetime | None = None) -> None:
-    """Batch seed of the staged orders from all raw orders there are; for use without the feed."""
+def seed_orders(
+    spark: SparkSession, layers: Layers, load_ts: datetime | None = None, last_line: bool = False
+) -> None:
+    """Batch seed of the staged orders from all raw orders there are; for use without the feed.
+
+    ``last_line`` settles equal stamps by file and line instead of by the largest values.
+    """
     orders = staging.seed_orders(
-        read_raw(spark, layers, "orders"),
+        read_raw(spark, layers, "orders", lineage=last_line),
         layers.staged(spark, "customers").read(),
         layers.staged(spark, "products").read(),
         load_ts,
@@ -56,6 +61,11 @@ def refresh_marts(spark: SparkSession, layers: Layers) -> None:
     )
 
 
+def add_days(layers: Layers, sales: DataFrame) -> None:
+    """Count sales that were not counted before; days that have rows already are merged when they are read."""
+    layers.mart(sales.sparkSession, "daily_orders").append(marts.daily_parts(sales))
+
+
 @dataclass(frozen=True)
 class Star:
     """The star schema as written by the last refresh."""

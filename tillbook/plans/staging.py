@@ -19,7 +19,7 @@ from tillbook.functions import (
     upper_trimmed,
 )
 from tillbook.operators import keep_valid_refs, latest_per_key
-from tillbook.schemas import LOADED_AT, PRICE, STG_ORDERS, TIMESTAMP
+from tillbook.schemas import LINEAGE, LOADED_AT, PRICE, STG_ORDERS, TIMESTAMP
 from tillbook.session import require_ansi
 
 DEFAULT_QUANTITY = 1
@@ -62,7 +62,7 @@ def clean_products(raw: DataFrame) -> DataFrame:
 
 
 def type_orders(raw: DataFrame) -> DataFrame:
-    """Typed orders, copies included; the load stamp is kept to choose among the copies."""
+    """Typed orders, copies included; load stamp and, where given, lineage are kept to choose among the copies."""
     return (
         require_ansi(raw)
         .filter(F.col("order_id").isNotNull())
@@ -74,18 +74,31 @@ def type_orders(raw: DataFrame) -> DataFrame:
             try_timestamp(F.col("order_ts")).alias("order_ts"),
             upper_trimmed(F.col("status")).alias("status"),
             LOADED_AT,
+            *_lineage(raw),
         )
     )
 
 
+def _lineage(raw: DataFrame) -> list[str]:
+    return [name for name in LINEAGE.names if name in raw.columns]
+
+
 def clean_orders(raw: DataFrame) -> DataFrame:
-    """Typed orders, one row per order: the copy loaded last. Used by the batch seed and by the feed alike."""
-    return latest_per_key(type_orders(raw), ["order_id"], [descending(LOADED_AT)]).drop(LOADED_AT)
+    """Typed orders, one row per order: the copy loaded last. Used by the batch seed and by the feed alike.
 
+    Raw rows with lineage settle equal stamps by it: the copy of the last file by path, and the last line in it, wins; a
+    row that was not read from a file yields to one that was.
+    """
+    lineage = _lineage(raw)
+    order = [descending(LOADED_AT), *(F.desc_nulls_last(name) for name in lineage)]
+    return latest_per_key(type_orders(raw), ["order_id"], order).drop(LOADED_AT, *lineage)
 
-def valid_orders(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Orders whose customer and product both exist."""
-    return keep_valid_refs(orders, (customers, "customer_id"), (products, "product_id"))
+
+def valid_orders(
+    orders: DataFrame, customers: DataFrame, products: DataFrame, among: DataFrame | None = None
+) -> DataFrame:
+    """Orders whose customer and product both exist. ``among``: typed orders with at least the same references."""
+    return keep_valid_refs(orders, (customers, "customer_id"), (products, "product_id"), among=among)
 
 
 def stamped(orders: DataFrame, load_ts: datetime | None = None) -> DataFrame:
@@ -97,4 +110,5 @@ def seed_orders(
     raw_orders: DataFrame, customers: DataFrame, products: DataFrame, load_ts: datetime | None = None
 ) -> DataFrame:
     """First content of the staged orders. The copy is chosen first: a bad newest copy removes its order."""
-    return stamped(valid_orders(clean_orders(raw_orders), customers, products), load_ts)
+    valid = valid_orders(clean_orders(raw_orders), customers, products, among=type_orders(raw_orders))
+    return stamped(valid, load_ts)

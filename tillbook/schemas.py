@@ -8,6 +8,15 @@ TIMESTAMP = T.TimestampNTZType()
 
 LOADED_AT = "_loaded_at"
 
+# Where a landed row comes from: its file, the block of it and the place among the rows of one task.
+LINEAGE = T.StructType(
+    [
+        T.StructField("_source_file", T.StringType()),
+        T.StructField("_source_block", T.LongType()),
+        T.StructField("_source_row", T.LongType()),
+    ]
+)
+
 
 def _raw(*names: str) -> T.StructType:
     """Landing tables hold text only, so that no value can break a load, plus the load stamp."""

@@ -23,11 +23,12 @@ from pyspark.sql import types as T
 
 from tillbook.functions import null_tokens
 from tillbook.operators import row_counts
-from tillbook.schemas import LOADED_AT, RAW, TIMESTAMP, text_columns
+from tillbook.schemas import LINEAGE, LOADED_AT, RAW, TIMESTAMP, text_columns
 from tillbook.sources import files
 from tillbook.sources.layers import Layers
 
-_LINE, _FILE, _STATUS, _LOAD = "_source_line", "_source_file", "load_status", "load"
+_LINE, _STATUS, _LOAD = "_source_line", "load_status", "load"
+_FILE, _BLOCK, _ROW = LINEAGE.names
 _OK, _REJECTED = "ok", "rejected"
 
 # By default a stream passes over files a week older than the newest it has seen, such as restored ones.
@@ -51,11 +52,6 @@ def _stamp(load_ts: datetime | None) -> Column:
     return F.localtimestamp() if load_ts is None else F.lit(load_ts).cast(TIMESTAMP)
 
 
-def _stored(table: str) -> T.StructType:
-    more = [T.StructField(name, T.StringType()) for name in (_LINE, _FILE, _LOAD, _STATUS)]
-    return T.StructType([*RAW[table].fields, *more])
-
-
 def _publish(df: DataFrame, layers: Layers, table: str, load: str) -> None:
     """Write a load out of sight, then move it into the table; a load that is there already stays."""
     arriving = f"{layers.raw(table)}/_arriving/{load}"  # readers pass over names that begin like this
@@ -71,7 +67,7 @@ def read_csv(
     multi_line: bool = False,
     stream: bool = False,
 ) -> DataFrame:
-    """The text columns of ``table`` from CSV files, with the file, and the line of each row that does not fit (lenient).
+    """The text columns of ``table`` from CSV files, with the file, its block, and the line of each row that does not fit (lenient).
 
     ``strict`` fails on the first row with too few or too many fields. Column pruning is off for this read: with
     it Spark would not look at fields it does not need, and miss such rows. ``multi_line`` allows line breaks inside
@@ -91,7 +87,8 @@ def read_csv(
         .csv(path)
     )
     texts = (null_tokens(F.col(name)).alias(name) for name in columns)
-    return rows.select(*texts, _LINE, F.col("_metadata.file_path").alias(_FILE))
+    place = F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.file_block_start").alias(_BLOCK)
+    return rows.select(*texts, _LINE, *place)
 
 
 def load_csv(
@@ -113,7 +110,8 @@ def load_csv(
     status = F.when(F.col(_LINE).isNull(), _OK).otherwise(_REJECTED)
 
     def stamped(rows: DataFrame) -> DataFrame:
-        return rows.withColumns({LOADED_AT: _stamp(load_ts), _STATUS: status})
+        # lines of a block are read one after the other
+        return rows.withColumns({LOADED_AT: _stamp(load_ts), _STATUS: status, _ROW: F.monotonically_increasing_id()})
 
     if force:
         _publish(stamped(read_csv(spark, table, path, on_error, multi_line)), layers, table, uuid.uuid4().hex)
@@ -147,8 +145,8 @@ def insert_rows(
 
 def append_raw(df: DataFrame, layers: Layers, table: str) -> None:
     """Append a DataFrame that has the raw table's columns, load stamp included."""
-    nothing = F.lit(None).cast("string")
-    accepted = {_LINE: nothing, _FILE: nothing, _STATUS: F.lit(_OK)}
+    nothing = {field.name: F.lit(None).cast(field.dataType) for field in LINEAGE}
+    accepted = {_LINE: F.lit(None).cast("string"), **nothing, _STATUS: F.lit(_OK)}
     _publish(df.select(*RAW[table].names).withColumns(accepted), layers, table, uuid.uuid4().hex)
 
 
@@ -160,25 +158,32 @@ def create_raw(spark: SparkSession, layers: Layers, table: str) -> None:
 
 def _stored(spark: SparkSession, layers: Layers, table: str, status: str, stream: bool = False) -> DataFrame:
     """Rows of one status, which is a folder, so others are not opened."""
-    more = [T.StructField(name, T.StringType()) for name in (_LINE, _FILE, _LOAD, _STATUS)]
+    more = [T.StructField(name, T.StringType()) for name in (_LINE, _LOAD, _STATUS)]
     reader = spark.readStream.options(**_ANY_AGE) if stream else spark.read
-    rows = reader.schema(T.StructType([*RAW[table].fields, *more])).parquet(layers.raw(table))
+    rows = reader.schema(T.StructType([*RAW[table].fields, *LINEAGE.fields, *more])).parquet(layers.raw(table))
     return rows.filter(F.col(_STATUS) == status)
 
 
-def read_raw(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
-    """The accepted rows of all loads so far; rejected ones are not opened."""
-    return _stored(spark, layers, table, _OK).select(*RAW[table].names)
+def _names(table: str, lineage: bool) -> list[str]:
+    return RAW[table].names + (LINEAGE.names if lineage else [])
+
+
+def read_raw(spark: SparkSession, layers: Layers, table: str, lineage: bool = False) -> DataFrame:
+    """The accepted rows of all loads so far; rejected ones are not opened.
+
+    ``lineage`` adds the file, the block of it and the place of each row; all NULL for rows that came from no file.
+    """
+    return _stored(spark, layers, table, _OK).select(*_names(table, lineage))
 
 
 def read_rejects(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
     """The rows a lenient load set aside, with the line and the file they came from."""
-    return _stored(spark, layers, table, _REJECTED).drop(_STATUS, _LOAD)
+    return _stored(spark, layers, table, _REJECTED).select(*RAW[table].names, _LINE, _FILE)
 
 
-def stream_raw(spark: SparkSession, layers: Layers, table: str) -> DataFrame:
+def stream_raw(spark: SparkSession, layers: Layers, table: str, lineage: bool = False) -> DataFrame:
     """The accepted rows as a stream: each run of a query sees those of the loads since its last one."""
-    return _stored(spark, layers, table, _OK, stream=True).select(*RAW[table].names)
+    return _stored(spark, layers, table, _OK, stream=True).select(*_names(table, lineage))
 
 
 def audit(spark: SparkSession, layers: Layers) -> DataFrame:

@@ -22,7 +22,8 @@ class OrderFeed:
     """The first batch into an empty staged table is the seed and drops orders of unknown customers or products.
 
     Later batches keep them unless ``enforce_refs`` is set. ``load_ts`` replaces the clock as load stamp. After
-    ``compact_after`` batches (a day of five-minute runs) the staged table is compacted.
+    ``compact_after`` batches (a day of five-minute runs) the staged table is compacted. ``last_line`` settles equal stamps
+    by file and line instead of by the largest values.
     """
 
     spark: SparkSession
@@ -31,6 +32,7 @@ class OrderFeed:
     enforce_refs: bool = False
     load_ts: datetime | None = None
     compact_after: int = 288
+    last_line: bool = False
 
     def seed(self) -> None:
         """First run: everything landed so far, as one batch."""
@@ -48,7 +50,7 @@ class OrderFeed:
 
     def _start(self, **trigger: object) -> StreamingQuery:
         return (
-            stream_raw(self.spark, self.layers, "orders")
+            stream_raw(self.spark, self.layers, "orders", self.last_line)
             .writeStream.foreachBatch(self._merge)
             .option("checkpointLocation", self.layers.checkpoint(self.name))
             .queryName(self.name)
@@ -64,7 +66,7 @@ class OrderFeed:
         if self.enforce_refs or staged.state()["last_batch"] < 0:
             customers = self.layers.staged(spark, "customers").read()
             products = self.layers.staged(spark, "products").read()
-            orders = staging.valid_orders(orders, customers, products)
+            orders = staging.valid_orders(orders, customers, products, among=staging.type_orders(batch))
         feed = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         staged.merge(staging.stamped(orders, self.load_ts), feed, batch_id)
         if len(staged.state()["batches"]) >= self.compact_after:
