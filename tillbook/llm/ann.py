@@ -6,8 +6,9 @@ keeps the nearest of all it has met. The graph's edges are the neighbours and a
 query, in blocks, goes through the graph of each shard: a beam of the best vectors seen so far, whose neighbours are
 looked at until none of the beam is left to expand; the shards' results are merged.
 
-Vectors get one more coordinate that makes all of them equally long, which turns the largest inner product into the
-smallest distance while the graph is built. Scores are inner products of the vectors as given, in double precision.
+The graph is built on distances: of the nodes v, u keeps those with the largest u.v - |v|^2 / 2, in double precision, so one
+very long vector changes nothing for the others. A search begins at random vectors and at the longest ones, which are far
+from all others and still the nearest by inner product. Scores are inner products of the vectors as given.
 """
 
 from __future__ import annotations
@@ -36,16 +37,21 @@ BEAM = 72
 EXPANDED = 4
 SIDE_BY_SIDE = 256
 QUERY_BLOCK = 4096
+LONGEST = 16
 
 _PAIRS = 100_000
 _STATE = {"shard": pa.int64(), "node": pa.int32(), "near": pa.list_(pa.int32()), "hops": pa.list_(pa.int32())}
 _STATE_SCHEMA = "shard long, node int, near array<int>, hops array<int>"
 
 
-def _lengthened(vectors: np.ndarray, longest: float) -> np.ndarray:
-    """Vectors with a last coordinate that brings all of them to the norm ``longest``."""
-    more = np.sqrt(np.maximum(longest**2 - (vectors**2).sum(axis=1), 0.0))
-    return np.concatenate((vectors, more[:, None]), axis=1).astype(np.float32)
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors divided by their largest component, which changes no order and keeps squares finite."""
+    return vectors / (np.abs(vectors).max(initial=0.0) or 1.0)
+
+
+def _unit(queries: np.ndarray) -> np.ndarray:
+    """Queries of largest component 1, which changes none of their orders."""
+    return queries / np.abs(queries).max(axis=1, keepdims=True)
 
 
 def _nearest(vectors: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -54,11 +60,12 @@ def _nearest(vectors: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
     pairs = np.unique(u.astype(np.int64) * n + v)
     u, v = pairs // n, pairs % n
     u, v = u[u != v], v[u != v]
-    product = np.empty(len(u), np.float32)
+    half = np.einsum("ij,ij->i", vectors, vectors) / 2
+    closeness = np.empty(len(u))
     for at in range(0, len(u), _PAIRS):
         cut = slice(at, at + _PAIRS)
-        product[cut] = np.einsum("ij,ij->i", vectors[u[cut]], vectors[v[cut]])
-    order = np.lexsort((v, -product, u))
+        closeness[cut] = np.einsum("ij,ij->i", vectors[u[cut]], vectors[v[cut]]) - half[v[cut]]
+    order = np.lexsort((v, -closeness, u))
     u, v = u[order], v[order]
     first = np.searchsorted(u, np.arange(n))
     place = np.arange(len(u)) - first[u]
@@ -88,12 +95,12 @@ def _state(shard: int, near: np.ndarray, ahead: int, back: int, seed: int) -> pa
     return pa.table({name: pa.array(x, kind) for (name, kind), x in zip(_STATE.items(), columns, strict=True)})
 
 
-def _closer(longest: float, edges: int, seed: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _closer(edges: int, seed: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """A round in a shard: vectors with, for each node, lists of nodes it has met."""
 
     def closer(left: pa.Table, right: pa.Table) -> pa.Table:
         left = left.sort_by("node")
-        vectors = _lengthened(matrix(left.column("embedding")), longest)
+        vectors = _scaled(matrix(left.column("embedding")))
         lists = right.column("met").combine_chunks()
         u = np.repeat(right.column("node").to_numpy(), lists.value_lengths().to_numpy(zero_copy_only=False))
         near = _nearest(vectors, u, lists.flatten().to_numpy())
@@ -102,12 +109,12 @@ def _closer(longest: float, edges: int, seed: int) -> Callable[[pa.Table, pa.Tab
     return closer
 
 
-def build(index: DataFrame, longest: float) -> DataFrame:
+def build(index: DataFrame) -> DataFrame:
     """Graph (shard, node, near, hops) of ``index`` (shard, node, embedding), hops being the edges to search along."""
 
     def start(table: pa.Table) -> pa.Table:
         table = table.sort_by("node")
-        vectors = _lengthened(matrix(table.column("embedding")), longest)
+        vectors = _scaled(matrix(table.column("embedding")))
         n = len(vectors)
         v = np.random.default_rng(n).integers(0, n, (n, NEIGHBOURS))
         near = _nearest(vectors, np.repeat(np.arange(n), NEIGHBOURS), v.ravel())
@@ -120,7 +127,7 @@ def build(index: DataFrame, longest: float) -> DataFrame:
         met = via.join(beyond, ["shard", "via"]).select("shard", "node", "met")
         met = met.union(graph.select("shard", "node", F.col("near").alias("met")))
         met = met.union(graph.select("shard", "node", F.col("hops").alias("met")))
-        closer = _closer(longest, NEIGHBOURS if number == ROUNDS else JOINED, number)
+        closer = _closer(NEIGHBOURS if number == ROUNDS else JOINED, number)
         closest = index.groupBy("shard").cogroup(met.groupBy("shard")).applyInArrow(closer, _STATE_SCHEMA)
         graph = stored(closest, "graph")
     return graph
@@ -129,7 +136,8 @@ def build(index: DataFrame, longest: float) -> DataFrame:
 def search(vectors: np.ndarray, hops: np.ndarray, queries: np.ndarray, own: np.ndarray) -> np.ndarray:
     """(queries, BEAM) nodes found, best first; -1 fills up. ``own``: the node a query is itself, or -1."""
     n, q = len(vectors), len(queries)
-    seeds = np.random.default_rng(n).permutation(n)[:BEAM]
+    longest = np.argsort(-np.einsum("ij,ij->i", vectors, vectors), kind="stable")[:LONGEST]
+    seeds = np.union1d(np.random.default_rng(n).permutation(n)[:BEAM], longest)
     beam = np.broadcast_to(seeds, (q, len(seeds))).copy()
     beam = np.concatenate((beam, np.where(np.isin(own, seeds), -1, own)[:, None]), axis=1)
     seen = np.zeros((q, n + 1), bool)
@@ -174,9 +182,7 @@ def nearest(vectors: DataFrame, every: int = QUERY_EVERY, count: int = NEAREST)
     """
     rows = vectors.select(F.col("vec_id").cast("long"), "embedding").filter(F.col("vec_id").isNotNull())
     rows = rows.filter(usable("embedding")).withColumn("size", F.size("embedding"))
-    squares = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    about = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.sqrt(squares)).alias("longest")).first()
-    shards, longest = -(-about["n"] // SHARD) or 1, about["longest"] or 0.0
+    shards = -(-rows.count() // SHARD) or 1
     # lengths take shards of their own
     sharded = rows.withColumn("shard", F.col("size").cast("long") * shards + F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
     kind = rows.schema["embedding"].dataType.simpleString()
@@ -191,7 +197,7 @@ def nearest(vectors: DataFrame, every: int = QUERY_EVERY, count: int = NEAREST)
     columns = sharded.select("shard", "vec_id", "embedding")
     index = columns.groupBy("shard").applyInArrow(numbered, f"shard long, vec_id long, embedding {kind}, node int")
     index = stored(index, "index")
-    graph = build(index.select("shard", "node", "embedding"), longest)
+    graph = build(index.select("shard", "node", "embedding"))
 
     # each shard with its edges, once for each block of queries that comes
     searched = index.join(graph.select("shard", "node", "hops"), ["shard", "node"])
@@ -211,7 +217,7 @@ def nearest(vectors: DataFrame, every: int = QUERY_EVERY, count: int = NEAREST)
     def find(left: pa.Table, right: pa.Table) -> pa.Table:
         left = left.sort_by("node")
         exact, ids = matrix(left.column("embedding")), left.column("vec_id").to_numpy()
-        near = exact.astype(np.float32)
+        near = _scaled(exact).astype(np.float32)
         lists = left.column("hops").to_pylist()
         hops = np.full((len(lists), max(1, max(map(len, lists)))), -1, np.int64)
         for row, own in zip(hops, lists, strict=True):
@@ -223,7 +229,7 @@ def nearest(vectors: DataFrame, every: int = QUERY_EVERY, count: int = NEAREST)
         out = []
         for start in range(0, len(asked), SIDE_BY_SIDE):
             cut = slice(start, start + SIDE_BY_SIDE)
-            beams = search(near, hops, asked[cut].astype(np.float32), itself[cut])
+            beams = search(near, hops, _unit(asked[cut]).astype(np.float32), itself[cut])
             for query, vector, own, beam in zip(asked_ids[cut], asked[cut], itself[cut], beams, strict=True):
                 found = beam[(beam >= 0) & (beam != own)]
                 score = exact[found] @ vector
