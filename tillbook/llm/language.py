@@ -21,16 +21,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import fold, sample_below
+from tillbook.llm.common import fold
 
 FOLDS = 4
 HELD_OUT = 2
 UNKNOWN = "und"
 
-#: The sample: so many documents and, on average, characters at most; longer documents than the last are not in it.
-MOST_DOCUMENTS = 3000
+#: The sample: so many pieces of documents and, on average, characters at most, from each language at its share of the whole.
+#: Languages with fewer than LEAST of these are sampled up to it, all together at most as much again.
+MOST_PIECES = 3000
 MOST_CHARS = 6_000_000
-LONGEST = 200_000
+PIECE = 20_000
+LEAST = 60
 
 BUCKETS = 1 << 17
 CHAINS = 128
@@ -56,7 +58,7 @@ def traits(word: str) -> list[int]:
     found = {f"w{word}"}
     found.update(f"p{word[:n]}" for n in (1, 2, 3))
     found.update(f"s{word[-n:]}" for n in (1, 2, 3))
-    found.update(framed[i : i + n] for n in (2, 3) for i in range(min(len(framed), 24) - n + 1))
+    found.update(framed[i : i + n] for n in (2, 3) for i in range(len(framed) - n + 1))
     return [zlib.crc32(x.encode()) % BUCKETS for x in found]
 
 
@@ -159,17 +161,43 @@ def train(samples: list[tuple[str, list[str]]]) -> Field:
     return Field(languages, features, transitions)
 
 
-def fit(docs: DataFrame) -> Field:
-    """A field from a sample of the labelled documents outside the held-out fold, chosen and ordered by a hash."""
+def pieces(docs: DataFrame) -> DataFrame:
+    """The labelled documents outside the held-out fold as (lang, doc_id, piece, chars), long ones as several pieces."""
     known = docs.select("doc_id", "text", "lang").filter(fold("doc_id", FOLDS) != HELD_OUT)
-    known = known.filter("lang IS NOT NULL AND text IS NOT NULL").filter(F.length("text") <= LONGEST)
-    size = known.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")).first()
-    most = MOST_DOCUMENTS if not size["chars"] else min(MOST_DOCUMENTS, int(size["n"] * MOST_CHARS / size["chars"]))
-    chosen = sample_below(known, "doc_id", size["n"], most)
-    rows = chosen.withColumn("at", F.xxhash64(F.lit(5), "doc_id")).orderBy("at", "doc_id", "text").collect()
+    known = known.filter("lang IS NOT NULL AND text IS NOT NULL")
+    last = F.greatest(F.lit(0), F.floor((F.length("text") - 1) / PIECE)).cast("int")
+    return known.withColumn("piece", F.explode(F.sequence(F.lit(0), last)))
+
+
+def fit(docs: DataFrame) -> Field:
+    """A field from a sample of the labelled documents outside the held-out fold, chosen and ordered by a hash.
+
+    Documents are sampled in pieces, so none is too long. The number of languages is taken to be small, as the
+    transitions are its square.
+    """
+    cut = pieces(docs)
+    size = F.least(F.lit(PIECE), F.length("text") - F.col("piece") * PIECE)
+    sizes = cut.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("chars")).collect()
+    shares = _shares({row["lang"]: (row["n"], row["chars"]) for row in sizes})
+    if not shares:
+        return train([])
+    share = F.element_at(F.create_map(*[F.lit(x) for pair in shares.items() for x in pair]), F.col("lang"))
+    at = F.xxhash64(F.lit(17), "doc_id", "piece")
+    chosen = cut.filter(F.pmod(at, F.lit(1 << 30)) < share)
+    text = F.substring("text", F.col("piece") * PIECE + 1, F.lit(PIECE)).alias("text")
+    rows = chosen.select("lang", "doc_id", "piece", text, F.xxhash64(F.lit(5), "doc_id").alias("at"))
+    rows = rows.orderBy("at", "doc_id", "piece", "text").collect()
     return train([(row["lang"], words_of(row["text"])) for row in rows])
 
 
+def _shares(sizes: dict[str, tuple[int, int]]) -> dict[str, int]:
+    """Of 2^30, how much of each language (pieces, characters) is sampled."""
+    number, chars = (sum(x) for x in zip(*sizes.values(), strict=True)) if sizes else (0, 0)
+    common = min(1.0, MOST_PIECES / max(1, number), MOST_CHARS / max(1, chars))
+    least = min(LEAST, MOST_PIECES / max(1, len(sizes)), MOST_CHARS / PIECE / max(1, len(sizes)))
+    return {lang: int(min(1.0, max(common, least / n)) * (1 << 30)) for lang, (n, _) in sizes.items()}
+
+
 class Tagger:
     """Expected words of each language in documents; keeps the scores of words it has met."""
 
