@@ -3,8 +3,8 @@
 The classifier is a logistic regression on a few properties of a text, fitted to labelled documents. Its probabilities,
 summed up by path and by host, are soft counts of good documents. Empirical Bayes turns them into rates: a path's rate
 shrinks towards its host's and a host's towards the global one, by prior strengths that the spread between hosts and
-between paths gives (moments of a beta-binomial). A document's verdict adds the log odds of its path, relative to
-the global ones, to those of its text.
+that between the paths of a host give (moments of a beta-binomial). A document's verdict adds the log odds of its path,
+as its other documents show them and relative to the global ones, to those of its text.
 """
 
 from __future__ import annotations
@@ -12,11 +12,11 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.llm.common import packed, sample_below, stored
@@ -65,16 +65,11 @@ def properties(text: str | None) -> list[float]:
 def _described(docs: DataFrame, *columns: str) -> DataFrame:
     """The named columns and ``features`` of the text."""
 
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text"))
-            found = pa.array([properties(text.as_py()) for text in texts], pa.list_(pa.float64()))
-            kept = [batch.column(batch.schema.get_field_index(c)) for c in columns]
-            yield pa.RecordBatch.from_arrays([*kept, found], names=[*columns, "features"])
+    @F.arrow_udf("array<double>")
+    def describe(texts: pa.Array) -> pa.Array:
+        return pa.array([properties(text.as_py()) for text in texts], pa.list_(pa.float64()))
 
-    chosen = docs.select(*columns, *([] if "text" in columns else ["text"]))
-    kinds = [f"{c} {chosen.schema[c].dataType.simpleString()}" for c in columns]
-    return chosen.mapInArrow(describe, ", ".join([*kinds, "features array<double>"]))
+    return docs.select(*columns, describe("text").alias("features"))
 
 
 class Classifier:
@@ -109,31 +104,76 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS) -> Classifi
     """A classifier fitted to at most about ``most`` labelled documents, chosen by a hash of their ids."""
     marks = labels.select(F.col("doc_id").cast("long"), F.col("quality").alias("good"))
     marks = marks.filter("doc_id IS NOT NULL AND good IS NOT NULL").groupBy("doc_id").agg(F.max("good").alias("good"))
-    number = marks.count()
-    # both sides by the same hash, and described before they meet, so that no texts are moved
-    texts = sample_below(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", number, most)
-    rows = _described(texts, "doc_id").join(sample_below(marks, "doc_id", number, most), "doc_id").sort("doc_id").collect()
+    chosen = sample_below(marks, "doc_id", marks.count(), most)  # about ``most`` ids, so small enough to send
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id")
+    described = _described(texts, "doc_id", "good").groupBy("doc_id", "good").agg(F.min("features").alias("features"))
+    rows = described.sort("doc_id").collect()  # one row an id, however often it is repeated
     return Classifier(np.array([r["features"] for r in rows]), np.array([float(r["good"]) for r in rows]))
 
 
-def _strength(stats: Row | None, rate: float) -> float:
-    """Prior strength from the variance between groups beyond that of chance."""
-    if stats is None or not stats["groups"] or stats["chance"] is None or rate in (0.0, 1.0):
+@dataclass(frozen=True)
+class Prior:
+    """Global rate of good documents, and how many documents the prior of a host and of a path counts for."""
+
+    rate: float
+    host_strength: float
+    path_strength: float
+
+
+def strength(groups: DataFrame, *parent: str) -> float:
+    """Prior strength of groups (n, good) within their parents, by the moments of a beta-binomial.
+
+    Within a parent of rate m, the sum over its k groups of n (rate - m)^2 is m (1 - m) (k - 1 + r (n0 - k + 1)) on
+    average, n0 being the sum of n less the sum of n^2 over it. Summed over parents this gives the correlation r of documents
+    of one group beyond that of their parent; the strength is 1 / r - 1.
+    """
+    n, good = F.sum("n"), F.sum("good")
+    parents = groups.groupBy(*parent).agg(
+        F.count(F.lit(1)).alias("k"),
+        (good / n * (1 - good / n)).alias("v"),
+        (F.sum(F.col("good") * F.col("good") / F.col("n")) - good * good / n).alias("spread"),
+        (n - F.sum(F.col("n") * F.col("n")) / n).alias("n0"),
+    )
+    found = parents.agg(
+        F.sum(F.col("spread") - F.col("v") * (F.col("k") - 1)).alias("beyond"),
+        F.sum(F.col("v") * (F.col("n0") - F.col("k") + 1)).alias("whole"),
+    ).first()
+    if not found["whole"] or found["whole"] <= 0 or found["beyond"] <= 0:
         return MOST_STRENGTH
-    between = max((stats["variance"] or 0.0) - stats["chance"] * rate * (1 - rate), 1e-9)
-    return min(max(rate * (1 - rate) / between - 1, 1.0), MOST_STRENGTH)
+    return min(max(found["whole"] / found["beyond"] - 1, 1.0), MOST_STRENGTH)
 
 
 def _logit(p: Column) -> Column:
     return F.log(p / (1 - p))
 
 
-def _spread(groups: DataFrame) -> Row | None:
-    """Of (n, good): number of groups, variance of their rates and the mean of 1 / n, which chance alone would give."""
-    return groups.agg(
-        F.count(F.lit(1)).alias("groups"), F.var_pop(F.col("good") / F.col("n")).alias("variance"),
-        F.avg(1 / F.col("n")).alias("chance"),
-    ).first()
+def _good() -> Column:
+    return 1 / (1 + F.exp(-F.col("text_log_odds")))
+
+
+def counted(scored: DataFrame) -> tuple[DataFrame, Prior]:
+    """Soft counts of each path and its host (host, path, n, good, host_n, host_good), and the priors they give."""
+    paths = scored.groupBy("host", "path").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum(_good()).alias("good"))
+    paths = stored(paths, "sites")
+    hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    total = hosts.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
+    rate = min(max((total["good"] or 0.0) / (total["n"] or 1), 1e-3), 1 - 1e-3)
+    prior = Prior(rate, strength(hosts), strength(paths, "host"))
+    return paths.join(hosts.select("host", F.col("n").alias("host_n"), F.col("good").alias("host_good")), "host"), prior
+
+
+def sited(scored: DataFrame, sites: DataFrame, prior: Prior) -> DataFrame:
+    """``scored`` with site_log_odds and score. A site's rate is that of its other documents: what a document says of
+    itself is in its own log odds."""
+    host_good = F.col("host_good") - _good() + prior.host_strength * prior.rate
+    host_rate = host_good / (F.col("host_n") - 1 + prior.host_strength)
+    path_rate = (F.col("good") - _good() + prior.path_strength * host_rate) / (F.col("n") - 1 + prior.path_strength)
+    path_rate = F.greatest(F.least(path_rate, F.lit(1 - 1e-9)), F.lit(1e-9))
+    shift = _logit(path_rate) - math.log(prior.rate / (1 - prior.rate))
+    shift = F.greatest(F.least(shift, F.lit(SITE_LIMIT)), F.lit(-SITE_LIMIT))
+    both = F.col("text_log_odds") + F.col("site_log_odds")
+    found = scored.join(sites, ["host", "path"]).withColumn("site_log_odds", shift)
+    return found.withColumn("score", 1 / (1 + F.exp(-both))).drop("n", "good", "host_n", "host_good")
 
 
 def judged(docs: DataFrame, labels: DataFrame, host: Column | None = None, path: Column | None = None) -> DataFrame:
@@ -146,35 +186,16 @@ def judged(docs: DataFrame, labels: DataFrame, host: Column | None = None, path:
     model = fit(docs, labels)
     host = F.coalesce(F.col("source") if host is None else host, F.lit("\0"))
     path = F.coalesce(F.col("lang") if path is None else path, F.lit("\0"))
-    sited = docs.select(packed(docs), host.alias("host"), path.alias("path"), "text")
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text"))
-            features = np.array([properties(text.as_py()) for text in texts], np.float64)
-            odds = pa.array(model.log_odds(features))
-            kept = [batch.column(k) for k in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*kept, odds], names=[*batch.schema.names[:-1], "text_log_odds"])
-
-    site = "host string, path string, "
-    narrow = sited.select("host", "path", "text").mapInArrow(score, site + "text_log_odds double")
-    good = 1 / (1 + F.exp(-F.col("text_log_odds")))
-    paths = narrow.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum(good).alias("good"))
-    paths = stored(paths, "sites")
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-    total = hosts.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
-    rate = min(max((total["good"] or 0.0) / (total["n"] or 1), 1e-3), 1 - 1e-3)
-    host_strength, path_strength = _strength(_spread(hosts), rate), _strength(_spread(paths), rate)
-    host_rate = (F.col("good") + host_strength * rate) / (F.col("n") + host_strength)
-    hosts = hosts.select("host", host_rate.alias("host_rate"))
-    path_rate = (F.col("good") + path_strength * F.col("host_rate")) / (F.col("n") + path_strength)
-    shift = _logit(path_rate) - math.log(rate / (1 - rate))
-    shift = F.greatest(F.least(shift, F.lit(SITE_LIMIT)), F.lit(-SITE_LIMIT))
-    sites = paths.join(hosts, "host").select("host", "path", shift.alias("site_log_odds"))
-    row = sited.schema["row"].dataType.simpleString()
-    scored = sited.mapInArrow(score, f"row {row}, {site}text_log_odds double").join(sites, ["host", "path"])
-    both = F.col("text_log_odds") + F.col("site_log_odds")
-    return scored.select("row", "text_log_odds", "site_log_odds", (1 / (1 + F.exp(-both))).alias("score"))
+
+    @F.arrow_udf("double")
+    def log_odds(texts: pa.Array) -> pa.Array:
+        return pa.array(model.log_odds(np.array([properties(text.as_py()) for text in texts], np.float64)))
+
+    # only the text goes to Python and only a number comes back; rows stay where they are
+    site = host.alias("host"), path.alias("path"), log_odds("text").alias("text_log_odds")
+    sites, prior = counted(docs.select(*site))
+    found = sited(docs.select(packed(docs), *site), sites, prior)
+    return found.select("row", "text_log_odds", "site_log_odds", "score")
 
 
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
