@@ -269,6 +269,7 @@ ORACLE: dict[str, str] = {
     "upsert_orders": _fed("load > 0 OR"),
     "upsert_compacted": _fed(""),
     "feed_old_files": _fed("load > 0 OR"),
+    "upsert_newest": _stg("SELECT * FROM v_clean_orders"),
     "suspended_feed": _fed("load > 0 OR"),
     "reseeded_feed": _stg("SELECT * FROM stg_orders"),
     "idle_feed_run": f"SELECT count(*) AS staged_orders, false AS changed FROM ({_fed('load > 0 OR')})",

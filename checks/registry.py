@@ -348,6 +348,17 @@ def feed_old_files(retail: Retail) -> DataFrame:
     return _feed_loads(retail, aged=2).staged_orders(retail.spark).read()
 
 
+@query
+def upsert_newest(retail: Retail) -> DataFrame:
+    """All loads merged by stamp although they arrive newest first."""
+    typed, loads, start = staging.type_orders(retail.raw["orders"]), [], "0001-01-01"
+    for end in LOAD_ENDS:
+        load = typed.filter((F.col(LOADED_AT) >= start) & (F.col(LOADED_AT) < end))
+        loads.insert(0, ops.latest_per_key(load, ["order_id"], [fn.descending(LOADED_AT)]))
+        start = end
+    return ops.merge_newest(*loads, key="order_id", stamp=LOADED_AT).drop(LOADED_AT)
+
+
 @query
 def suspended_feed(retail: Retail) -> DataFrame:
     """Staged orders of a feed on a schedule that was suspended whenever a load landed."""

@@ -1,4 +1,4 @@
-"""Distinct counts by bitmaps, lineage as a tie-break, references of large dimensions."""
+"""Distinct counts by bitmaps, lineage as a tie-break, references of large dimensions, merges by stamp."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tillbook.operators import distinct_ids, id_bitmaps, keep_valid_refs, merged_bitmaps
+from tillbook.operators import distinct_ids, id_bitmaps, keep_valid_refs, merge_newest, merged_bitmaps
 from tillbook.plans import jobs, staging
 from tillbook.sources import landing
 from tillbook.streaming import OrderFeed
@@ -103,3 +103,13 @@ def test_the_last_line_of_the_last_file_wins(spark, layers, tmp_path, feed):
     files = landing.read_raw(spark, layers, "orders", lineage=True).select("_source_file").distinct().collect()
     assert {(row[0] or "none").rpartition("/")[2] for row in files} == {"a.csv", "b.csv", "none"}
 
+
+
+def test_late_older_copies_do_not_win(spark):
+    target = spark.createDataFrame([(1, 5, "t"), (2, 5, "t"), (3, None, "t"), (4, None, "t"), (6, 5, "t")], "k int, s int, v string")
+    late = spark.createDataFrame([("old", 4, 1), ("new", 6, 2), ("dated", 1, 3), ("bare", None, 4), ("first", 1, 5)], "v string, s int, k int")
+    last = spark.createDataFrame([("same", 6, 2), ("a", 5, 6), ("b", 5, 6)], "v string, s int, k int")
+    merged = merge_newest(target, late, last, key="k", stamp="s")
+    assert merged.columns == target.columns
+    assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {r["k"]: r["v"] for r in merged.collect()} == {1: "t", 2: "same", 3: "dated", 4: "bare", 5: "first", 6: "b"}

@@ -2,7 +2,7 @@
 
 from tillbook.operators.distinct import distinct_ids, id_bitmaps, merged_bitmaps
 from tillbook.operators.latest import latest_per_key
-from tillbook.operators.merge import merge_rows
+from tillbook.operators.merge import merge_newest, merge_rows
 from tillbook.operators.ranking import global_ntile, global_ntiles, global_position, global_rank
 from tillbook.operators.references import keep_valid_refs
 from tillbook.operators.totals import moving_average, row_counts, share_of_total
@@ -16,6 +16,7 @@ __all__ = [
     "id_bitmaps",
     "keep_valid_refs",
     "latest_per_key",
+    "merge_newest",
     "merge_rows",
     "merged_bitmaps",
     "moving_average",
