@@ -174,6 +174,34 @@ def test_lookup_opens_one_bucket(spark, merged):
     assert sample.bag(found.select("order_id", "status")) == [("16", "b")]
 
 
+def rows_scanned(df):
+    """Rows that came out of the scan of ``df``, which has no exchange."""
+    executed = df._jdf.queryExecution().executedPlan()
+    executed.executeCollect()
+    leaves = executed.collectLeaves()
+    return sum(leaves.apply(k).metrics().apply("numOutputRows").value() for k in range(leaves.size()))
+
+
+def test_lookup_passes_over_row_groups_of_batches(spark, merged, monkeypatch):
+    small = {"parquet.block.size": "65536", "parquet.page.row.count.limit": "500", "parquet.enable.dictionary": "false"}
+    own = MergeTable._bloom_filters
+    merged.merge(orders(spark, (1, "a")))
+    # keys in no order, so that each row group spans nearly all of them
+    keys = spark.range(0, 60_000, 1, 1).select(((F.col("id") * 7919) % 60_000 * 2).alias("key"))
+    template = orders(spark, (0, "b")).drop("order_id")
+    batch = keys.select(F.col("key").cast("decimal(38,0)").alias("order_id")).crossJoin(F.broadcast(template))
+    scanned = []
+    for options in (lambda table: small, lambda table: own(table) | small):
+        monkeypatch.setattr(MergeTable, "_bloom_filters", options)
+        merged.merge(batch.select(*STG_ORDERS.names).coalesce(1))
+        stored = merged._load(merged.state()["batches"][-1:], STG_ORDERS).select("order_id", "status")
+        scanned.append([rows_scanned(stored.filter(F.col("order_id") == key)) for key in (4242, 4243)])
+    (held, _), (found, absent) = scanned
+    assert held > 50_000 and 0 < found < 20_000 and absent < 20_000
+    assert sample.bag(merged.read().filter(F.col("order_id") == 4242).select("order_id", "status")) == [("4242", "b")]
+    assert merged.read().filter(F.col("order_id") == 4243).count() == 0
+
+
 @pytest.fixture
 def no_broadcast(spark):
     names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")

@@ -32,6 +32,9 @@ _ROWS, _RUN, _PART = "rows", "run", "part"
 #: Versions that stay when old ones are dropped: a day of five-minute batches.
 KEPT_VERSIONS = 288
 
+#: Most bytes of the Bloom filter of a row group: ten bits a key for 3 million keys.
+BLOOM_BYTES = 4 << 20
+
 
 class VersionedTable:
     """A table replaced by full refresh or extended by appends."""
@@ -103,9 +106,9 @@ class VersionedTable:
     def _load(self, folders: list[str], schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(*(f"{self.path}/data/{folder}" for folder in folders))
 
-    def _write(self, df: DataFrame) -> str:
+    def _write(self, df: DataFrame, **options: str) -> str:
         folder = uuid.uuid4().hex
-        df.write.parquet(f"{self.path}/data/{folder}")
+        df.write.options(**options).parquet(f"{self.path}/data/{folder}")
         return folder
 
     def _commit(self, state: dict[str, Any], **changes: Any) -> None:
@@ -175,7 +178,8 @@ class MergeTable(VersionedTable):
                 return False
         if state["folders"] or state["batches"]:
             sequence = F.lit(state["version"]).cast("bigint")
-            folder = self._write(df.select(*self.schema.names).withColumn(_SEQUENCE, sequence))
+            rows = df.select(*self.schema.names).withColumn(_SEQUENCE, sequence)
+            folder = self._write(rows, **self._bloom_filters())
             changes = {"batches": [*state["batches"], folder]}
         else:
             changes = self._compacted_to(df)
@@ -205,6 +209,18 @@ class MergeTable(VersionedTable):
         merged = merge_rows(old, newest.repartition(self.buckets, self.key).hint("merge"), self.key)
         self._commit(state, batches=[], **self._compacted_to(merged, kept))
 
+    def _bloom_filters(self) -> dict[str, str]:
+        """Options of a write that let a lookup pass over the row groups of a batch that lack its key.
+
+        A batch is not sorted, so smallest and largest keys tell little. The filter of a row group is as large as its
+        distinct keys ask for, up to ``BLOOM_BYTES``.
+        """
+        return {
+            f"parquet.bloom.filter.enabled#{self.key}": "true",
+            "parquet.bloom.filter.adaptive.enabled": "true",
+            "parquet.bloom.filter.max.bytes": str(BLOOM_BYTES),
+        }
+
     def _part(self) -> Column:
         """The bucket of a row, as bucketed writes number them."""
         return F.pmod(F.hash(self.key), F.lit(self.buckets)).alias(_PART)
