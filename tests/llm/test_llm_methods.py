@@ -137,8 +137,12 @@ def test_components_of_a_path(spark):
     assert found == {**dict.fromkeys(range(61), 0), 100: 100, 101: 100}
 
 
-def test_embedding_links(spark, monkeypatch):
-    monkeypatch.setattr(embedding_dedup, "TILE", 8)
+@pytest.mark.parametrize(("rows", "pairs"), [(8, 1 << 17), (64, 100), (16, 50)])
+def test_embedding_links(spark, monkeypatch, rows, pairs):
+    # a grid of two coordinates, none, and one; with slices of all, one or three rows
+    monkeypatch.setattr(embedding_dedup, "TILE", rows)
+    monkeypatch.setattr(embedding_dedup, "MOST_TILE", rows)
+    monkeypatch.setattr(embedding_dedup, "PAIRS", pairs)
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(6, 16))
     vectors = centres[rng.integers(0, 6, 120)] + rng.normal(size=(120, 16)) * rng.choice([0.02, 0.2], (120, 1))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillbook.llm import ann, language, quality
+from tillbook.llm import ann, embedding_dedup, language, quality
 
 
 @pytest.fixture(scope="module")
@@ -42,6 +42,20 @@ def test_many_shards(spark, given, monkeypatch):
     assert recall(spark, *given) >= 0.95
 
 
+@pytest.mark.parametrize("copies", [1, 25, 125])
+def test_rows_sent_do_not_grow_with_the_table(spark, copies):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    table = table.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    noise = lambda x, k: x + (F.pmod(F.xxhash64("vec_id", "copy", k), F.lit(1000)) / 500 - 1) * 0.02
+    rows = table.select((F.col("vec_id") * 1000 + F.col("copy")).alias("rep"), F.transform("embedding", noise).alias("embedding"),
+                        "label", F.lit(1).cast("long").alias("copies"))
+    placed = embedding_dedup._cells(rows, embedding_dedup.rotation(rows), 0.2 + 1e-6)
+    sent = embedding_dedup._sent(placed).drop("embedding").groupBy("visits").count().collect()
+    counts = {row["visits"]: row["count"] for row in sent}
+    assert counts[False] == 2000 * copies
+    assert sum(counts.values()) < 8 * counts[False]
+
+
 def _text(rng, letters, words):
     return " ".join("".join(rng.choice(list(letters), rng.integers(3, 9))) for _ in range(words))
 

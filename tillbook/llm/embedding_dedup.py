@@ -2,7 +2,9 @@
 
 Unit vectors are rotated to principal components, so that leading coordinates differ most. Two vectors whose cosine
 reaches the threshold differ by at most ``width`` in every coordinate: a grid over the leading ones names the cells that can hold
-partners, and cells meet only their neighbours. Cells are cut into tiles of bounded size. A task gets a tile with its visitors
+partners, and cells meet only their neighbours. A label's grid has as many dimensions as its rows ask for: none while they
+fit a tile, so that no row is sent twice for nothing. Cells are cut into tiles of bounded size, and tiles are as large as
+memory allows before rows are sent to more of them. A task gets a tile with its visitors
 one batch after the other and adds up products block of dimensions by block: the sum so far and the product of the
 norms of what remains bound the cosine, and a pair that can't reach the threshold is left alone. Survivors are
 verified in double precision on the vectors as given.
@@ -18,7 +20,7 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillbook.llm.common import sample_below, stored
@@ -27,14 +29,22 @@ from tillbook.llm.vectors import matrix, usable
 
 THRESHOLD = 0.98
 
-#: Vectors the rotation is fitted to, at most; coordinates of the grid; rows of a tile; dimensions added at a time.
+#: Vectors the rotation is fitted to, at most; most coordinates of the grid; dimensions added at a time.
 MOST_SAMPLE = 10_000
 GRID = 3
-TILE = 512
 BLOCK = 8
 
+#: Rows of a tile while the grid has fewer than ``GRID`` coordinates, and at most; pairs that are compared at a time.
+TILE = 4096
+MOST_TILE = 32_768
+PAIRS = 1 << 17
+
+#: A coordinate of the grid is taken to cut cells into so many.
+_CUTS = 4
+
 _SLACK = 1e-6
-_BASE = 1 << 12
+_BITS = 12
+_BASE = 1 << _BITS
 
 
 def rotation(vectors: DataFrame) -> np.ndarray | None:
@@ -76,49 +86,58 @@ class Tile:
             x = self.parent[x]
         return x
 
-    def pairs(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(visitor, home row) of all pairs whose cosine reaches the threshold."""
-        turned = _turned(vectors, self.axes)
-        rest, least = _rests(turned), self.threshold - _SLACK
-        dims = turned.shape[1]
-        if dims != self.turned.shape[1]:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        sums = turned[:, :BLOCK] @ self.turned[:, :BLOCK].T
-        a, b = np.nonzero(sums + rest[0][:, None] * self.rest[0][None, :] >= least)
-        sums = sums[a, b]
-        for k, at in enumerate(range(BLOCK, dims, BLOCK), start=1):
+    def pairs(self, vectors: np.ndarray, at_home: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(visitor, home row) of all pairs whose cosine reaches the threshold, some visitors after the other.
+
+        ``at_home``: the visitors are the tile itself, and each pair comes once.
+        """
+        turned = self.turned if at_home else _turned(vectors, self.axes)
+        if turned.shape[1] != self.turned.shape[1]:
+            return
+        rest = self.rest if at_home else _rests(turned)
+        norms = self.norms if at_home else np.linalg.norm(vectors, axis=1)
+        rows = max(1, PAIRS // max(1, len(self.ids)))
+        for start in range(0, len(vectors), rows):
+            here, first = slice(start, start + rows), start if at_home else 0
+            a, b = self._reaching(turned[here], [r[here] for r in rest], first)
+            if at_home:
+                later = a + start < b
+                a, b = a[later], b[later]
+            a = a + start
+            exact = np.einsum("ij,ij->i", vectors[a], self.vectors[b]) / (norms[a] * self.norms[b])
+            near = exact >= self.threshold
+            yield a[near], b[near]
+
+    def _reaching(self, turned: np.ndarray, rest: list[np.ndarray], first: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs with home rows from ``first`` on whose bound never falls below the threshold."""
+        least, home = self.threshold - _SLACK, self.turned[first:]
+        sums = turned[:, :BLOCK] @ home[:, :BLOCK].T
+        a, b = np.nonzero(sums + rest[0][:, None] * self.rest[0][None, first:] >= least)
+        sums, b = sums[a, b], b + first
+        for k, at in enumerate(range(BLOCK, turned.shape[1], BLOCK), start=1):
             if not len(a):
                 break
             sums += np.einsum("ij,ij->i", turned[a, at : at + BLOCK], self.turned[b, at : at + BLOCK])
             alive = sums + rest[k][a] * self.rest[k][b] >= least
             a, b, sums = a[alive], b[alive], sums[alive]
-        exact = np.einsum("ij,ij->i", vectors[a], self.vectors[b])
-        exact /= np.linalg.norm(vectors, axis=1)[a] * self.norms[b]
-        return a[exact >= self.threshold], b[exact >= self.threshold]
+        return a, b
 
     def visit(self, ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, at_home: bool) -> tuple[list, list]:
         """Rows (id, links) of the visitors and links (a, b); ``at_home``: the visitors are the tile itself."""
-        a, b = self.pairs(vectors)
-        if at_home:
-            a, b = a[a < b], b[a < b]
-            np.add.at(self.linked, a, self.copies[b])
-            np.add.at(self.linked, b, self.copies[a])
-            counts = []
-        else:
+        weights, links, seen = np.zeros(len(ids), np.int64), [], {}
+        for a, b in self.pairs(vectors, at_home):
             np.add.at(self.linked, b, copies[a])
-            weights = np.bincount(a, self.copies[b], minlength=len(ids)).astype(np.int64)
-            counts = [(int(ids[k]), int(weights[k])) for k in np.flatnonzero(weights)]
-        links, seen = [], {}
-        for x, y in zip(a.tolist(), b.tolist(), strict=True):
-            root = self.find(y)
-            mate = self.find(x) if at_home else seen.get(x)
-            if mate is None:
-                seen[x] = root
-                links.append((int(ids[x]), int(self.ids[y])))
-            elif (mate := self.find(mate)) != root:
-                self.parent[max(mate, root)] = min(mate, root)
-                links.append((int(ids[x]), int(self.ids[y])))
-        return counts, links
+            np.add.at(self.linked if at_home else weights, a, self.copies[b])
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                root = self.find(y)
+                mate = self.find(x) if at_home else seen.get(x)
+                if mate is None:
+                    seen[x] = root
+                    links.append((int(ids[x]), int(self.ids[y])))
+                elif (mate := self.find(mate)) != root:
+                    self.parent[max(mate, root)] = min(mate, root)
+                    links.append((int(ids[x]), int(self.ids[y])))
+        return [(int(ids[k]), int(weights[k])) for k in np.flatnonzero(weights)], links
 
     def totals(self) -> list[tuple[int, int]]:
         return [(int(self.ids[k]), int(self.linked[k])) for k in np.flatnonzero(self.linked)]
@@ -154,30 +173,51 @@ def _cells(distinct: DataFrame, axes: np.ndarray | None, width: float) -> DataFr
     return columns.mapInArrow(place, schema)
 
 
-def _compared(placed: DataFrame, axes: np.ndarray | None, threshold: float) -> DataFrame:
-    """Rows (a, b, links): a link where b is there, else a number of links of a."""
-    key = ["label", "size", "cell"]
-    placed = placed.withColumn("size", F.size("embedding"))
-    sizes = placed.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    tiles = sizes.select(*key, F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
-    # a cell's rows visit its neighbours further on, and the tiles of its own that come after theirs
-    around = [sum(x * _BASE ** (GRID - 1 - k) for k, x in enumerate(step)) for step in product((-1, 0, 1), repeat=GRID)]
-    onward = F.explode(F.array(*[F.lit(x) for x in sorted(x for x in around if x >= 0)]))
-    hosts = tiles.select("label", "size", F.col("cell").alias("host"), F.col("tiles").alias("host_tiles"))
-    steps = tiles.withColumn("step", onward).withColumn("host", F.col("cell") + F.col("step"))
-    routes = steps.join(hosts, ["label", "size", "host"]).groupBy(*key, "tiles")
+def _routes(placed: DataFrame) -> DataFrame:
+    """For each cell of the finest grid the cell of its label's grid, its tiles, and the cells its rows go to with theirs.
+
+    Rows visit their neighbours further on, and the tiles of their own cell that come after theirs.
+    """
+    rows_of, cell_of = Window.partitionBy("label", "size"), Window.partitionBy("label", "size", "coarse")
+    # cells of a label are few, as a unit vector's coordinates are within one of zero
+    cells = placed.groupBy("label", "size", "cell").agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(rows_of)
+    dims = sum(F.when(total > TILE * _CUTS**k, 1).otherwise(0) for k in range(GRID))
+    cells = cells.withColumn("dims", dims).withColumn("rows", F.greatest(F.lit(TILE), F.ceil(total / _CUTS**GRID)))
+    cells = cells.withColumn("coarse", F.expr(f"shiftright(cell, {_BITS} * ({GRID} - dims))"))
+    tiles = F.ceil(F.sum("n").over(cell_of) / F.least("rows", F.lit(max(TILE, MOST_TILE)))).cast("int")
+    cells = cells.withColumn("tiles", tiles).drop("n", "rows")
+    hosts = cells.select("label", "size", "dims", F.col("coarse").alias("host"), F.col("tiles").alias("host_tiles")).distinct()
+    onward = F.lit(None)
+    for d in range(GRID + 1):
+        around = (sum(x * _BASE ** (d - 1 - k) for k, x in enumerate(step)) for step in product((-1, 0, 1), repeat=d))
+        ahead = F.array(*[F.lit(x).cast("long") for x in sorted(x for x in around if x >= 0)])
+        onward = F.when(F.col("dims") == d, ahead).otherwise(onward)
+    steps = hosts.select("label", "size", F.col("host").alias("coarse"), F.explode(onward).alias("step"))
+    steps = steps.withColumn("host", F.col("coarse") + F.col("step"))
+    routes = steps.join(hosts, ["label", "size", "host"]).groupBy("label", "size", "coarse")
     routes = routes.agg(F.collect_list(F.struct("host", "host_tiles")).alias("routes"))
-    rows = placed.join(routes, key)
+    return cells.join(routes, ["label", "size", "coarse"]).drop("dims")
+
+
+def _sent(placed: DataFrame) -> DataFrame:
+    """Rows of (label, size, host, at) tiles: those of the tile itself and, with ``visits``, those that meet it."""
+    placed = placed.withColumn("size", F.size("embedding"))
+    rows = placed.join(_routes(placed), ["label", "size", "cell"])
     rows = rows.withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
     rows = rows.withColumn("route", F.explode("routes"))
-    first = F.when(F.col("route.host") == F.col("cell"), F.col("tile")).otherwise(0)
+    first = F.when(F.col("route.host") == F.col("coarse"), F.col("tile")).otherwise(0)
     rows = rows.withColumn("at", F.explode(F.expr("sequence(0, route.host_tiles - 1)"))).filter(F.col("at") >= first)
-    visits = (F.col("route.host") != F.col("cell")) | (F.col("at") != F.col("tile"))
-    rows = rows.select(
+    visits = (F.col("route.host") != F.col("coarse")) | (F.col("at") != F.col("tile"))
+    return rows.select(
         "label", "size", F.col("route.host").alias("host"), "at", visits.alias("visits"), "rep", "copies", "embedding"
     )
+
+
+def _compared(placed: DataFrame, axes: np.ndarray | None, threshold: float) -> DataFrame:
+    """Rows (a, b, links): a link where b is there, else a number of links of a."""
     group = ["label", "size", "host", "at"]
-    rows = rows.withColumn("key", F.xxhash64(*group)).repartition("key")
+    rows = _sent(placed).withColumn("key", F.xxhash64(*group)).repartition("key")
     rows = rows.sortWithinPartitions("key", *group, "visits")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
