@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import os
+from collections.abc import Callable, Iterator
+from functools import wraps
+from typing import Any
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +17,51 @@ from tillbook.session import scratch_path
 # A word is a run of bytes other than space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bytes a Python worker may hold before it looks for free ones to give back. A new one has about half of them.
+MOST_HELD = 224 << 20
+
+
+def give_back() -> None:
+    """Return what a worker has freed to the system if it holds much.
+
+    Spark deals tasks to all idle workers in turn, so each would keep what its largest task ever took.
+    """
+    try:
+        with open("/proc/self/statm") as sizes:
+            held = int(sizes.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+        if held > MOST_HELD:
+            pa.default_memory_pool().release_unused()
+            ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # systems without these keep what they freed
+        return
+
+
+def lean_stream(stream: Callable[[Iterator[Any]], Iterator[Any]]) -> Callable[[Iterator[Any]], Iterator[Any]]:
+    """``stream`` for ``mapInArrow``; its worker gives memory back at the end."""
+
+    @wraps(stream)
+    def run(batches: Iterator[Any]) -> Iterator[Any]:
+        yield from stream(batches)
+        give_back()
+
+    return run
+
+
+def lean(function: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
+    """``function`` of a group for ``applyInArrow``; its worker gives memory back after each."""
+
+    def run_two(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = function(left, right)
+        give_back()
+        return found
+
+    def run_one(group: pa.Table) -> pa.Table:
+        found = function(group)
+        give_back()
+        return found
+
+    return run_two if function.__code__.co_argcount == 2 else run_one
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -22,7 +22,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import stored
+from tillbook.llm.common import lean_stream, stored
 
 SEQUENCE = 1024
 END = 2
@@ -80,7 +80,7 @@ def pieces(docs: DataFrame, longest: int = SEQUENCE, with_ids: bool = False) ->
             yield pa.RecordBatch.from_arrays(arrays[: 5 + with_ids], names=list(columns)[: 5 + with_ids])
 
     ids = ", ids array<int>" if with_ids else ""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES + ids)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean_stream(cut), PIECES + ids)
 
 
 def _fill(counts: np.ndarray, longest: int, take, sums: int) -> None:

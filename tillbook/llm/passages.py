@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import shuffle_partitions, stored
+from tillbook.llm.common import lean, lean_stream, shuffle_partitions, stored
 from tillbook.llm.suffix_groups import suffix_order
 
 LENGTH = 50
@@ -303,8 +303,8 @@ def _shared(docs: DataFrame, buckets: int, chunks: int) -> DataFrame:
                 column.append(value)
         return pa.Table.from_batches([_batch(out, out_kinds)])
 
-    sent = docs.mapInArrow(hashed, f"bucket int, {_LISTS}, texts binary, grams binary, several binary")
-    return sent.groupBy("bucket").applyInArrow(matched, f"chunk long, {_LISTS}")
+    sent = docs.mapInArrow(lean_stream(hashed), f"bucket int, {_LISTS}, texts binary, grams binary, several binary")
+    return sent.groupBy("bucket").applyInArrow(lean(matched), f"chunk long, {_LISTS}")
 
 
 def _copies(docs: DataFrame, chunks: int) -> DataFrame:
@@ -379,7 +379,7 @@ def _contexts(docs: DataFrame, shared: DataFrame) -> DataFrame:
         return pa.table({n: pa.array(x, kind) for (n, kind), x in zip(_CONTEXT.items(), columns, strict=True)})
 
     schema = "key long, context binary, doc long, place long, windows int"
-    return docs.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(cut, schema)
+    return docs.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(lean(cut), schema)
 
 
 class _Settled:
@@ -516,7 +516,7 @@ def _covered(contexts: DataFrame, chunks: int) -> DataFrame:
 
     ordered = contexts.repartition("key").sortWithinPartitions("key", "context", "doc", "place")
     schema = "chunk long, docs binary, places binary, windows binary, window binary, doc long, place long"
-    return ordered.mapInArrow(stream, schema)
+    return ordered.mapInArrow(lean_stream(stream), schema)
 
 
 def _settled(covered: DataFrame, chunks: int) -> DataFrame:
@@ -552,19 +552,24 @@ def _removed(docs: DataFrame, lists: DataFrame, as_text: bool) -> DataFrame:
         own = place[i] >> _PLACE_BITS == variant[row]
         i, row = i[own], row[own]
         begin = bounds[row] + (place[i] & ((1 << _PLACE_BITS) - 1))
-        size = len(data) + 1
-        change += np.bincount(begin, minlength=size).astype(np.int32)
-        change -= np.bincount(begin + windows[i] + LENGTH - 1, minlength=size).astype(np.int32)
+        np.add.at(change, begin, np.int32(1))
+        np.subtract.at(change, begin + windows[i] + LENGTH - 1, np.int32(1))
         copied = {doc for doc, _ in whole}
         for row, doc in enumerate(ids.tolist()):
             if doc in copied and (doc, text_hash(texts[row])) in whole:
                 change[bounds[row]] += 1
                 change[bounds[row + 1]] -= 1
-        gone = np.cumsum(change[:-1], dtype=np.int32) > 0
+        gone = np.cumsum(change, dtype=np.int32, out=change)[:-1] > 0
         begins = gone.copy()
         begins[1:] &= ~gone[:-1]
         begins[bounds[:-1][bounds[:-1] < len(data)]] = gone[bounds[:-1][bounds[:-1] < len(data)]]
-        total = lambda x: np.concatenate(([0], np.cumsum(x)))[bounds]
+
+        def total(marks: np.ndarray) -> np.ndarray:
+            # a chunk's bytes are fewer than 2^31, as Arrow's binary columns ask
+            change[0] = 0
+            np.cumsum(marks, dtype=np.int32, out=change[1:])
+            return change[bounds].astype(np.int64)
+
         removed, spans = np.diff(total(gone)), np.diff(total(begins))
         left_over = data[~gone].tobytes()
         ends = total(~gone)
@@ -584,7 +589,7 @@ def _removed(docs: DataFrame, lists: DataFrame, as_text: bool) -> DataFrame:
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name not in ("chunk", "bytes")]
     own = ["cleaned string", "n_removed long"] if as_text else ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string"]
-    return docs.groupBy("chunk").cogroup(lists.groupBy("chunk")).applyInArrow(cut, ", ".join(fields + own))
+    return docs.groupBy("chunk").cogroup(lists.groupBy("chunk")).applyInArrow(lean(cut), ", ".join(fields + own))
 
 
 def _prime(least: int) -> int:

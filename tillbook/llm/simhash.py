@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import byte_words, stored
+from tillbook.llm.common import byte_words, lean_stream, stored
 from tillbook.llm.components import components
 
 SHINGLE = 3
@@ -66,7 +66,8 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
             signed = pa.array(np.array(prints, dtype=np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), signed], names=["doc_id", "print"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(take, "doc_id long, print long")
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    return rows.mapInArrow(lean_stream(take), "doc_id long, print long")
 
 
 @cache
@@ -159,7 +160,7 @@ def _links(prints: DataFrame, most: int) -> DataFrame:
     def edges(number: np.ndarray, values: np.ndarray) -> pd.DataFrame:
         return pd.DataFrame(forest(number, values, most), columns=["a", "b"], dtype="int64")
 
-    keyed = prints.mapInPandas(spread, "key long, print long")
+    keyed = prints.mapInPandas(lean_stream(spread), "key long, print long")
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     tiles = F.ceil(F.col("n") / TILE).cast("int")
     shared = keyed.join(sizes, "key").withColumn("tiles", tiles)
@@ -169,7 +170,7 @@ def _links(prints: DataFrame, most: int) -> DataFrame:
         "key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "print"
     )
     grouped = grouped.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return grouped.mapInPandas(verified, "a long, b long")
+    return grouped.mapInPandas(lean_stream(verified), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, most: int = MOST_BITS) -> DataFrame:
