@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.functions import descending
-from tillbook.operators import distinct_ids, id_bitmaps, merged_bitmaps
+from tillbook.operators import distinct_in_words, id_words, merged_words
 
 COMPLETED = "COMPLETED"
 
@@ -50,16 +50,16 @@ def daily_revenue(fact: DataFrame, orders_unique: bool = False) -> DataFrame:
 
 
 def daily_parts(fact: DataFrame) -> DataFrame:
-    """Sales per day in a form that can be stored and added up: order ids as bitmaps, revenue, lines with a price."""
+    """Sales per day in a form that can be stored and added up: order ids as bits, revenue, lines with a price."""
     sums = F.sum("line_revenue").alias("_revenue"), F.count("line_revenue").alias("_lines")
-    return id_bitmaps(fact, ["order_date"], "order_id", *sums)
+    return id_words(fact, ["order_date"], "order_id", *sums)
 
 
 def added_up(parts: DataFrame, *keys: str) -> DataFrame:
     """``daily_parts`` by the given keys or over all days, an order of several parts counted once."""
-    merged = merged_bitmaps(parts, keys, F.sum("_revenue").alias("_revenue"), F.sum("_lines").alias("_lines"))
+    merged = merged_words(parts, keys, F.sum("_revenue").alias("_revenue"), F.sum("_lines").alias("_lines"))
     return merged.groupBy(*keys).agg(
-        distinct_ids().alias("orders"), F.sum("_revenue").alias("revenue"), F.sum("_lines").alias("lines")
+        distinct_in_words().alias("orders"), F.sum("_revenue").alias("revenue"), F.sum("_lines").alias("lines")
     )
 
 
