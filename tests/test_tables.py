@@ -257,6 +257,24 @@ def test_compaction_leaves_untouched_buckets_in_place(spark, merged, tmp_path):
     assert spark.conf.get("spark.sql.hive.manageFilesourcePartitions") == "true"
 
 
+def test_compaction_computes_the_batches_once(spark, merged, monkeypatch):
+    merged.merge(orders(spark, *((key, "a") for key in range(100))))
+    merged.merge(orders(spark, *((key, "b") for key in range(50, 90))))
+    merged.merge(orders(spark, *((key, "c") for key in range(80, 150))))
+    seen, newest = spark.sparkContext.accumulator(0), merged._newest
+
+    def noted(key):
+        seen.add(1)
+        return key
+
+    key = F.udf(noted, "decimal(38,0)")("order_id")
+    monkeypatch.setattr(merged, "_newest", lambda state: newest(state).withColumn("order_id", key))
+    merged.compact()
+    assert seen.value == 100  # 300 before: for the buckets, the keys to replace and the rows to add
+    monkeypatch.undo()
+    assert merged.read().groupBy("status").count().orderBy("status").collect() == [("a", 50), ("b", 30), ("c", 70)]
+
+
 def test_bucket_count_may_change(spark, merged):
     merged.merge(orders(spark, *((key, "a") for key in range(100))))
     wider = MergeTable(spark, merged.path, buckets=5)

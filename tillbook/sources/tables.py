@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from tillbook.functions import descending
 from tillbook.operators import latest_per_key, merge_rows
 from tillbook.schemas import STG_ORDERS
+from tillbook.session import scratch_path
 from tillbook.sources import files
 
 _SEQUENCE = "_sequence"
@@ -201,13 +202,17 @@ class MergeTable(VersionedTable):
         state = self.state()
         if not state["batches"]:
             return
-        newest, kept = self._newest(state), []
+        # once, as parquet: the buckets, the keys of the join and the rows to add are each read from it
+        path, kept = scratch_path(self.spark, "newest"), []
+        self._newest(state).write.parquet(path)
+        newest = self.spark.read.schema(self.schema).parquet(path)
         if state["buckets"] == self.buckets:
             touched = {row[0] for row in newest.select(self._part()).distinct().collect()}  # a number per bucket at most
             kept = [folder for folder in state["folders"] if int(folder.rpartition("=")[2]) not in touched]
         old = self._compacted({**state, "folders": [folder for folder in state["folders"] if folder not in kept]})
         merged = merge_rows(old, newest.repartition(self.buckets, self.key).hint("merge"), self.key)
         self._commit(state, batches=[], **self._compacted_to(merged, kept))
+        files.remove(self.spark, path)
 
     def _bloom_filters(self) -> dict[str, str]:
         """Options of a write that let a lookup pass over the row groups of a batch that lack its key.
