@@ -257,6 +257,14 @@ def test_compaction_leaves_untouched_buckets_in_place(spark, merged, tmp_path):
     assert spark.conf.get("spark.sql.hive.manageFilesourcePartitions") == "true"
 
 
+def test_reads_choose_the_newest_rows_once(spark, merged, no_broadcast):
+    merged.merge(orders(spark, *((key, "a") for key in range(100))))
+    merged.merge(orders(spark, *((key, "b") for key in range(50, 90))))
+    merged.merge(orders(spark, *((key, "c") for key in range(80, 150))))
+    assert plan(merged.read()).count("Window [") == 1  # 2 before: for the keys to replace, too
+    assert merged.read().groupBy("status").count().orderBy("status").collect() == [("a", 50), ("b", 30), ("c", 70)]
+
+
 def test_compaction_computes_the_batches_once(spark, merged, monkeypatch):
     merged.merge(orders(spark, *((key, "a") for key in range(100))))
     merged.merge(orders(spark, *((key, "b") for key in range(50, 90))))

@@ -10,13 +10,13 @@ from tillbook.operators.latest import latest_per_key
 _ARRIVAL = "_arrival"
 
 
-def merge_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+def merge_rows(target: DataFrame, source: DataFrame, key: str, among: DataFrame | None = None) -> DataFrame:
     """``target`` with each row of ``source`` replacing the row of the same key, or added if there is none.
 
     ``source`` holds one row per key. The target is only filtered: with a source below the broadcast threshold it
-    is not shuffled at all.
+    is not shuffled at all. ``among``: rows with just the keys of ``source``, repeated or not, that are cheaper to compute.
     """
-    untouched = target.join(source.select(key), key, "left_anti")
+    untouched = target.join((source if among is None else among).select(key), key, "left_anti")
     return untouched.select(*target.columns).unionByName(source.select(*target.columns))
 
 

@@ -191,7 +191,9 @@ class MergeTable(VersionedTable):
     def read(self, state: dict[str, Any] | None = None) -> DataFrame:
         state = state or self.state()
         compacted = self._compacted(state)
-        return merge_rows(compacted, self._newest(state), self.key) if state["batches"] else compacted
+        if not state["batches"]:
+            return compacted
+        return merge_rows(compacted, self._newest(state), self.key, among=self._batches(state))
 
     def compact(self) -> None:
         """Fold the batches into the compacted rows; content and feed progress stay as they are.
@@ -230,10 +232,13 @@ class MergeTable(VersionedTable):
         """The bucket of a row, as bucketed writes number them."""
         return F.pmod(F.hash(self.key), F.lit(self.buckets)).alias(_PART)
 
+    def _batches(self, state: dict[str, Any]) -> DataFrame:
+        sequenced = T.StructType([*self.schema.fields, T.StructField(_SEQUENCE, T.LongType())])
+        return self._load(state["batches"], sequenced)
+
     def _newest(self, state: dict[str, Any]) -> DataFrame:
         """One row per key of the batches."""
-        sequenced = T.StructType([*self.schema.fields, T.StructField(_SEQUENCE, T.LongType())])
-        batches = self._load(state["batches"], sequenced)
+        batches = self._batches(state)
         if len(state["batches"]) > 1:
             batches = latest_per_key(batches, [self.key], [descending(_SEQUENCE)])
         return batches.drop(_SEQUENCE)
