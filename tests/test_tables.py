@@ -278,7 +278,7 @@ def test_compaction_computes_the_batches_once(spark, merged, monkeypatch):
     key = F.udf(noted, "decimal(38,0)")("order_id")
     monkeypatch.setattr(merged, "_newest", lambda state: newest(state).withColumn("order_id", key))
     merged.compact()
-    assert seen.value == 100  # 300 before: for the buckets, the keys to replace and the rows to add
+    assert seen.value == 100  # 410 before: again for the buckets, the keys to replace and the rows to add
     monkeypatch.undo()
     assert merged.read().groupBy("status").count().orderBy("status").collect() == [("a", 50), ("b", 30), ("c", 70)]
 
