@@ -162,7 +162,9 @@ def same_stamp_copies(retail: Retail) -> DataFrame:
     """Orders landed with one stamp, best first and so worst last: the copy of the last line wins, not the largest."""
     spark, layers = retail.spark, retail.layers("same-stamp")
     columns = text_columns("orders")
-    worst_last = retail.raw["orders"].select(*columns).orderBy(*[F.desc_nulls_first(name) for name in columns])
+    order = [F.desc_nulls_first(name) for name in columns]
+    tasks = staging.tasks_for(spark, retail.table("lineitem").count())
+    worst_last = retail.raw["orders"].select(*columns).repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     landing.load_csv(spark, layers, "orders", _csv_files(retail, worst_last, "orders"), landing.STRICT, LOAD_TS)
     return staging.clean_orders(landing.read_raw(spark, layers, "orders", lineage=True))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook.functions import (
@@ -24,6 +24,14 @@ from tillbook.session import require_ansi
 
 DEFAULT_QUANTITY = 1
 
+#: Landed rows that a task sorts, some 550 bytes each with the path of their file.
+TASK_ROWS = 1_500_000
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """Tasks that sort ``rows``: as many as run at once, and more where a task would get more than ``TASK_ROWS``."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
 
 def load_stamp(load_ts: datetime | None = None) -> Column:
     """The given load time, or now."""
@@ -87,11 +95,13 @@ def clean_orders(raw: DataFrame) -> DataFrame:
     """Typed orders, one row per order: the copy loaded last. Used by the batch seed and by the feed alike.
 
     Raw rows with lineage settle equal stamps by it: the copy of the last file by path, and the last line in it, wins; a
-    row that was not read from a file yields to one that was.
+    row that was not read from a file yields to one that was. Such rows are wide, and are counted first (by the footers
+    of the landed files) so that no task sorts more of them the more there are.
     """
     lineage = _lineage(raw)
     order = [descending(LOADED_AT), *(F.desc_nulls_last(name) for name in lineage)]
-    return latest_per_key(type_orders(raw), ["order_id"], order).drop(LOADED_AT, *lineage)
+    tasks = tasks_for(raw.sparkSession, raw.count()) if lineage else None
+    return latest_per_key(type_orders(raw), ["order_id"], order, tasks).drop(LOADED_AT, *lineage)
 
 
 def valid_orders(
