@@ -6,8 +6,8 @@ symbols of the last four words (skips), of the last two as a pair and of the las
 weights for the classes; rows for the words of a frequent class are hashed from feature and class. A symbol is a
 frequent word or the class of a rare one. Within a rare class words share by their counts in all training documents.
 
-Counts: documents go to chunks by their id; a chunk sends its distinct words with counts to buckets, which add up and answer
-each chunk. Training: every position of every document is an example; rounds of tasks add up gradients over a part
+Counts: documents go to chunks by their id, whose words are numbered once; a chunk sends its distinct words with counts to
+buckets, which add up and answer each chunk. Training: every position of every document is an example; rounds of tasks add up gradients over a part
 of the examples each, and the driver takes an adaptive step on weights of fixed size. Scoring: a chunk's tokens in
 batches of numpy.
 """
@@ -15,8 +15,10 @@ batches of numpy.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, replace
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import byte_words, fold, shuffle_partitions, stored
+from tillbook.llm.common import byte_words, fold, lean, lean_stream, shuffle_partitions, stored
 from tillbook.llm.passages import _by, _from_planes, _planes, _prime
 
 FOLDS = 5
@@ -50,8 +52,9 @@ RATE = 0.6
 PRIOR = 100.0
 
 CHUNK_BYTES = 4 << 20
+PIECE = 1 << 19  # tokens whose examples are laid out at a time
 BATCH = 1 << 14
-OFTEN = 12  # times that a row of weights is named in a batch
+OFTEN = 96  # times that a row of weights is named in a batch
 
 #: Marks a symbol that stands in front of a stretch as history alone.
 _BEFORE = np.uint16(1 << 15)
@@ -59,9 +62,23 @@ _BEFORE = np.uint16(1 << 15)
 _HASH = np.uint64((1 << 60) - 1)
 
 
+class _RareClass(dict):
+    """Rare class of a word by its last two bytes, each computed once."""
+
+    def __missing__(self, tail: bytes) -> int:
+        self[tail] = zlib.crc32(tail) & 15
+        return self[tail]
+
+
 def word_key(word: bytes) -> int:
     """Hash of a word with its rare class in the upper four bits."""
-    return (xxhash.xxh64_intdigest(word) >> 4) | (zlib.crc32(word[-2:]) & 15) << 60
+    return int(word_keys([word])[0])
+
+
+def word_keys(words: Collection[bytes]) -> np.ndarray:
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    rare = np.fromiter(map(_RareClass().__getitem__, [word[-2:] for word in words]), np.uint64, len(words))
+    return hashes >> np.uint64(4) | rare << np.uint64(60)
 
 
 @dataclass
@@ -74,16 +91,13 @@ class Tokens:
 
     @classmethod
     def of(cls, texts: list[str | None]) -> Tokens:
-        number: dict[bytes, int] = {}
+        number: defaultdict[bytes, int] = defaultdict(count().__next__)
         parts = []
         for text in texts:
             words = byte_words(text)
-            for word in set(words).difference(number):
-                number[word] = len(number)
             parts.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
         bounds = np.concatenate(([0], np.cumsum([len(x) for x in parts]))).astype(np.int64)
-        keys = np.fromiter(map(word_key, number), np.uint64, len(number))
-        return cls(np.concatenate(parts) if parts else np.zeros(0, np.int32), bounds, keys)
+        return cls(np.concatenate(parts) if parts else np.zeros(0, np.int32), bounds, word_keys(number))
 
     def with_ends(self, of_word: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """A value for each token with ``end`` after each text, and where texts begin."""
@@ -143,20 +157,36 @@ class Model:
 
 def features(history: np.ndarray) -> np.ndarray:
     """(n, FEATURES) rows from (n, 4) symbols of the words before, nearest first; row 0 is always there."""
-    p = history.astype(np.uint64)
-    pairs = ((p[:, 0], p[:, 1], 11), (p[:, 0], p[:, 2], 13))
+    out = np.zeros((FEATURES, len(history)), np.int64)  # a feature's rows lie together
+    for k in range(4):
+        np.take(_SINGLES[k], history[:, k], out=out[k + 1], mode="clip")
+    p = np.ascontiguousarray(history[:, :3].T).astype(np.uint64)
+    for k, (b, salt) in enumerate(((p[1], 11), (p[2], 13)), start=5):
+        with np.errstate(over="ignore"):
+            out[k] = _hashed_row((p[0] * np.uint64(2654435761) + b + np.uint64(salt)) * np.uint64(0xD6E8FEB86659FD93))
+    return out.T
+
+
+def _hashed_row(x: np.ndarray) -> np.ndarray:
+    """A row other than the first."""
+    x = (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)
+    return (x.astype(np.uint32) % np.uint32(ROWS - 1)).astype(np.int64) + 1
+
+
+def _single_rows(k: int) -> np.ndarray:
+    """Rows of each symbol as the word ``k`` places before the last."""
     with np.errstate(over="ignore"):
-        singles = [p[:, k] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k * 0x632BE59BD9B4E019 % 2**64) for k in range(4)]
-        doubles = [(a * np.uint64(2654435761) + b + np.uint64(k)) * np.uint64(0xD6E8FEB86659FD93) for a, b, k in pairs]
-        hashed = [(x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32) for x in singles + doubles]
-    rows = [np.zeros(len(p), np.int64)] + [(x % np.uint64(ROWS - 1)).astype(np.int64) + 1 for x in hashed]
-    return np.stack(rows, axis=1)
+        x = np.arange(NOTHING + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return _hashed_row(x + np.uint64(k * 0x632BE59BD9B4E019 % 2**64))
+
+
+_SINGLES = [_single_rows(k) for k in range(4)]
 
 
 def within_rows(rows: np.ndarray, of_class: np.ndarray) -> np.ndarray:
     """(n, WITHIN_FEATURES) rows for words of a class: its own, then hashes with the first features."""
-    hashed = (rows[:, 1:WITHIN_FEATURES] * CLASSES + of_class[:, None]) * 2654435761 >> 7
-    return np.concatenate((of_class[:, None], hashed % (WITHIN_ROWS - CLASSES) + CLASSES), axis=1)
+    hashed = (rows[:, 1:WITHIN_FEATURES].T * CLASSES + of_class) * 2654435761 >> 7
+    return np.concatenate((of_class[None], hashed % (WITHIN_ROWS - CLASSES) + CLASSES)).T
 
 
 def _scores(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -173,7 +203,7 @@ def _log_softmax_at(weights: np.ndarray, rows: np.ndarray, target: np.ndarray) -
     """Log probability of one outcome of each row."""
     total = _scores(weights, rows)
     own = total[np.arange(len(total)), target].astype(np.float64)
-    return own - np.log(np.exp(total, out=total).sum(axis=1))
+    return own - np.log(np.exp(total, out=total) @ np.ones(total.shape[1], total.dtype))
 
 
 def histories(symbols: np.ndarray, place: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -210,21 +240,26 @@ def log_probabilities(model: Model, history: np.ndarray, symbols: np.ndarray, co
 def gradient(model: Model, examples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Slopes of the log likelihood of examples (n, 5): four symbols before, and the word's."""
     classes, within = np.zeros_like(model.classes), np.zeros_like(model.within)
+    add_gradient(classes, within, model, examples)
+    return classes, within
+
+
+def add_gradient(classes: np.ndarray, within: np.ndarray, model: Model, examples: np.ndarray) -> None:
     for at in range(0, len(examples), BATCH):
-        part = examples[at : at + BATCH].astype(np.int64)
+        part = examples[at : at + BATCH]
+        part = part[np.argsort(part[:, 0], kind="stable")].astype(np.int64)  # those that share rows lie together
         rows, target = features(part[:, :4]), part[:, 4]
         common = target < FREQUENT
         of_class = np.where(common, target // WIDTH, target - FREQUENT + CLASSES)
         _add(classes, rows, _slope(_scores(model.classes, rows), of_class))
         inner = within_rows(rows[common], of_class[common])
         _add(within, inner, _slope(_scores(model.within, inner), target[common] % WIDTH))
-    return classes, within
 
 
 def _slope(scores: np.ndarray, target: np.ndarray) -> np.ndarray:
     """What happened less what was expected."""
-    out = np.exp(scores)
-    out /= -out.sum(axis=1, keepdims=True)
+    out = np.exp(scores, out=scores)
+    out *= (-1 / (out @ np.ones(out.shape[1], out.dtype)))[:, None]
     out[np.arange(len(out)), target] += 1
     return out
 
@@ -243,7 +278,7 @@ def _add(total: np.ndarray, rows: np.ndarray, slope: np.ndarray) -> None:
     size = np.diff(np.concatenate((first, [len(named)])))
     by_size = np.argsort(-size, kind="stable")
     first, size = first[by_size], size[by_size]
-    named, source = named[first], order % len(rows)
+    named, source = named[first], order - order // len(rows) * len(rows)
     often = int(np.searchsorted(-size, -OFTEN, side="right"))
     one = np.ones(size[0], slope.dtype)
     for row, a, n in zip(named[:often].tolist(), first[:often].tolist(), size[:often].tolist(), strict=True):
@@ -252,9 +287,10 @@ def _add(total: np.ndarray, rows: np.ndarray, slope: np.ndarray) -> None:
     if not len(first):
         return
     sums = np.take(slope, source[first], axis=0, mode="clip")
+    more = np.empty_like(sums)
     for k in range(1, int(size[0])):
         n = int(np.searchsorted(-size, -k, side="left"))
-        sums[:n] += np.take(slope, source[first[:n] + k], axis=0, mode="clip")
+        sums[:n] += np.take(slope, source[first[:n] + k], axis=0, mode="clip", out=more[:n])
     total[named[often:]] += sums
 
 
@@ -268,19 +304,54 @@ def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys & _HASH) % np.uint64(buckets)).astype(np.int64)
 
 
-def _counted(docs: DataFrame, buckets: int) -> DataFrame:
-    """Answers (chunk, bucket, counts of the chunk's words in order) and, by bucket, sums and its most frequent words."""
-    request = {"bucket": pa.int64(), "chunk": pa.int64(), "keys": pa.binary(), "counts": pa.binary()}
+_TOKENIZED = {
+    "chunk": pa.int64(), "ids": pa.list_(pa.int64()), "learns": pa.list_(pa.bool_()), "bounds": pa.list_(pa.int64()),
+    "tokens": pa.binary(), "keys": pa.binary(),
+}
+
 
-    def ask(table: pa.Table) -> pa.Table:
+def _tokenized(docs: DataFrame) -> DataFrame:
+    """A row for each chunk: its documents and their words as places in the chunk's sorted keys."""
+
+    def number(table: pa.Table) -> pa.Table:
         found = Tokens.of(table.column("text").to_pylist())
-        learns = np.repeat(np.array(table.column("learns").to_pylist(), bool), np.diff(found.bounds))
-        counts = np.bincount(found.tokens[learns], minlength=len(found.keys))
         order = np.argsort(found.keys)
-        keys, counts = found.keys[order], counts[order]
-        chunk = table.column("chunk")[0].as_py()
-        rows = [(b, chunk, keys[own].tobytes(), _planes(counts[own])) for b, own in _by(_bucket(keys, buckets))]
-        return pa.table({n: pa.array([r[k] for r in rows], kind) for k, (n, kind) in enumerate(request.items())})
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        row = (
+            table.column("chunk")[0].as_py(), table.column("doc_id").to_pylist(), table.column("learns").to_pylist(),
+            found.bounds, _planes(place[found.tokens]), found.keys[order].tobytes(),
+        )
+        return pa.table({n: pa.array([value], kind) for value, (n, kind) in zip(row, _TOKENIZED.items(), strict=True)})
+
+    schema = "chunk long, ids array<long>, learns array<boolean>, bounds array<long>, tokens binary, keys binary"
+    return docs.groupBy("chunk").applyInArrow(lean(number), schema)
+
+
+def _tokens_in(rows: pa.RecordBatch | pa.Table, k: int) -> tuple[Tokens, pa.Array, np.ndarray]:
+    """Words, ids and whether they are learned from, of the documents of a chunk."""
+    ids, learns, bounds, tokens, keys = (rows.column(name)[k] for name in list(_TOKENIZED)[1:])
+    found = Tokens(
+        _from_planes(tokens.as_py()), bounds.values.to_numpy(), np.frombuffer(keys.as_py(), np.uint64)
+    )
+    return found, ids.values, learns.values.to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _counted(tokenized: DataFrame, buckets: int) -> DataFrame:
+    """Answers (chunk, bucket, counts of the chunk's words in order) and, by bucket, sums and its most frequent words."""
+    request = {"bucket": pa.int64(), "chunk": pa.int64(), "keys": pa.binary(), "counts": pa.binary()}
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                found, _, learns = _tokens_in(batch, k)
+                learned = found.tokens[np.repeat(learns, np.diff(found.bounds))]
+                counts = np.bincount(learned, minlength=len(found.keys))
+                chunk = batch.column("chunk")[k].as_py()
+                parts = list(_by(_bucket(found.keys, buckets)))
+                rows = [(b, chunk, found.keys[own].tobytes(), _planes(counts[own])) for b, own in parts]
+                columns = [pa.array([r[j] for r in rows], kind) for j, kind in enumerate(request.values())]
+                yield pa.RecordBatch.from_arrays(columns, names=list(request))
 
     reply = {
         "chunk": pa.int64(), "bucket": pa.int64(), "counts": pa.binary(), "n": pa.int64(), "rare": pa.int32(),
@@ -306,7 +377,7 @@ def _counted(docs: DataFrame, buckets: int) -> DataFrame:
             rows.append((None, None, None, int(here.sum()), k, int((here > 0).sum()), None))
         return pa.table({n: pa.array([r[k] for r in rows], kind) for k, (n, kind) in enumerate(reply.items())})
 
-    asked = docs.groupBy("chunk").applyInArrow(ask, "bucket long, chunk long, keys binary, counts binary")
+    asked = tokenized.mapInArrow(lean_stream(ask), "bucket long, chunk long, keys binary, counts binary")
     schema = "chunk long, bucket long, counts binary, n long, rare int, distinct long, keys binary"
     return asked.groupBy("bucket").applyInArrow(answer, schema)
 
@@ -376,21 +447,28 @@ def examples_in(blob: bytes) -> np.ndarray:
 
 
 def _examples(docs: DataFrame, corpus: Corpus) -> DataFrame:
-    """(part, examples) of all positions of all training documents."""
+    """(part, examples) of all positions of all training documents, tokenized or not."""
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
-                found = Tokens.of(batch.column(1).to_pylist())
+        for batch in batches:
+            for row in range(batch.num_rows):
+                found, ids, learns = _tokens_in(batch, row)
                 symbols, begins = found.with_ends(corpus.symbols(found.keys), 0)
-                parts = list(stretches(symbols, begins, batch.column(0).to_numpy(zero_copy_only=False)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k for k, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary())],
-                    names=["part", "examples"],
-                )
-
-    return docs.filter("learns").select("doc_id", "text").mapInArrow(pick, "part int, examples binary")
+                own = np.flatnonzero(learns)
+                # some megabytes of texts at a time
+                for texts in np.split(own, np.searchsorted(begins[own], np.arange(PIECE, begins[-1], PIECE))):
+                    sizes = np.diff(begins)[texts]
+                    of_own = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+                    at = np.repeat(begins[texts] - of_own[:-1], sizes) + np.arange(of_own[-1])
+                    parts = list(stretches(symbols[at], of_own, ids.take(pa.array(texts)).to_numpy(zero_copy_only=False)))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([k for k, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary())],
+                        names=["part", "examples"],
+                    )
+
+    if "tokens" not in docs.columns:
+        docs = _tokenized(docs.withColumn("chunk", F.lit(0).cast("long")))
+    return docs.mapInArrow(lean_stream(pick), "part int, examples binary")
 
 
 def train(corpus: Corpus, examples: DataFrame) -> Model:
@@ -405,8 +483,7 @@ def train(corpus: Corpus, examples: DataFrame) -> Model:
             total = [np.zeros(shape, np.float32) for shape in shapes]
             for batch in batches:
                 for blob in batch.column(0).to_pylist():
-                    for sum_, more in zip(total, gradient(now, examples_in(blob)), strict=True):
-                        sum_ += more
+                    add_gradient(*total, now, examples_in(blob))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([0, 1], pa.int32()), pa.array([x.tobytes() for x in total], pa.binary())],
                 names=["table", "slope"],
@@ -442,20 +519,20 @@ def scores(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(shuffle_partitions(spark), size // (16 * CHUNK_BYTES) + 1)
     chunked = _chunked(docs, _prime(max(shuffle_partitions(spark), size // CHUNK_BYTES + 1)))
-    counted = stored(_counted(chunked, buckets), "counted")
+    tokenized = stored(_tokenized(chunked), "tokenized")
+    counted = stored(_counted(tokenized, buckets), "counted")
     corpus = _corpus(chunked, counted)
-    model = train(corpus, stored(_examples(chunked, corpus), "examples"))
+    model = train(corpus, stored(_examples(tokenized, corpus), "examples"))
     shared = spark.sparkContext.broadcast(model)  # weights of fixed size and 1,024 words: about 3 MB
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         model = shared.value
         corpus = model.corpus
-        found = Tokens.of(left.column("text").to_pylist())
-        order = np.argsort(found.keys)
+        found, ids, _ = _tokens_in(left, 0)
         counts = np.zeros(len(found.keys), np.int64)
         answers = {row["bucket"]: row["counts"] for row in right.select(["bucket", "counts"]).to_pylist()}
-        for bucket, own in _by(_bucket(found.keys[order], buckets)):
-            counts[order[own]] = _from_planes(answers[bucket])
+        for bucket, own in _by(_bucket(found.keys, buckets)):
+            counts[own] = _from_planes(answers[bucket])
         per_token, begins = found.with_ends(counts, corpus.documents)
         symbols, _ = found.with_ends(corpus.symbols(found.keys), 0)
         own = np.empty(len(symbols))
@@ -466,7 +543,7 @@ def scores(docs: DataFrame) -> DataFrame:
             own[cut] = log_probabilities(model, history, symbols[cut], per_token[cut])
         total = lambda x: np.add.reduceat(x, begins[:-1])  # noqa: E731  each text has its end at least
         return pa.table({
-            "doc_id": left.column("doc_id"),
+            "doc_id": ids,
             "n_tokens": pa.array(np.diff(begins)),
             "n_known": pa.array(total((per_token > 0).astype(np.int64))),
             "base_score": pa.array(total(corpus.base(per_token))),
@@ -475,7 +552,7 @@ def scores(docs: DataFrame) -> DataFrame:
 
     answers = counted.filter("chunk IS NOT NULL").select("chunk", "bucket", "counts")
     schema = "doc_id long, n_tokens long, n_known long, base_score double, score double"
-    scored = chunked.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, schema)
+    scored = tokenized.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, schema)
     held_out = F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out")
     known = F.lit(corpus.tokens).cast("long").alias("train_tokens")
     return scored.select("doc_id", held_out, "n_tokens", "n_known", known, "base_score", "score")
