@@ -37,7 +37,7 @@ SPAN = LENGTH - GRAM + 1  # grams in a window, and symbols in one whose anchor i
 
 #: Text bytes for each chunk of documents and, over it, hashed at a time; symbols of a block; contexts of an anchor held at a time.
 CHUNK_BYTES = 4 << 20
-PART_BYTES = 1 << 19
+PART_BYTES = 1 << 17
 BLOCK = 1 << 15
 MOST_CONTEXTS = 2048
 
@@ -82,14 +82,21 @@ def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     if not count.sum():
         return tuple(np.zeros(0, kind) for kind in (np.int64, np.int64, np.int64, np.int64, np.uint64))
     hashes = gram_hashes(data)
-    text = np.repeat(np.arange(len(count)), count)
-    start = np.arange(len(text)) + np.repeat(bounds[:-1] - (np.cumsum(count) - count), count)
-    least = _windows_minimum(hashes)[start]
-    first = np.flatnonzero(np.concatenate(([True], (least[1:] != least[:-1]) | (text[1:] != text[:-1]))))
-    low, high = start[first], start[np.concatenate((first[1:], [len(start)])) - 1] + 1
-    text, least, found = text[first], least[first], []
+    least = _windows_minimum(hashes)
+    new = np.concatenate(([True], least[1:] != least[:-1]))
+    texts = np.flatnonzero(count)
+    begin, end = bounds[texts], bounds[texts] + count[texts]
+    new[begin] = True
+    new[end[end < len(new)]] = True
+    low = np.flatnonzero(new)
+    high = np.concatenate((low[1:], [len(new)]))
+    own = np.searchsorted(begin, low, side="right") - 1
+    inside = (own >= 0) & (low < end[own])  # other windows reach over the end of a text
+    text, low, high = texts[own[inside]], low[inside], high[inside]
+    least, found = least[low], []
+    grams = np.lib.stride_tricks.sliding_window_view(hashes, SPAN)
     while len(low):
-        at = low + hashes[low[:, None] + np.arange(SPAN)].argmin(axis=1)
+        at = low + grams[low].argmin(axis=1)
         found.append((text, low, np.minimum(high, at + 1), at, least))
         more = high > at + 1  # the same gram again further on
         text, low, high, least = text[more], at[more] + 1, high[more], least[more]
@@ -170,7 +177,8 @@ def _by(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(key, rows) with rows in their order."""
     if not len(key):
         return
-    order = np.argsort(key, kind="stable")
+    short = key.astype(np.uint16) if 0 <= key.min() and key.max() < 1 << 16 else key  # sorted by digits
+    order = np.argsort(short, kind="stable")
     first = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1])))
     for a, b in zip(first, [*first[1:], len(key)], strict=True):
         yield int(key[order[a]]), order[a:b]
@@ -382,6 +390,29 @@ def _contexts(docs: DataFrame, shared: DataFrame) -> DataFrame:
     return docs.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(lean(cut), schema)
 
 
+def _agreeing(contexts: list[bytes], group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many bytes before and how many behind its anchor each context has in common with some other of its group.
+
+    No window that reaches further can be in another context. Zeros fill up short sides, so a side may seem to agree in
+    more zeros than it does, never in fewer bytes.
+    """
+    side = SPAN - 1
+    heads = group.astype(">u4").view(np.uint8).reshape(-1, 4)
+    found = []
+    for parts in ([c[4 + c[4] : 4 : -1] for c in contexts], [c[5 + c[4] :] for c in contexts]):
+        filled = np.frombuffer(b"".join([x.ljust(side, b"\0") for x in parts]), np.uint8).reshape(-1, side)
+        rows = np.concatenate((heads, filled, np.zeros((len(parts), 1), np.uint8)), axis=1)
+        order = np.argsort(rows.view(f"S{side + 5}").ravel(), kind="stable")
+        unlike = rows[order[1:]] != rows[order[:-1]]
+        unlike[:, -1] = True
+        common = np.maximum(unlike.argmax(axis=1) - 4, 0)
+        most = np.zeros(len(parts), np.int64)
+        most[order[:-1]] = common
+        most[order[1:]] = np.maximum(most[order[1:]], common)
+        found.append(np.minimum(most, np.fromiter(map(len, parts), np.int64, len(parts))))
+    return found[0], found[1]
+
+
 class _Settled:
     """Windows to remove and windows still open, handed on in batches."""
 
@@ -438,12 +469,21 @@ class _Settled:
         if not self.block:
             return
         entries = [entry for group in self.block for entry in group]
-        sizes = np.array([len(context) - 3 for context, _, _ in entries])  # with the anchor as one symbol, and an end
+        group = np.repeat(np.arange(len(self.block)), [len(group) for group in self.block])
+        self.block, self.symbols = [], 0
+        left, right = _agreeing([context for context, _, _ in entries], group)
+        rows = np.flatnonzero(left + right >= SPAN - 1)
+        if not len(rows):
+            return
+        entries, group, left, right = [entries[k] for k in rows.tolist()], group[rows], left[rows], right[rows]
+        sizes = left + right + 2  # with the anchor as one symbol, and an end
         begins = np.cumsum(sizes) - sizes
-        pieces = [piece for c, _, _ in entries for piece in (c[5 : 5 + c[4]], b"\0", c[5 + c[4] :], b"\0")]
+        pieces = []
+        for (c, _, _), before, after in zip(entries, left.tolist(), right.tolist(), strict=True):
+            at = 5 + c[4]
+            pieces += (c[at - before : at], b"\0", c[at : at + after], b"\0")
         symbols = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64) + 1
-        group = np.repeat(np.arange(len(self.block)), [len(group) for group in self.block])
-        symbols[begins + [c[4] for c, _, _ in entries]] = 257 + group
+        symbols[begins + left] = 257 + group
         symbols[begins + sizes - 1] = 0
         order = np.array(suffix_order(symbols.tolist()))
         owner = np.repeat(np.arange(len(entries)), sizes)
@@ -459,9 +499,9 @@ class _Settled:
         nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         late = np.repeat(late, times)
         places = np.array([place for _, _, places in entries for place in places])
-        place = places[(np.cumsum(counts) - counts)[owner[late]] + nth] + order[late] - begins[owner[late]]
+        skipped = np.array([c[4] for c, _, _ in entries]) - left - begins
+        place = places[(np.cumsum(counts) - counts)[owner[late]] + nth] + order[late] + skipped[owner[late]]
         self.cover(docs[late], place, np.ones(len(late), np.int64))
-        self.block, self.symbols = [], 0
 
 
 def _covered(contexts: DataFrame, chunks: int) -> DataFrame:
