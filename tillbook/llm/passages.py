@@ -425,7 +425,8 @@ class _Settled:
         self.chunks = chunks
         self.covered: list[np.ndarray] = []
         self.rows = 0
-        self.open: list[tuple[bytes, int, int]] = []
+        self.open: list[tuple[int, bytes, int, list[int]]] = []
+        self.windows = 0
         self.block: list[list] = []
         self.symbols = 0
 
@@ -442,11 +443,35 @@ class _Settled:
             lists = (chunk, *(row[own].tobytes() for row in rows), None, None, None)
             for column, value in zip(out.values(), lists, strict=True):
                 column.append(value)
-        for window in self.open:
-            for column, value in zip(out.values(), (None, None, None, None, *window), strict=True):
-                column.append(value)
-        self.covered, self.rows, self.open = [], 0, []
-        return _batch(out, self.kinds)
+        lists, columns = _batch(out, self.kinds), self._opened()
+        self.covered, self.rows, self.open, self.windows = [], 0, [], 0
+        if not len(columns[0]):
+            return lists
+        rest = [pa.nulls(len(columns[0]), kind) for kind in list(self.kinds.values())[: -len(columns)]]
+        joined = [pa.concat_arrays(x) for x in zip(lists.columns, [*rest, *columns], strict=True)]
+        return pa.RecordBatch.from_arrays(joined, names=list(self.kinds))
+
+    def _opened(self) -> list[pa.Array]:
+        """Windows, documents and places of the contexts passed on; the anchor stands in front of each window."""
+        if not self.open:
+            return [pa.nulls(0, kind) for kind in list(self.kinds.values())[-3:]]
+        keys, contexts, docs, places = zip(*self.open, strict=True)
+        sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
+        begins, data = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(contexts), np.uint8)
+        times = np.fromiter(map(len, places), np.int64, len(places))
+        copy = np.repeat(np.arange(len(sizes)), times)  # a context once for each of its places
+        counts = (sizes - SPAN - 3)[copy]
+        of = np.repeat(copy, counts)
+        nth = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+        windows = np.empty((len(of), 12 + SPAN), np.uint8)
+        windows[:, :8] = np.array(keys, "<i8").view(np.uint8).reshape(-1, 8)[of]
+        windows[:, 8:12] = data[begins[:, None] + np.arange(4)][of]
+        windows[:, 12] = data[begins + 4][of] - nth
+        windows[:, 13:] = np.lib.stride_tricks.sliding_window_view(data, SPAN - 1)[begins[of] + 5 + nth]
+        ends = np.arange(len(of) + 1, dtype=np.int32) * windows.shape[1]
+        place = np.repeat([place for own in places for place in own], counts) + nth
+        values = pa.Array.from_buffers(pa.binary(), len(of), [None, pa.py_buffer(ends), pa.py_buffer(windows)])
+        return [values, pa.array(np.array(docs, np.int64)[of]), pa.array(place.astype(np.int64))]
 
     def group(self, entries: list) -> None:
         """Contexts (context, document, places) of one anchor, all different."""
@@ -457,12 +482,10 @@ class _Settled:
                 self.solve()
 
     def pass_on(self, entry: list, key: int) -> None:
-        """A context of an anchor with too many of them, as its windows; the anchor stands in front of each."""
+        """A context of an anchor with too many of them, as its windows."""
         context, doc, places = entry
-        left, body, head = context[4], context[5:], key.to_bytes(8, "little", signed=True) + context[:4]
-        for k in range(len(body) - SPAN + 2):
-            window = head + bytes((left - k,)) + body[k : k + SPAN - 1]
-            self.open += [(window, doc, place + k) for place in places]
+        self.open.append((key, context, doc, places))
+        self.windows += (len(context) - SPAN - 3) * len(places)
 
     def solve(self) -> None:
         """Sort the suffixes of the block; equal windows are neighbours then."""
@@ -545,7 +568,7 @@ def _covered(contexts: DataFrame, chunks: int) -> DataFrame:
                     for entry in entries[:-1]:
                         out.pass_on(entry, key)
                     entries = entries[-1:]
-            if out.rows + len(out.open) > 100_000:
+            if out.rows + out.windows > 100_000:
                 yield out.batch()
         if many:
             out.pass_on(entries[-1], key)
