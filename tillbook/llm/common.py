@@ -17,8 +17,8 @@ from tillbook.session import scratch_path
 # A word is a run of bytes other than space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Bytes a Python worker may hold before it looks for free ones to give back. A new one has about half of them.
-MOST_HELD = 224 << 20
+#: Bytes a Python worker may hold before it looks for free ones to give back. A new one has about 112 MB.
+MOST_HELD = 160 << 20
 
 
 def give_back() -> None:

@@ -219,11 +219,13 @@ def _of_several_texts(
     order = np.argsort(gram, kind="stable")
     if not len(order):
         return order, order, np.zeros(0, bool)
-    new = np.concatenate(([True], gram[order][1:] != gram[order][:-1]))
+    ranked = gram[order]
+    new = np.concatenate(([True], ranked[1:] != ranked[:-1]))
     single = new & np.concatenate((new[1:], [True]))
-    alone, order = order[single], order[~single]
-    order = order[np.lexsort((doc[order], text[order], gram[order]))]
-    new = np.concatenate(([True], gram[order][1:] != gram[order][:-1]))[: len(order)]
+    alone, order, ranked = order[single], order[~single], ranked[~single]
+    order = order[np.lexsort((doc[order], text[order], ranked))]
+    new = np.concatenate(([True], ranked[1:] != ranked[:-1]))[: len(order)]
+    del ranked
     new_text = new | np.concatenate(([True], text[order][1:] != text[order][:-1]))[: len(order)]
     first_doc = doc[order][np.maximum.accumulate(np.where(new_text, np.arange(len(order)), 0))]
     of_gram = np.cumsum(new) - 1
@@ -288,7 +290,7 @@ def _shared(docs: DataFrame, buckets: int, chunks: int) -> DataFrame:
 
     def matched(table: pa.Table) -> pa.Table:
         known, sent = [], []
-        for row in table.to_pylist():
+        for row in (row for k in range(0, table.num_rows, 16) for row in table.slice(k, 16).to_pylist()):
             doc, number = _unlisted(row["ids"], row["runs"], row["steps"])
             if row["grams"] is None:
                 known.append((doc, number))
@@ -299,9 +301,12 @@ def _shared(docs: DataFrame, buckets: int, chunks: int) -> DataFrame:
             several = np.unpackbits(np.frombuffer(row["several"], np.uint8), count=len(doc)).astype(bool)
             sent.append((doc, number, text, wide.view("<u8").ravel(), several))
         if sent:
-            doc, number, text, gram, several = (np.concatenate(x) for x in zip(*sent, strict=True))
+            columns = [np.concatenate(x) for x in zip(*sent, strict=True)]
+            sent.clear()  # a bucket's rows are held once
+            doc, number, text, gram, several = columns
             _, shared, _ = _of_several_texts(gram, text, doc, several)
             known.append((doc[shared], number[shared]))
+            del columns, doc, number, text, gram, several, shared
         doc, number = (np.concatenate(x) for x in zip(*known, strict=True))
         order = np.lexsort((number, doc))
         doc, number = doc[order], number[order]
